@@ -1,0 +1,137 @@
+"""Synthetic telemetry with controlled anomalies, as stateless table transforms.
+
+Every random choice is a repeatable function of the row's id and a salt, so any number of tasks can
+make any part of a run, and a lost task makes the same rows again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.config import Workload, probability
+from tidemark.functions.clock import from_epoch_ms, iso_us
+from tidemark.functions.numbers import pick, uniform
+from tidemark.operators.prefix import running_number
+from tidemark.schema import HOT_TENANT, REQUIRED_FIELDS
+
+# Metric names with their ranges, regions, firmware versions, and age limits in seconds.
+METRICS = (
+    ("temperature_c", 18.0, 42.0),
+    ("humidity_pct", 20.0, 90.0),
+    ("power_w", 25.0, 2_500.0),
+    ("vibration_mm_s", 0.0, 18.0),
+)
+REGIONS = ("ap-south", "eu-west", "us-east")
+FIRMWARES = ("1.8.4", "1.9.0", "2.0.1")
+TENANTS = 20
+DEVICES = 2_000
+LATE_AGE = (15.0, 300.0)
+NORMAL_AGE = (0.0, 2.0)
+
+TOPIC_PARTITIONS = 6
+
+# Salts of the independent choices.
+LATE, AGE, HOT, TENANT, METRIC, VALUE, DEVICE, REGION, FIRMWARE, DUPLICATE, BROKEN = range(1, 12)
+
+
+def fraction(id_: Column, salt: int, rate: float) -> Column:
+    """True for about ``rate`` of all ids, always the same ones."""
+    return uniform(id_, salt) < F.lit(probability(rate))
+
+
+def option(index: Column, values: tuple) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+
+
+def synthesize(ids: DataFrame, run_id: Column, start_ms: Column, load: Workload, id_column: str = "id") -> DataFrame:
+    """One original event per id: the fourteen event fields plus ``id`` and the two clocks in ms.
+
+    Event number n is produced 1/rate seconds after event n-1, counted from ``start_ms``.
+    """
+    i = F.col(id_column)
+    late = fraction(i, LATE, load.late_rate)
+    low = F.when(late, LATE_AGE[0]).otherwise(NORMAL_AGE[0])
+    high = F.when(late, LATE_AGE[1]).otherwise(NORMAL_AGE[1])
+    age_us = F.floor((low + uniform(i, AGE) * (high - low)) * 1_000_000)
+    produced_us = start_ms * 1_000 + F.floor(i * F.lit(1_000_000.0 / load.rate))
+    metric = pick(i, METRIC, len(METRICS))
+    floor_ = option(metric, tuple(m[1] for m in METRICS))
+    ceiling = option(metric, tuple(m[2] for m in METRICS))
+    tenant = F.concat(F.lit("tenant-"), F.lpad((1 + pick(i, TENANT, TENANTS)).cast("string"), 3, "0"))
+    return ids.select(
+        i.alias("id"),
+        produced_us.cast("long").alias("produced_us"),
+        F.lit(1).alias("schema_version"),
+        run_id.alias("producer_run_id"),
+        (2 * i + 1).cast("long").alias("producer_sequence"),
+        F.timestamp_micros(produced_us.cast("long")).alias("produced_at"),
+        F.sha2(F.concat(run_id, F.lit(":"), i.cast("string")), 256).substr(1, 32).alias("event_id"),
+        F.when(fraction(i, HOT, load.hot_rate), F.lit(HOT_TENANT)).otherwise(tenant).alias("tenant_id"),
+        F.concat(F.lit("device-"), F.lpad((1 + pick(i, DEVICE, DEVICES)).cast("string"), 4, "0")).alias("device_id"),
+        option(metric, tuple(m[0] for m in METRICS)).alias("metric_name"),
+        F.round(floor_ + uniform(i, VALUE) * (ceiling - floor_), 3).alias("metric_value"),
+        F.timestamp_micros((produced_us - age_us).cast("long")).alias("event_time"),
+        option(pick(i, REGION, len(REGIONS)), REGIONS).alias("region"),
+        option(pick(i, FIRMWARE, len(FIRMWARES)), FIRMWARES).alias("firmware"),
+        F.lit(False).alias("injected_duplicate"),
+        late.alias("injected_late"),
+    )
+
+
+def duplicates(originals: DataFrame, rate: float) -> DataFrame:
+    """A second send of about ``rate`` of the originals: next sequence, later clock, flag set."""
+    missing = set(REQUIRED_FIELDS) - set(originals.columns)
+    if missing:
+        raise ValueError(f"cannot duplicate events missing fields: {sorted(missing)}")
+    changed = {
+        "producer_sequence": F.col("producer_sequence") + 1,
+        "produced_us": F.col("produced_us") + 1,
+        "produced_at": F.timestamp_micros(F.col("produced_us") + 1),
+        "injected_duplicate": F.lit(True),
+    }
+    return originals.filter(fraction(F.col("id"), DUPLICATE, rate)).select(
+        *[changed[c].alias(c) if c in changed else F.col(c) for c in originals.columns]
+    )
+
+
+def sends(originals: DataFrame, duplicate_rate: float) -> DataFrame:
+    """Originals together with their duplicates, nothing removed."""
+    return originals.unionByName(duplicates(originals, duplicate_rate))
+
+
+def encode(events: DataFrame, *extra: str) -> DataFrame:
+    """The events as compact JSON with sorted keys in ``value``, keyed by tenant."""
+    clocks = {"produced_at", "event_time"}
+    fields = [
+        iso_us(F.col(name)).alias(name) if name in clocks else F.col(name) for name in sorted(REQUIRED_FIELDS)
+    ]
+    return events.select(*extra, F.col("tenant_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+
+
+def corrupt(encoded: DataFrame, rate: float) -> DataFrame:
+    """Cut the closing brace off about ``rate`` of the originals; duplicates stay whole."""
+    cut = F.col("is_original") & fraction(F.col("id"), BROKEN, rate)
+    return encoded.select(
+        *[c for c in encoded.columns if c != "value"],
+        cut.alias("malformed"),
+        F.when(cut, F.left("value", F.length("value") - 1)).otherwise(F.col("value")).alias("value"),
+    )
+
+
+def assign_partitions(messages: DataFrame, order: str, block: Column, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
+    """Source partition by key, and the offset of each message in its partition."""
+    placed = messages.withColumn("src_partition", F.pmod(F.hash("key"), F.lit(partitions)).cast("int"))
+    return (
+        running_number(placed, ["src_partition"], [order], block, "_position")
+        .withColumn("offset", F.col("_position") - 1)
+        .drop("_position")
+    )
+
+
+def workload(ids: DataFrame, run_id: Column, start_ms: Column, load: Workload, id_column: str = "id") -> DataFrame:
+    """Raw messages of a whole run: ``id, producer_sequence, key, malformed, value``."""
+    originals = synthesize(ids, run_id, start_ms, load, id_column)
+    events = sends(originals, load.duplicate_rate).withColumn("is_original", ~F.col("injected_duplicate"))
+    encoded = encode(events, "id", "producer_sequence", "is_original")
+    return corrupt(encoded, load.bad_json_rate).drop("is_original")
