@@ -15,6 +15,7 @@ from tidemark.functions.clock import from_epoch_ms
 from tidemark.functions.lateness import is_late, lateness_ms, usable_watermark
 from tidemark.operators.prefix import Running, blocked_running, running_number
 from tidemark.schema import REQUIRED_FIELDS
+from tidemark.session import materialize
 
 OUT_OF_ORDER_MS = 10_000
 IDLE_MS = 30_000
@@ -35,10 +36,14 @@ def arrival_watermark(
     """One row per batch: ``batch_id, batch_ms, watermark_ms``.
 
     ``arrivals`` needs ``batch_id``, ``batch_ms`` (rising with batch_id), ``src_partition`` and the
-    event time column.  Rows are reduced to one per (batch, partition) before anything is ordered.
+    event time column.  Rows are reduced to one per (batch, partition), and that small table is
+    stored, before anything is ordered: the arrivals are read once.
     """
-    per_cell = arrivals.groupBy("batch_id", "src_partition").agg(
-        F.max(event_ms).alias("mx"), F.max("batch_ms").alias("batch_ms")
+    per_cell = materialize(
+        arrivals.groupBy("batch_id", "src_partition").agg(
+            F.max(event_ms).alias("mx"), F.max("batch_ms").alias("batch_ms")
+        ),
+        "watermark-cells",
     )
     batches = running_number(
         per_cell.groupBy("batch_id").agg(F.max("batch_ms").alias("batch_ms")),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -35,14 +36,31 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints: the cluster's own, or a new one where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOTS:
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        root = _OWN_ROOTS[app]
     return root.rstrip("/")
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a reduced table to the shared folder and read it back.
+
+    Later steps then start from files that outlive any executor, know their size, and do not repeat
+    the work that made them.
+    """
+    path = f"{checkpoint_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_session(
     app_name: str = "tidemark",
     master: str | None = None,
