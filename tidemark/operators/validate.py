@@ -19,6 +19,9 @@ def validate(df: DataFrame, raw: str = "value") -> DataFrame:
     it would otherwise be pushed down together with a second copy of all of it.  The typed columns
     are meaningful only where ``error`` is NULL.
     """
+    clash = sorted(set(df.columns) & {"error", "is_valid", *PARSED_FIELDS})
+    if clash:
+        raise ValueError(f"input columns named like output columns: {clash}")
     record = F.get(F.col("_elements"), F.lit(0))
     rule_of = dict(contract.CHECK_ORDER)
     times = [name for name, rule in rule_of.items() if rule == "instant"]
