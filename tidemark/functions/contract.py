@@ -1,13 +1,14 @@
-"""Column expressions of the event contract: strict JSON decoding, typing and first-failure order."""
+"""The event contract as Spark SQL expressions: strict JSON decoding, typing and first-failure order.
+
+Every function returns the text of an expression over the columns it is given, so a whole record
+check reaches Spark as a handful of expressions instead of a thousand separate calls.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tidemark.functions.text import bounded_detail, is_blank
+from tidemark.functions.text import NOT_BLANK
 from tidemark.schema import (
     EVENT_SCHEMA,
     INVALID_JSON,
@@ -61,159 +62,154 @@ CHECK_ORDER = (
 
 # Closes the text below; a record is whole only if the parser reaches this element.
 END_MARK = "\\u0001end"
-FIELD_TYPES = ", ".join(f"{name} variant" for name in REQUIRED_FIELDS)
+FIELD_TYPES = ", ".join(f"{name}: variant" for name in REQUIRED_FIELDS)
 NON_FINITE_TOKEN = r"([:\[,]\s*)(?:-?Infinity|NaN)(?=\s*[,}\]])"
 
 
-def parse_elements(raw: Column) -> Column:
+def literal(value: str) -> str:
+    """A string as a raw SQL literal, so patterns keep their backslashes."""
+    return "r'" + value + "'"
+
+
+def parse_elements(raw: str) -> str:
     """The record and the end mark as a two-element array of structs of VARIANT fields.
 
     The parser stops at the end of the first value, so the text is read as the first element of an
     array that ends in a mark: anything after the record either breaks the array or moves the mark.
     NULL or another shape means the text is not one JSON object.
     """
-    framed = F.concat(F.lit("["), raw, F.lit(f', {{"schema_version":"{END_MARK}"}}]'))
-    return F.from_json(framed, f"array<struct<{FIELD_TYPES}>>", {"allowSingleQuotes": "false"})
+    mark = literal(f', {{"schema_version":"{END_MARK}"}}]')
+    return (
+        f"from_json(concat('[', {raw}, {mark}), 'array<struct<{FIELD_TYPES}>>', map('allowSingleQuotes', 'false'))"
+    )
 
 
-def is_single_record(elements: Column) -> Column:
-    mark = F.try_variant_get(F.get(elements, F.lit(1))["schema_version"], "$", "string")
-    whole = (F.size(elements) == 2) & F.get(elements, F.lit(0)).isNotNull() & (mark == F.lit("\u0001end"))
-    return F.coalesce(whole, F.lit(False))
+def is_single_record(elements: str) -> str:
+    mark = f"try_variant_get({elements}[1].schema_version, '$', 'string')"
+    return (
+        f"coalesce(size({elements}) = 2 AND {elements}[0] IS NOT NULL AND {mark} = concat(char(1), 'end'), false)"
+    )
 
 
-def decode(raw: Column) -> Column:
+def decode(raw: str) -> str:
     """The one JSON value of any kind a text holds, as VARIANT; NULL when it is not exactly one value.
 
     The text is read inside an array, which rejects a second value or a stray brace, and inside an
     object, which rejects a stray bracket.  Bare non-finite numbers are let through as text.
     """
 
-    def one_value(text: Column) -> Column:
-        in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-        alone = F.try_variant_get(in_array, "$[1]", "variant").isNull()
-        in_object = F.json_object_keys(F.concat(F.lit('{"w":'), text, F.lit("}"))).isNotNull()
-        return F.when(alone & in_object, F.try_variant_get(in_array, "$[0]", "variant"))
-
-    quoted = F.regexp_replace(F.concat(F.lit(":"), raw, F.lit(",")), NON_FINITE_TOKEN, '$1"non-finite"')
-    repaired = quoted.substr(F.lit(2), F.length(quoted) - 2)
-    return F.coalesce(one_value(raw), one_value(repaired))
-
-
-def kind(value: Column) -> Column:
-    """The JSON type of a value: BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, STRING, VOID, ...; NULL if absent."""
-    return F.schema_of_variant(value)
-
+    def one_value(text: str) -> str:
+        in_array = f"try_parse_json(concat('[', {text}, ']'))"
+        in_object = f"""json_object_keys(concat('{{"w":', {text}, '}}'))"""
+        return (
+            f"CASE WHEN try_variant_get({in_array}, '$[1]', 'variant') IS NULL AND {in_object} IS NOT NULL"
+            f" THEN try_variant_get({in_array}, '$[0]', 'variant') END"
+        )
 
-def is_object(doc: Column) -> Column:
-    return kind(doc).startswith("OBJECT<")
+    # A colon before and a comma after let the pattern see a token that is the whole text.
+    token = literal(NON_FINITE_TOKEN)
+    quoted = f"""regexp_replace(concat(':', {raw}, ','), {token}, '$1"non-finite"')"""
+    repaired = f"substring({quoted}, 2, length({quoted}) - 2)"
+    return f"coalesce({one_value(raw)}, {one_value(repaired)})"
 
 
-def as_type(value: Column, type_name: str) -> Column:
-    return F.try_variant_get(value, "$", type_name)
+def is_object(doc: str) -> str:
+    return f"startswith(schema_of_variant({doc}), 'OBJECT<')"
 
 
-def instant(text: Column) -> Column:
+def instant(text: str) -> str:
     """Read ISO-8601 text with an offset as a UTC instant; NULL for any other text."""
-    plain = F.replace(text, F.lit(","), F.lit("."))
-    with_seconds = F.regexp_replace(plain, rf"^({MINUTE_PART})(?!:)", "$1:00")
-    return F.when(text.rlike(COMMON_ZONED), F.try_to_timestamp(text)).when(
-        text.rlike(OTHER_ZONED), F.try_to_timestamp(with_seconds)
+    with_seconds = f"regexp_replace(replace({text}, ',', '.'), {literal(f'^({MINUTE_PART})(?!:)')}, '$1:00')"
+    return (
+        f"CASE WHEN {text} RLIKE {literal(COMMON_ZONED)} THEN try_to_timestamp({text})"
+        f" WHEN {text} RLIKE {literal(OTHER_ZONED)} THEN try_to_timestamp({with_seconds}) END"
     )
 
 
-def in_range(ts: Column) -> Column:
-    return ts.between(F.lit(EARLIEST).cast("timestamp"), F.lit(LATEST).cast("timestamp"))
-
-
-def is_naive(text: Column) -> Column:
+def is_naive(text: str) -> str:
     """A readable date and time without an offset."""
-    plain = F.replace(text, F.lit(","), F.lit("."))
-    with_seconds = F.regexp_replace(plain, rf"^({MINUTE_PART})$", "$1:00")
-    return text.rlike(NAIVE) & F.try_to_timestamp(with_seconds).isNotNull()
+    with_seconds = f"regexp_replace(replace({text}, ',', '.'), {literal(f'^({MINUTE_PART})$')}, '$1:00')"
+    return f"({text} RLIKE {literal(NAIVE)} AND try_to_timestamp({with_seconds}) IS NOT NULL)"
 
 
-def read_field(value: Column, name: str, rule: str, text: Column) -> Column:
+def read_field(value: str, name: str, rule: str, text: str) -> str:
     """The typed value of a field; NULL where it cannot be one."""
     if rule == "instant":
         return instant(text)
-    return as_type(value, EVENT_SCHEMA[name].dataType.simpleString())
+    return f"try_variant_get({value}, '$', '{EVENT_SCHEMA[name].dataType.simpleString()}')"
 
 
 @dataclass(frozen=True)
 class Rule:
     """One way a record can fail."""
 
-    broken: Column
+    broken: str
     category: str
     detail: str
 
 
-def field_rules(name: str, rule: str, kinds: Column, typed: Column, text: Column) -> list[Rule]:
+def field_rules(name: str, rule: str, kind: str, typed: str, text: str) -> list[Rule]:
     """The failures of one field in the order they are tried."""
-
-    def unless(good: Column) -> Column:
-        return ~F.coalesce(good, F.lit(False))
-
     if rule == "integer":
         low, high = INTEGER_RANGE[name]
-        detail = MUST_BE_INTEGER.format(name=name, low=low, high=high)
-        return [Rule(unless((kinds == "BIGINT") & typed.between(low, high)), INVALID_TYPE, detail)]
+        good = f"coalesce({kind} = 'BIGINT' AND {typed} BETWEEN {low} AND {high}, false)"
+        return [Rule(f"NOT {good}", INVALID_TYPE, MUST_BE_INTEGER.format(name=name, low=low, high=high))]
     if rule == "number":
-        numeric = (kinds == "BIGINT") | (kinds == "DOUBLE") | kinds.startswith("DECIMAL") | (kinds == "FLOAT")
-        finite = ~F.isnan(typed) & (F.abs(typed) < F.lit(float("inf")))
+        numeric = f"({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith({kind}, 'DECIMAL'))"
+        finite = f"coalesce(NOT isnan({typed}) AND abs({typed}) < double('Infinity'), false)"
         return [
-            Rule(unless(numeric), INVALID_TYPE, MUST_BE_NUMERIC.format(name=name)),
-            Rule(unless(finite), INVALID_TYPE, MUST_BE_FINITE.format(name=name)),
+            Rule(f"NOT {numeric}", INVALID_TYPE, MUST_BE_NUMERIC.format(name=name)),
+            Rule(f"NOT {finite}", INVALID_TYPE, MUST_BE_FINITE.format(name=name)),
         ]
     if rule == "flag":
-        return [Rule(kinds != "BOOLEAN", INVALID_TYPE, MUST_BE_BOOLEAN.format(name=name))]
+        return [Rule(f"{kind} <> 'BOOLEAN'", INVALID_TYPE, MUST_BE_BOOLEAN.format(name=name))]
     if rule == "text":
-        good = (kinds == "STRING") & ~is_blank(typed)
-        return [Rule(unless(good), INVALID_TYPE, MUST_BE_TEXT.format(name=name))]
+        good = f"coalesce({kind} = 'STRING' AND {typed} RLIKE {literal(NOT_BLANK)}, false)"
+        return [Rule(f"NOT {good}", INVALID_TYPE, MUST_BE_TEXT.format(name=name))]
+    in_range = f"{typed} BETWEEN TIMESTAMP '{EARLIEST}' AND TIMESTAMP '{LATEST}'"
     return [
-        Rule(kinds != "STRING", INVALID_TIMESTAMP, MUST_BE_ISO.format(name=name)),
-        Rule(typed.isNull() & is_naive(text), INVALID_TIMESTAMP, NO_OFFSET.format(name=name)),
-        Rule(typed.isNull(), INVALID_TIMESTAMP, NOT_ISO.format(name=name)),
-        Rule(~in_range(typed), INVALID_TIMESTAMP, OUT_OF_RANGE.format(name=name)),
+        Rule(f"{kind} <> 'STRING'", INVALID_TIMESTAMP, MUST_BE_ISO.format(name=name)),
+        Rule(f"{typed} IS NULL AND {is_naive(text)}", INVALID_TIMESTAMP, NO_OFFSET.format(name=name)),
+        Rule(f"{typed} IS NULL", INVALID_TIMESTAMP, NOT_ISO.format(name=name)),
+        Rule(f"NOT ({in_range})", INVALID_TIMESTAMP, OUT_OF_RANGE.format(name=name)),
     ]
 
 
-def missing_fields(kind_of: dict[str, Column]) -> Column:
+def missing_fields(kinds: str) -> str:
     """The absent required fields, comma separated in declared order."""
-    return F.concat_ws(", ", *[F.when(kind_of[name].isNull(), F.lit(name)) for name in REQUIRED_FIELDS])
-
-
-def all_rules(
-    raw: Column,
-    single: Column,
-    kind_of: dict[str, Column],
-    typed_of: dict[str, Column],
-    text_of: dict[str, Column],
-) -> list[Rule]:
-    """Every rule in the order of the contract; the first broken one decides."""
-    incomplete = F.lit(False)
-    for name in REQUIRED_FIELDS:
-        incomplete = incomplete | kind_of[name].isNull()
+    return "concat_ws(', ', " + ", ".join(f"if({kinds}.{n} IS NULL, '{n}', NULL)" for n in REQUIRED_FIELDS) + ")"
+
+
+def all_rules(raw: str, single: str, kinds: str, typed: str, texts: str) -> list[Rule]:
+    """Every rule in the order of the contract; the first broken one decides.
+
+    ``kinds``, ``typed`` and ``texts`` name structs holding, by field, the JSON type (NULL when the
+    field is absent), the typed value, and the text of the clocks.
+    """
+    incomplete = " OR ".join(f"{kinds}.{n} IS NULL" for n in REQUIRED_FIELDS)
     rules = [
-        Rule(~single & decode(raw).isNull(), INVALID_JSON, NOT_DECODED),
-        Rule(~single, INVALID_TYPE, NOT_OBJECT),
+        Rule(f"NOT {single} AND {decode(raw)} IS NULL", INVALID_JSON, NOT_DECODED),
+        Rule(f"NOT {single}", INVALID_TYPE, NOT_OBJECT),
         Rule(incomplete, MISSING_FIELD, MISSING_PREFIX),
     ]
     for name, rule in CHECK_ORDER:
-        rules += field_rules(name, rule, kind_of[name], typed_of[name], text_of.get(name, typed_of[name]))
+        rules += field_rules(name, rule, f"{kinds}.{name}", f"{typed}.{name}", f"{texts}.{name}")
     return rules
 
 
-def first_broken(rules: list[Rule]) -> Column:
+def first_broken(rules: list[Rule]) -> str:
     """The 1-based number of the first broken rule; NULL for a valid record."""
-    return F.coalesce(*[F.when(rule.broken, F.lit(n)) for n, rule in enumerate(rules, start=1)])
+    return "CASE " + " ".join(f"WHEN {rule.broken} THEN {n}" for n, rule in enumerate(rules, start=1)) + " END"
 
 
-def describe(number: Column, rules: list[Rule], kind_of: dict[str, Column]) -> Column:
-    """struct(category, detail) of a rule number; NULL for NULL."""
-    category = F.element_at(F.array(*[F.lit(r.category) for r in rules]), number)
-    fixed = F.element_at(F.array(*[F.lit(r.detail) for r in rules]), number)
-    listed = F.when(category == MISSING_FIELD, bounded_detail(F.concat(fixed, missing_fields(kind_of))))
-    detail = F.coalesce(listed, fixed)
-    return F.when(number.isNotNull(), F.struct(category.alias("category"), detail.alias("detail")))
+def describe(number: str, rules: list[Rule], kinds: str) -> str:
+    """struct(category, detail) of a rule number; NULL for NULL.
+
+    The longest list of missing fields stays within the limit for details, so it needs no cutting.
+    """
+    categories = ", ".join(f"'{r.category}'" for r in rules)
+    details = ", ".join(f"'{r.detail}'" for r in rules)
+    category = f"element_at(array({categories}), {number})"
+    detail = f"element_at(array({details}), {number})"
+    listed = f"if({category} = '{MISSING_FIELD}', concat({detail}, {missing_fields(kinds)}), {detail})"
+    return f"if({number} IS NULL, NULL, named_struct('category', {category}, 'detail', {listed}))"

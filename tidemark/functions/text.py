@@ -19,11 +19,6 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, OUTER_BLANKS, "")
 
 
-def is_blank(text: Column) -> Column:
-    """True when nothing but Unicode blanks is there; stops at the first other character."""
-    return ~text.rlike(NOT_BLANK)
-
-
 def bounded_detail(text: Column, limit: int = MAX_DETAIL) -> Column:
     """One line of at most ``limit`` characters; longer text ends in three dots."""
     line = strip(F.regexp_replace(text, LINE_BREAK, " "))

@@ -11,8 +11,11 @@ BODY = "body"
 
 
 def parse_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
-    """Keep the lines that are JSON objects, with the object as VARIANT in ``body``."""
-    return lines.withColumn(BODY, decode(F.col(raw))).filter(is_object(F.col(BODY)))
+    """Keep the lines that are JSON objects, with the object as VARIANT in ``body``.
+
+    The one-element explode keeps the filter from being pushed below together with a second decoding.
+    """
+    return lines.withColumn(BODY, F.expr(f"explode(array({decode(raw)}))")).filter(is_object(BODY))
 
 
 def text(field: str) -> Column:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import contract
-from tidemark.functions.clock import epoch_ms
 from tidemark.schema import ERROR_CATEGORIES, PARSED_FIELDS, REQUIRED_FIELDS
 
 
@@ -22,34 +21,32 @@ def validate(df: DataFrame, raw: str = "value") -> DataFrame:
     clash = sorted(set(df.columns) & {"error", "is_valid", *PARSED_FIELDS})
     if clash:
         raise ValueError(f"input columns named like output columns: {clash}")
-    record = F.get(F.col("_elements"), F.lit(0))
+    names = [f"`{name}`" for name in df.columns]
     rule_of = dict(contract.CHECK_ORDER)
     times = [name for name, rule in rule_of.items() if rule == "instant"]
-    kinds = {name: F.col(f"_kinds.{name}") for name in REQUIRED_FIELDS}
-    texts = {name: F.col(f"_texts.{name}") for name in times}
-    typed = {name: F.col(f"_typed.{name}") for name in REQUIRED_FIELDS}
+    rules = contract.all_rules(f"`{raw}`", "_single", "_kinds", "_typed", "_texts")
 
-    def value_of(name: str) -> Column:
-        return contract.read_field(F.col(f"_record.{name}"), name, rule_of[name], texts.get(name))
+    def struct_of(names, expression) -> str:
+        return "named_struct(" + ", ".join(f"'{n}', {expression(n)}" for n in names) + ")"
 
-    rules = contract.all_rules(F.col(raw), F.col("_single"), kinds, typed, texts)
+    kinds = struct_of(REQUIRED_FIELDS, lambda n: f"schema_of_variant(_record.{n})")
+    texts = struct_of(times, lambda n: f"try_variant_get(_record.{n}, '$', 'string')")
+    typed = struct_of(
+        REQUIRED_FIELDS, lambda n: contract.read_field(f"_record.{n}", n, rule_of[n], f"_texts.{n}")
+    )
     return (
-        df.withColumn("_elements", contract.parse_elements(F.col(raw)))
-        .select(*df.columns, contract.is_single_record(F.col("_elements")).alias("_single"), record.alias("_record"))
-        .select(
-            "*",
-            F.struct(*[contract.kind(F.col(f"_record.{n}")).alias(n) for n in REQUIRED_FIELDS]).alias("_kinds"),
-            F.struct(*[contract.as_type(F.col(f"_record.{n}"), "string").alias(n) for n in times]).alias("_texts"),
-        )
-        .withColumn("_typed", F.struct(*[value_of(n).alias(n) for n in REQUIRED_FIELDS]))
-        .withColumn("_broken", contract.first_broken(rules))
-        .withColumn("_rule", F.explode(F.array("_broken")))
-        .select(
-            *df.columns,
-            contract.describe(F.col("_rule"), rules, kinds).alias("error"),
-            F.col("_rule").isNull().alias("is_valid"),
-            *[typed[n].alias(n) for n in REQUIRED_FIELDS],
-            epoch_ms(typed["event_time"]).alias("event_time_ms"),
+        df.withColumn("_elements", F.expr(contract.parse_elements(f"`{raw}`")))
+        .selectExpr(*names, f"{contract.is_single_record('_elements')} AS _single", "_elements[0] AS _record")
+        .selectExpr("*", f"{kinds} AS _kinds", f"{texts} AS _texts")
+        .selectExpr("*", f"{typed} AS _typed")
+        .selectExpr("*", f"{contract.first_broken(rules)} AS _broken")
+        .selectExpr("*", "explode(array(_broken)) AS _rule")
+        .selectExpr(
+            *names,
+            f"{contract.describe('_rule', rules, '_kinds')} AS error",
+            "_rule IS NULL AS is_valid",
+            "_typed.*",
+            "unix_millis(_typed.event_time) AS event_time_ms",
         )
     )
 

@@ -6,15 +6,14 @@ and needs no driver-side data.  ``duck.py`` states the same derivations for the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.clock import epoch_ms, from_epoch_ms, iso_ms, year_month
-from tidemark.functions.lateness import is_late, lateness_ms
 from tidemark.operators.prefix import running_number
 from tidemark.operators.workload import FIRMWARES, REGIONS
 from tidemark.schema import HOT_TENANT
 from tidemark.session import configure
+from tidemark.sources.table import dealt
 
 ARRIVAL_BLOCK = 65_536
 
@@ -24,205 +23,157 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def choose(index: Column, options: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))
+def choose(index: str, options: tuple[str, ...]) -> str:
+    return f"element_at(array({', '.join(repr(o) for o in options)}), cast({index} + 1 AS int))"
 
 
-def padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+def iso(ms: str) -> str:
+    return f"""date_format(timestamp_millis({ms}), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")"""
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event with the identifiers and flags all other datasets use."""
+def base(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """One row per event with the identifiers and flags all other datasets use.
+
+    ``spread`` is for datasets that do much work per row.
+    """
     events = table(spark, sf_dir, "events")
-    eid, user = F.col("event_id"), F.col("user_id")
-    hot = (eid * 31) % 100 < 80
-    return events.select(
-        eid.alias("eid"),
-        epoch_ms(F.col("ts")).alias("ems"),
-        ((eid * 17) % 100 < 10).alias("late"),
-        (eid % 20 == 0).alias("has_dup"),
-        (eid % 200 == 7).alias("bad"),
-        F.when(hot, F.lit(HOT_TENANT))
-        .otherwise(F.concat(F.lit("tenant-"), padded(1 + user % 20, 3)))
-        .alias("tenant_id"),
-        F.when(hot, F.lit(0)).otherwise(1 + user % 5).cast("int").alias("src_partition"),
-        F.concat(F.lit("device-"), padded(1 + user % 2000, 4)).alias("device_id"),
-        F.col("event_type").alias("metric_name"),
-        F.col("value").cast("decimal(18,3)").alias("metric_value"),
-        choose((eid * 7) % 3, REGIONS).alias("region"),
-        choose(eid % 3, FIRMWARES).alias("firmware"),
+    return (dealt(events, "event_id") if spread else events).selectExpr(
+        "event_id AS eid",
+        "user_id",
+        "unix_millis(cast(ts AS timestamp)) AS ems",
+        "event_id * 17 % 100 < 10 AS late",
+        "event_id % 20 = 0 AS has_dup",
+        "event_id % 200 = 7 AS bad",
+        f"""CASE WHEN event_id * 31 % 100 < 80 THEN '{HOT_TENANT}'
+            ELSE concat('tenant-', lpad(cast(1 + user_id % 20 AS string), 3, '0')) END AS tenant_id""",
+        "cast(CASE WHEN event_id * 31 % 100 < 80 THEN 0 ELSE 1 + user_id % 5 END AS int) AS src_partition",
+        "concat('device-', lpad(cast(1 + user_id % 2000 AS string), 4, '0')) AS device_id",
+        "event_type AS metric_name",
+        "cast(value AS decimal(18, 3)) AS metric_value",
+        f"{choose('event_id * 7 % 3', REGIONS)} AS region",
+        f"{choose('event_id % 3', FIRMWARES)} AS firmware",
     )
 
 
-def sends(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sends(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Originals and intentional duplicates: one row per send."""
-    eid, copy = F.col("eid"), F.col("copy")
-    age = F.when(F.col("late"), 15_000 + 1_000 * ((eid * 13) % 286)).otherwise(eid % 2_000)
-    return (
-        base(spark, sf_dir)
-        .withColumn("copy", F.explode(F.when(F.col("has_dup"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-        .withColumn("producer_sequence", 2 * eid + copy)
-        .withColumn("producer_run_id", F.concat(F.lit("run-"), (eid % 4).cast("string")))
-        .withColumn("event_id", F.concat(F.lit("event-"), eid.cast("string")))
-        .withColumn("pms", F.col("ems") + age + copy)
-        .withColumn("vms", F.col("ems") - F.when(F.col("late"), 1_000 * (600 + (eid * 13) % 3_600)).otherwise(0))
+    copies = base(spark, sf_dir, spread).selectExpr(
+        "*", "explode(if(has_dup, array(0L, 1L), array(0L))) AS copy"
+    )
+    return copies.selectExpr(
+        "*",
+        "2 * eid + copy AS producer_sequence",
+        "concat('run-', eid % 4) AS producer_run_id",
+        "concat('event-', eid) AS event_id",
+        "ems + if(late, 15000 + 1000 * (eid * 13 % 286), eid % 2000) + copy AS pms",
+        "ems - if(late, 1000 * (600 + eid * 13 % 3600), 0) AS vms",
     )
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sends as JSON text in ``value``, some originals with one defect each."""
-    eid = F.col("eid")
-    first = F.col("copy") == 0
-
-    def quoted(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
-
-    def plain(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f'"{name}":'), value.cast("string"))
-
-    metric = F.when(first & (eid % 500 == 3), F.lit("true")).otherwise(F.col("metric_value").cast("string"))
-    produced = iso_ms(from_epoch_ms(F.col("pms")))
-    unzoned = F.left(produced, F.length(produced) - 1)
-    text = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ",",
-            quoted("device_id", F.col("device_id")),
-            quoted("event_id", F.col("event_id")),
-            quoted("event_time", iso_ms(from_epoch_ms(F.col("vms")))),
-            quoted("firmware", F.col("firmware")),
-            plain("injected_duplicate", F.col("copy") == 1),
-            plain("injected_late", F.col("late")),
-            quoted("metric_name", F.col("metric_name")),
-            plain("metric_value", metric),
-            quoted("produced_at", F.when(first & (eid % 500 == 13), unzoned).otherwise(produced)),
-            quoted("producer_run_id", F.col("producer_run_id")),
-            plain("producer_sequence", F.col("producer_sequence")),
-            F.when(~(first & (eid % 500 == 11)), quoted("region", F.col("region"))),
-            plain("schema_version", F.lit(1)),
-            quoted("tenant_id", F.col("tenant_id")),
-        ),
-        F.lit("}"),
-    )
-    return sends(spark, sf_dir).select(
-        "eid",
-        "copy",
-        F.col("producer_sequence").alias("arrival"),
-        F.col("pms").alias("sent_ms"),
-        F.col("tenant_id").alias("key"),
-        F.when(first & F.col("bad"), F.left(text, F.length(text) - 1)).otherwise(text).alias("value"),
-        "src_partition",
-        (eid - eid % 8).alias("batch_id"),
-        F.expr("eid div 8 * 10000").alias("batch_ms"),
+    metric = "if(copy = 0 AND eid % 500 = 3, 'true', cast(metric_value AS string))"
+    produced = f"if(copy = 0 AND eid % 500 = 13, rtrim('Z', {iso('pms')}), {iso('pms')})"
+    region = "if(copy = 0 AND eid % 500 = 11, '', concat(',\"region\":\"', region, '\"'))"
+    text = f"""concat(
+        '{{"device_id":"', device_id, '","event_id":"', event_id, '","event_time":"', {iso('vms')},
+        '","firmware":"', firmware, '","injected_duplicate":', copy = 1, ',"injected_late":', late,
+        ',"metric_name":"', metric_name, '","metric_value":', {metric}, ',"produced_at":"', {produced},
+        '","producer_run_id":"', producer_run_id, '","producer_sequence":', producer_sequence,
+        {region}, ',"schema_version":1,"tenant_id":"', tenant_id, '"}}')"""
+    return (
+        sends(spark, sf_dir, spread=True)
+        .selectExpr("*", f"{text} AS whole")
+        .selectExpr(
+            "eid",
+            "copy",
+            "producer_sequence AS arrival",
+            "pms AS sent_ms",
+            "tenant_id AS key",
+            "if(copy = 0 AND bad, left(whole, length(whole) - 1), whole) AS value",
+            "src_partition",
+            "eid - eid % 8 AS batch_id",
+            "eid div 8 * 10000 AS batch_ms",
+        )
     )
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw sends with the offset each got in its source partition."""
-    return running_number(
-        raw(spark, sf_dir),
-        ["src_partition"],
-        ["arrival"],
-        F.expr(f"arrival div {ARRIVAL_BLOCK}"),
-        "position",
-    ).withColumn("offset", F.col("position") - 1).drop("position")
+    numbered = running_number(
+        raw(spark, sf_dir), ["src_partition"], ["arrival"], F.expr(f"arrival div {ARRIVAL_BLOCK}"), "position"
+    )
+    return numbered.selectExpr("*", "position - 1 AS offset").drop("position")
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored table: every send once, and some sends twice after a recovery replay."""
-    eid = F.col("eid")
-    replayed = F.when(eid % 997 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    drift = F.when(F.col("late"), ((eid * 29) % 100 - 20) * 1_500).otherwise(((eid * 29) % 100 - 97) * 1_500)
-    rows = (
-        sends(spark, sf_dir)
-        .withColumn("replay", F.explode(replayed))
-        .withColumn("processed_ms", F.col("pms") + 50 + eid % 400)
-        .withColumn("ingested_ms", F.col("processed_ms") + 20 + eid % 900 + 1_000 * F.col("replay"))
-        .withColumn("watermark_ms", F.when(eid >= 8, F.col("ems") + drift))
+    rows = sends(spark, sf_dir).selectExpr(
+        "*",
+        "explode(if(eid % 997 = 5, array(0L, 1L), array(0L))) AS replay",
+        "pms + 50 + eid % 400 AS processed_ms",
+        """CASE WHEN eid >= 8 THEN
+             ems + 1500 * (if(late, eid * 29 % 100 - 20, eid * 29 % 100 - 97)) END AS watermark_ms""",
     )
-    ems, mark = F.col("ems"), F.col("watermark_ms")
-    return rows.select(
-        F.lit(1).alias("schema_version"),
+    return rows.selectExpr(
+        "1 AS schema_version",
         "producer_run_id",
         "producer_sequence",
-        from_epoch_ms(F.col("pms")).alias("produced_at"),
+        "timestamp_millis(pms) AS produced_at",
         "event_id",
         "tenant_id",
         "device_id",
         "metric_name",
-        F.col("metric_value").cast("double").alias("metric_value"),
-        from_epoch_ms(ems).alias("event_time"),
+        "cast(metric_value AS double) AS metric_value",
+        "timestamp_millis(ems) AS event_time",
         "region",
         "firmware",
-        (F.col("copy") == 1).alias("injected_duplicate"),
-        F.col("late").alias("injected_late"),
-        from_epoch_ms(F.col("processed_ms")).alias("processed_at"),
-        from_epoch_ms(mark).alias("watermark_at_arrival"),
-        is_late(ems, mark).alias("is_late"),
-        lateness_ms(ems, mark).alias("lateness_ms"),
-        from_epoch_ms(F.col("ingested_ms")).alias("ingested_at"),
-        year_month(from_epoch_ms(ems)).alias("ym"),
+        "copy = 1 AS injected_duplicate",
+        "late AS injected_late",
+        "timestamp_millis(processed_ms) AS processed_at",
+        "timestamp_millis(watermark_ms) AS watermark_at_arrival",
+        "coalesce(ems <= watermark_ms, false) AS is_late",
+        "greatest(0L, coalesce(watermark_ms - ems, 0L)) AS lateness_ms",
+        "timestamp_millis(processed_ms + 20 + eid % 900 + 1000 * replay) AS ingested_at",
+        "date_format(timestamp_millis(ems), 'yyyyMM') AS ym",
     )
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the sender tried: one row per send with its size and enqueue time."""
-    return raw(spark, sf_dir).select(
-        F.concat(F.lit("run-"), (F.col("eid") % 4).cast("string")).alias("run_id"),
-        F.col("arrival").alias("producer_sequence"),
-        F.concat(F.lit("event-"), F.col("eid").cast("string")).alias("event_id"),
-        F.octet_length("value").cast("long").alias("payload_bytes"),
-        F.col("sent_ms").alias("enqueued_ms"),
+    return raw(spark, sf_dir).selectExpr(
+        "concat('run-', eid % 4) AS run_id",
+        "arrival AS producer_sequence",
+        "concat('event-', eid) AS event_id",
+        "cast(octet_length(value) AS bigint) AS payload_bytes",
+        "sent_ms AS enqueued_ms",
     )
 
 
 def callbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the broker answered: acknowledgements, failures, and silence for some sends."""
-    seq = F.col("producer_sequence")
-    failed = seq % 101 == 0
-    return (
-        sends(spark, sf_dir)
-        .filter(seq % 97 != 0)
-        .select(
-            F.col("producer_run_id").alias("run_id"),
-            "producer_sequence",
-            F.when(~failed, F.col("src_partition")).alias("partition"),
-            F.when(~failed, seq).alias("offset"),
-            F.when(~failed, F.col("pms") + 1 + (F.col("eid") * 7) % 40).alias("acked_ms"),
-            failed.alias("failed"),
-            (F.col("eid") % 13).alias("tx_retries"),
-        )
+    answered = sends(spark, sf_dir).filter("producer_sequence % 97 <> 0")
+    return answered.selectExpr("*", "producer_sequence % 101 = 0 AS failed").selectExpr(
+        "producer_run_id AS run_id",
+        "producer_sequence",
+        "if(failed, NULL, src_partition) AS partition",
+        "if(failed, NULL, producer_sequence) AS offset",
+        "if(failed, NULL, pms + 1 + eid * 7 % 40) AS acked_ms",
+        "failed",
+        "eid % 13 AS tx_retries",
     )
 
 
 def client_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sender statistics as JSON text, in the shapes retry extraction has to cope with."""
-    eid = F.col("eid")
-    shape = eid % 6
-    text = F.when(shape == 0, F.concat(F.lit('{"txretries":'), (eid % 9).cast("string"), F.lit("}")))
-    text = text.when(
-        shape == 1,
-        F.concat(
-            F.lit('{"brokers":{"a":{"txretries":'), (eid % 5).cast("string"),
-            F.lit('},"b":{"txretries":'), (eid % 7).cast("string"), F.lit("}}}"),
-        ),
-    )
-    text = text.when(
-        shape == 2,
-        F.concat(F.lit('{"txretries":true,"brokers":{"a":{"txretries":'), (eid % 4).cast("string"), F.lit('},"b":7}}')),
-    )
-    text = text.when(shape == 3, F.concat(F.lit('{"txretries":-'), (1 + eid % 3).cast("string"), F.lit("}")))
-    text = text.when(
-        shape == 4,
-        F.concat(
-            F.lit('{"brokers":{"a":{"txretries":-2},"b":{"txretries":'), (eid % 8).cast("string"), F.lit('},"c":{}}}')
-        ),
-    )
-    text = text.otherwise(F.lit('{"brokers":[1,2]}'))
-    return base(spark, sf_dir).select(
-        F.concat(F.lit("run-"), (eid % 4).cast("string")).alias("run_id"), "eid", text.alias("statistics")
-    )
+    text = """CASE eid % 6
+        WHEN 0 THEN concat('{"txretries":', eid % 9, '}')
+        WHEN 1 THEN concat('{"brokers":{"a":{"txretries":', eid % 5, '},"b":{"txretries":', eid % 7, '}}}')
+        WHEN 2 THEN concat('{"txretries":true,"brokers":{"a":{"txretries":', eid % 4, '},"b":7}}')
+        WHEN 3 THEN concat('{"txretries":-', 1 + eid % 3, '}')
+        WHEN 4 THEN concat('{"brokers":{"a":{"txretries":-2},"b":{"txretries":', eid % 8, '},"c":{}}}')
+        ELSE '{"brokers":[1,2]}' END"""
+    return base(spark, sf_dir, spread=True).selectExpr("concat('run-', eid % 4) AS run_id", "eid", f"{text} AS statistics")
 
 
 # Names of the metric series this package reports.
@@ -238,57 +189,33 @@ JOBS = ("broker", "stream-driver", "stream-executor", "warehouse")
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sixteen series scraped every five seconds; ``series`` names one series of one metric."""
-    eid = F.col("event_id")
-    slot, scrape = eid % 16, F.expr("event_id div 16")
-    ts_ms = F.lit(1_704_067_200_000) + scrape * 5_000
-    turn = scrape % 4
-    name = (
-        F.when(slot < 4, VALID_TOTAL)
-        .when(slot < 8, KEYED_TOTAL)
-        .when(slot < 12, PENDING)
-        .when(slot == 12, UP)
-        .when(slot == 13, INPUT_WATERMARK)
-        .when(slot == 14, HOT_STATE)
-        .when(scrape % 2 == 0, LOCAL_BYTES)
-        .otherwise(REMOTE_BYTES)
+    """Sixteen series scraped every five seconds, each event being one sample."""
+    slotted = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "event_id % 16 AS slot", "event_id div 16 AS scrape", "1704067200000 + event_id div 16 * 5000 AS ts_ms"
     )
-    subtask = (
-        F.when(slot < 12, slot % 4)
-        .when(slot == 12, F.lit(None).cast("long"))
-        .when(slot == 15, F.expr("event_id div 32") % 4)
-        .otherwise(turn)
-    )
-    job = F.when(slot == 12, choose(turn, JOBS)).otherwise(F.lit("stream-executor"))
-    value = (
-        F.when(slot < 4, ((scrape % 500) * (10 + slot)).cast("double"))
-        .when((slot >= 4) & (slot < 8), ((scrape % 700) * F.when(slot == 6, 95).otherwise(5)).cast("double"))
-        .when((slot < 12) & (scrape % 50 == 7), F.lit(float("nan")))
-        .when(slot < 12, ((scrape * (slot + 3)) % 977).cast("double"))
-        .when(slot == 12, F.when(F.expr("event_id div 512") % 5 == 3, F.lit(0.0)).otherwise(F.lit(1.0)))
-        .when(slot == 13, (ts_ms - (eid * 13) % 9_000).cast("double"))
-        .when(slot == 14, F.when(turn == 2, scrape).otherwise(F.lit(0)).cast("double"))
-        .when(scrape % 2 == 0, ((scrape * 11) % 400).cast("double"))
-        .otherwise(F.lit(0.0))
-    )
-    runtime_id = F.when(eid % 320 == 1, F.concat(F.lit("j"), (eid % 7).cast("string")))
-    samples = table(spark, sf_dir, "events").select(
+    samples = slotted.selectExpr(
         "event_id",
-        from_epoch_ms(ts_ms).alias("ts"),
-        name.alias("name"),
-        subtask.alias("subtask"),
-        job.alias("job"),
-        runtime_id.alias("runtime_id"),
-        value.alias("value"),
-    )
-    labels = F.map_filter(
-        F.map_from_arrays(
-            F.array(F.lit("subtask_index"), F.lit("job"), F.lit("job_id")),
-            F.array(F.col("subtask").cast("string"), F.col("job"), F.col("runtime_id")),
-        ),
-        lambda _k, v: v.isNotNull(),
+        "timestamp_millis(ts_ms) AS ts",
+        f"""CASE WHEN slot < 4 THEN '{VALID_TOTAL}' WHEN slot < 8 THEN '{KEYED_TOTAL}' WHEN slot < 12 THEN '{PENDING}'
+            WHEN slot = 12 THEN '{UP}' WHEN slot = 13 THEN '{INPUT_WATERMARK}' WHEN slot = 14 THEN '{HOT_STATE}'
+            WHEN scrape % 2 = 0 THEN '{LOCAL_BYTES}' ELSE '{REMOTE_BYTES}' END AS name""",
+        """CASE WHEN slot < 12 THEN slot % 4 WHEN slot = 12 THEN NULL WHEN slot = 15 THEN event_id div 32 % 4
+            ELSE scrape % 4 END AS subtask""",
+        f"if(slot = 12, {choose('scrape % 4', JOBS)}, 'stream-executor') AS job",
+        "if(event_id % 320 = 1, concat('j', event_id % 7), NULL) AS runtime_id",
+        """cast(CASE WHEN slot < 4 THEN scrape % 500 * (10 + slot)
+            WHEN slot < 8 THEN scrape % 700 * if(slot = 6, 95, 5)
+            WHEN slot < 12 AND scrape % 50 = 7 THEN double('NaN')
+            WHEN slot < 12 THEN scrape * (slot + 3) % 977
+            WHEN slot = 12 THEN if(event_id div 512 % 5 = 3, 0, 1)
+            WHEN slot = 13 THEN ts_ms - event_id * 13 % 9000
+            WHEN slot = 14 THEN if(scrape % 4 = 2, scrape, 0)
+            WHEN scrape % 2 = 0 THEN scrape * 11 % 400
+            ELSE 0 END AS double) AS value""",
     )
-    return samples.select("event_id", "ts", "name", labels.alias("labels"), "value")
+    labels = """map_filter(map('subtask_index', cast(subtask AS string), 'job', job, 'job_id', runtime_id),
+        (k, v) -> v IS NOT NULL) AS labels"""
+    return samples.selectExpr("event_id", "ts", "name", labels, "value")
 
 
 # Services whose logs are collected, and the messages they write.
@@ -300,42 +227,23 @@ FINAL_EVENT = "producer_final"
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log line per event, most of them JSON, with a service name."""
-    eid = F.col("eid")
-    stamp = iso_ms(from_epoch_ms(F.col("ems")))
-    run = F.concat(F.lit("run-"), (eid % 4).cast("string"))
-    level = choose(F.expr("eid div 3") % 4, ("INFO", "INFO", "WARNING", "ERROR"))
-    head = F.concat(F.lit('{"timestamp":"'), stamp, F.lit('","level":"'), level, F.lit('"'))
-    final = F.concat(
-        head, F.lit(',"event":"'), F.lit(FINAL_EVENT), F.lit('","producer_run_id":"'), run,
-        F.lit('","attempted":'), (eid * 2).cast("string"),
-        F.lit(',"acked":'), (eid * 2 - F.when(eid % 3 == 0, 1).otherwise(0)).cast("string"),
-        F.lit(',"failed":'), F.when(eid % 3 == 0, "1").otherwise("0"),
-        F.lit(',"undelivered":0,"reconciled":true}'),
-    )
-    reject = F.concat(
-        head, F.lit(',"component":"stream-job","message":"'), F.lit(REJECT_MESSAGE),
-        F.lit('","error_category":"invalid_json","raw_payload_length":'), (100 + eid % 200).cast("string"), F.lit("}"),
-    )
-    milestone = F.concat(
-        head, F.lit(',"component":"stream-job","message":"'), F.lit(MILESTONE_MESSAGE),
-        F.lit('","tenant_id":"tenant-hot","tenant_record_count":'), eid.cast("string"), F.lit("}"),
-    )
-    savepoint = F.concat(
-        F.lit("Savepoint completed. Path: file:///ckpt/"), (eid % 11).cast("string"),
-        F.lit("; Savepoint completed. Path: file:///ckpt/sp-"), eid.cast("string"), F.lit("."),
-    )
-    shape = eid % 10
-    text = (
-        F.when(shape == 0, final)
-        .when(shape.isin(1, 2, 3), reject)
-        .when(shape.isin(4, 5), milestone)
-        .when(shape == 6, savepoint)
-        .when(shape == 7, F.concat(F.lit("plain text line "), eid.cast("string")))
-        .otherwise(F.concat(head, F.lit(',"component":"stream-job","message":"job_starting"}')))
-    )
-    return base(spark, sf_dir).select(
-        "eid", choose(eid % 3, SERVICES).alias("service"), text.alias("raw")
+    level = choose("eid div 3 % 4", ("INFO", "INFO", "WARNING", "ERROR"))
+    job = f"""head, ',"component":"stream-job","message":"'"""
+    text = f"""CASE
+        WHEN eid % 10 = 0 THEN concat(head, ',"event":"{FINAL_EVENT}","producer_run_id":"run-', eid % 4,
+            '","attempted":', eid * 2, ',"acked":', eid * 2 - if(eid % 3 = 0, 1, 0),
+            ',"failed":', if(eid % 3 = 0, 1, 0), ',"undelivered":0,"reconciled":true}}')
+        WHEN eid % 10 < 4 THEN concat({job}, '{REJECT_MESSAGE}","error_category":"invalid_json","raw_payload_length":',
+            100 + eid % 200, '}}')
+        WHEN eid % 10 < 6 THEN concat({job}, '{MILESTONE_MESSAGE}","tenant_id":"tenant-hot","tenant_record_count":', eid, '}}')
+        WHEN eid % 10 = 6 THEN concat('Savepoint completed. Path: file:///ckpt/', eid % 11,
+            '; Savepoint completed. Path: file:///ckpt/sp-', eid, '.')
+        WHEN eid % 10 = 7 THEN concat('plain text line ', eid)
+        ELSE concat({job}, 'job_starting"}}') END"""
+    stamped = base(spark, sf_dir, spread=True).selectExpr(
+        "eid", f"""concat('{{"timestamp":"', {iso('ems')}, '","level":"', {level}, '"') AS head"""
     )
+    return stamped.selectExpr("eid", f"{choose('eid % 3', SERVICES)} AS service", f"{text} AS raw")
 
 
 # Shapes of the broker bean names that the renaming rules cover.
@@ -362,11 +270,12 @@ BEAN_SHAPES = (
 
 def bean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One broker bean name per event, cycling through every shape."""
-    shape = choose(F.col("event_id") % len(BEAN_SHAPES), BEAN_SHAPES)
+    shape = choose(f"event_id % {len(BEAN_SHAPES)}", BEAN_SHAPES)
     for mark, column in (
-        ("{u}", (F.col("user_id") % 50).cast("string")),
-        ("{m}", F.col("event_type")),
-        ("{p}", (F.col("event_id") % 6).cast("string")),
+        ("{u}", "cast(user_id % 50 AS string)"),
+        ("{m}", "event_type"),
+        ("{p}", "cast(event_id % 6 AS string)"),
     ):
-        shape = F.replace(shape, F.lit(mark), column)
-    return table(spark, sf_dir, "events").select("event_id", shape.alias("bean"))
+        shape = f"replace({shape}, '{mark}', {column})"
+    events = dealt(table(spark, sf_dir, "events"), "event_id")
+    return events.selectExpr("event_id", f"{shape} AS bean")

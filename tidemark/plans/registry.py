@@ -1097,7 +1097,7 @@ def log_encode(spark, sf_dir):
 
 def synthetic(spark: SparkSession, sf_dir: str, preset: str) -> DataFrame:
     """Synthetic originals, one for each event, its run and clock taken from the event."""
-    ids = data.base(spark, sf_dir).select("eid", "ems")
+    ids = data.base(spark, sf_dir, spread=True).select("eid", "ems")
     run = F.concat(F.lit("run-"), (F.col("eid") % 4).cast("string"))
     return workload.synthesize(ids, run, F.col("ems"), PRESETS[preset], "eid")
 
@@ -1187,7 +1187,7 @@ def anomaly_malformed(spark, sf_dir):
 
 @query("workload_partitions")
 def workload_partitions(spark, sf_dir):
-    ids = data.base(spark, sf_dir).select("eid", "ems")
+    ids = data.base(spark, sf_dir, spread=True).select("eid", "ems")
     run = F.concat(F.lit("run-"), (F.col("eid") % 4).cast("string"))
     messages = workload.workload(ids, run, F.col("ems"), PRESETS["smoke"], "eid")
     placed = workload.assign_partitions(messages, "producer_sequence", F.expr(f"producer_sequence div {BLOCK}"))

@@ -25,6 +25,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # No Python call site is recorded for each column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
