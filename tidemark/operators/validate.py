@@ -22,31 +22,32 @@ def validate(df: DataFrame, raw: str = "value") -> DataFrame:
     if clash:
         raise ValueError(f"input columns named like output columns: {clash}")
     names = [f"`{name}`" for name in df.columns]
-    rule_of = dict(contract.CHECK_ORDER)
-    times = [name for name, rule in rule_of.items() if rule == "instant"]
-    rules = contract.all_rules(f"`{raw}`", "_single", "_kinds", "_typed", "_texts")
+    times = [name for name, rule in contract.CHECK_ORDER if rule == "instant"]
+    rules = contract.all_rules(f"`{raw}`", "_single", "_kinds", "_values", "_instants")
 
-    def struct_of(names, expression) -> str:
-        return "named_struct(" + ", ".join(f"'{n}', {expression(n)}" for n in names) + ")"
+    def struct_of(fields, expression) -> str:
+        return "named_struct(" + ", ".join(f"'{n}', {expression(n)}" for n in fields) + ")"
 
     kinds = struct_of(REQUIRED_FIELDS, lambda n: f"schema_of_variant(_record.{n})")
-    texts = struct_of(times, lambda n: f"try_variant_get(_record.{n}, '$', 'string')")
-    typed = struct_of(
-        REQUIRED_FIELDS, lambda n: contract.read_field(f"_record.{n}", n, rule_of[n], f"_texts.{n}")
-    )
+    instants = struct_of(times, lambda n: contract.instant(f"_values.{n}"))
     return (
-        df.withColumn("_elements", F.expr(contract.parse_elements(f"`{raw}`")))
-        .selectExpr(*names, f"{contract.is_single_record('_elements')} AS _single", "_elements[0] AS _record")
-        .selectExpr("*", f"{kinds} AS _kinds", f"{texts} AS _texts")
-        .selectExpr("*", f"{typed} AS _typed")
+        df.selectExpr(
+            "*",
+            f"{contract.parse_elements(f'`{raw}`')} AS _elements",
+            f"{contract.read_values(f'`{raw}`')} AS _values",
+        )
+        .selectExpr(
+            *names, "_values", f"{contract.is_single_record('_elements')} AS _single", "_elements[0] AS _record"
+        )
+        .selectExpr(*names, "_values", "_single", f"{kinds} AS _kinds", f"{instants} AS _instants")
         .selectExpr("*", f"{contract.first_broken(rules)} AS _broken")
         .selectExpr("*", "explode(array(_broken)) AS _rule")
         .selectExpr(
             *names,
             f"{contract.describe('_rule', rules, '_kinds')} AS error",
             "_rule IS NULL AS is_valid",
-            "_typed.*",
-            "unix_millis(_typed.event_time) AS event_time_ms",
+            *[f"{'_instants' if n in times else '_values'}.{n} AS {n}" for n in REQUIRED_FIELDS],
+            "unix_millis(_instants.event_time) AS event_time_ms",
         )
     )
 

@@ -36,8 +36,9 @@ def arrival_watermark(
     """One row per batch: ``batch_id, batch_ms, watermark_ms``.
 
     ``arrivals`` needs ``batch_id``, ``batch_ms`` (rising with batch_id), ``src_partition`` and the
-    event time column.  Rows are reduced to one per (batch, partition), and that small table is
-    stored, before anything is ordered: the arrivals are read once.
+    event time column.  Rows are reduced to one per (batch, partition) before anything is ordered,
+    and the reduced tables are stored between steps: the arrivals are read once, and no step repeats
+    the ones before it.
     """
     per_cell = materialize(
         arrivals.groupBy("batch_id", "src_partition").agg(
@@ -56,25 +57,25 @@ def arrival_watermark(
     # idle_ms matter, so each batch is also shown to the window of the time bucket before its own.
     bucket = F.floor(F.col("batch_ms") / F.lit(idle_ms))
     horizon = Window.partitionBy("_bucket").orderBy("batch_ms").rangeBetween(Window.currentRow, idle_ms)
-    reach = (
+    steps = materialize(
         batches.withColumn("_home", bucket)
         .withColumn("_bucket", F.explode(F.array(F.col("_home"), F.col("_home") - 1)))
         .withColumn("until", F.max("idx").over(horizon))
         .filter(F.col("_bucket") == F.col("_home"))
-        .select("batch_id", "idx", "until")
+        .select("batch_id", "batch_ms", "idx", "until"),
+        "watermark-steps",
     )
+    block = F.expr(f"idx div {BATCH_BLOCK}")
     seen = blocked_running(
-        per_cell.join(reach, "batch_id"),
+        per_cell.select("batch_id", "src_partition", "mx").join(steps, "batch_id"),
         ["src_partition"],
         ["idx"],
-        F.expr(f"idx div {BATCH_BLOCK}"),
+        block,
         {"reached": Running("max", F.col("mx"))},
     ).filter(F.col("reached").isNotNull())
     # A partition's value holds from the next batch to its next appearance or until it goes idle.
     # Appearances are matched up inside a block; overlap at block ends is settled by the maximum.
-    next_seen = F.lead("idx").over(
-        Window.partitionBy("src_partition", F.expr(f"idx div {BATCH_BLOCK}")).orderBy("idx")
-    )
+    next_seen = F.lead("idx").over(Window.partitionBy("src_partition", block).orderBy("idx"))
     held = (
         seen.withColumn("last", F.least(F.coalesce(next_seen, F.col("until")), F.col("until")))
         .filter(F.col("last") > F.col("idx"))
@@ -86,12 +87,9 @@ def arrival_watermark(
         .groupBy("idx")
         .agg((F.min("reached") - F.lit(out_of_order_ms)).alias("low"))
     )
+    lows = materialize(steps.join(lowest, "idx", "left"), "watermark-lows")
     return blocked_running(
-        batches.join(lowest, "idx", "left"),
-        [],
-        ["idx"],
-        F.expr(f"idx div {BATCH_BLOCK}"),
-        {"watermark_ms": Running("max", F.col("low"))},
+        lows, [], ["idx"], block, {"watermark_ms": Running("max", F.col("low"))}
     ).select("batch_id", "batch_ms", "watermark_ms")
 
 

@@ -29,9 +29,11 @@ from tidemark.operators import (
 )
 from tidemark.plans import datasets as data
 from tidemark.plans import duck
-from tidemark.schema import HOT_TENANT, SINK_FIELDS, SOURCE_TOPIC
+from tidemark.schema import HOT_TENANT, REQUIRED_FIELDS, SINK_FIELDS, SOURCE_TOPIC
 from tidemark.session import checkpoint_root
 from tidemark.sources import table, topics
+from tidemark.streaming import sinks, tenant_state
+from tidemark.streaming.pipeline import Paths, start_pipeline
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -448,6 +450,51 @@ def observed_lateness_counts(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------- streaming runs
+
+
+def captured(spark: SparkSession, sf_dir: str) -> tuple[Paths, str]:
+    """The raw sends captured as arrival files in a new folder, for the streaming queries to read."""
+    root = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
+    rows = data.raw(spark, sf_dir).selectExpr("key", "value", "src_partition", "arrival AS offset")
+    rows.write.json(f"{root}/arrivals")
+    return Paths(root), f"{root}/arrivals"
+
+
+def run_pipeline(spark: SparkSession, sf_dir: str) -> Paths:
+    paths, folder = captured(spark, sf_dir)
+    stream = topics.captured_stream(spark, folder, files_per_trigger=1_000)
+    start_pipeline(spark, stream, paths, available_now=True).awaitTermination()
+    return paths
+
+
+@query("streamed_rows", duck.over_judged(f"SELECT {TYPED_COLUMNS} FROM typed"))
+def streamed_rows(spark, sf_dir):
+    stored = table.read_table(spark, run_pipeline(spark, sf_dir).table)
+    return stored.select(*REQUIRED_FIELDS)
+
+
+@query("streamed_dlq", duck.over_judged("SELECT raw_payload, error_category, error_detail FROM rejects"))
+def streamed_dlq(spark, sf_dir):
+    letters = sinks.read_dlq_files(spark, run_pipeline(spark, sf_dir).dead_letters)
+    return letters.select("raw_payload", "error_category", "error_detail")
+
+
+@query(
+    "hot_state_value",
+    duck.over_judged("""
+SELECT tenant_id, count(*) AS tenant_record_count FROM typed WHERE tenant_id = 'tenant-hot' GROUP BY 1"""),
+)
+def hot_state_value(spark, sf_dir):
+    paths, folder = captured(spark, sf_dir)
+    checkpoint = paths.tenant_state(0)
+    stream = topics.captured_stream(spark, folder)
+    tenant_state.start_tenant_state(
+        spark, stream, checkpoint, f"{checkpoint}-output", available_now=True
+    ).awaitTermination()
+    return tenant_state.state_value(spark, checkpoint)
+
+
 # --------------------------------------------------------- keyed counts and skew
 
 

@@ -17,6 +17,8 @@ SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated JSON key keeps its last value instead of rejecting the record.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # One value of a wrong type leaves the record's other values readable.
+    "spark.sql.json.enablePartialResults": "true",
 }
 
 # Settings for large inputs; only applied to sessions that we build.
