@@ -117,6 +117,13 @@ def test_strict_flag():
     assert PipelineConfig.from_settings({}).tenant_state is False
 
 
+def test_strict_flag_column(spark):
+    df = spark.createDataFrame([("true",), ("false",)], "t string")
+    assert [r[0] for r in df.select(text.strict_flag(F.col("t"), "x")).collect()] == [True, False]
+    with pytest.raises(Exception, match="x must be exactly 'true' or 'false'"):
+        spark.createDataFrame([("TRUE",)], "t string").select(text.strict_flag(F.col("t"), "x")).collect()
+
+
 @pytest.mark.parametrize(
     "bad", [{"parallelism": 0}, {"out_of_order_ms": -1}, {"idle_ms": 0}, {"preview_rate": 1.5}, {"jdbc_batch_size": 0}]
 )

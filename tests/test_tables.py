@@ -110,6 +110,9 @@ def test_duplicates_keep_the_event_and_refresh_the_send(made):
         good = good & condition
     assert pairs.filter(~good).count() == 0
     assert abs(copies.count() / originals.count() - load.duplicate_rate) < 0.01
+    union = originals.unionByName(copies)
+    assert workload.sends(originals, load.duplicate_rate).exceptAll(union).count() == 0
+    assert union.exceptAll(workload.sends(originals, load.duplicate_rate)).count() == 0
     with pytest.raises(ValueError, match="missing fields: \\['region'\\]"):
         workload.duplicates(originals.drop("region"), 0.1)
 

@@ -33,3 +33,9 @@ def last_savepoint_path(text: Column) -> Column:
     """The path named by the last completion notice in a text, without closing punctuation."""
     found = F.regexp_extract_all(text, F.lit(r"(?i)Savepoint completed\.\s*Path:\s*(\S+)"), F.lit(1))
     return F.regexp_replace(F.try_element_at(found, F.lit(-1)), r"[.,;\"']+$", "")
+
+
+def strict_flag(value: Column, name: str) -> Column:
+    """Read the words true and false; any other text stops the query."""
+    wrong = F.raise_error(F.lit(f"{name} must be exactly 'true' or 'false'"))
+    return F.when(value == "true", F.lit(True)).when(value == "false", F.lit(False)).otherwise(wrong.cast("boolean"))

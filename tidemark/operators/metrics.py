@@ -158,7 +158,7 @@ def target_health(samples: DataFrame, expected: tuple[str, ...], seconds: int =
         .agg(F.max_by("value", "ts").alias("value"))
     )
     # Expected targets are a fixed list, so the set of healthy ones is bounded by it.
-    healthy = F.collect_set(F.when(F.col("value") == 1, F.col("job")))
+    healthy = F.collect_set(F.when((F.col("value") == 1) & F.col("job").isin(*expected), F.col("job")))
     return latest.groupBy("window_start").agg(
         F.count_if(F.col("value") == 1).alias("targets_up"),
         F.array_join(F.array_except(F.array(*[F.lit(t) for t in expected]), healthy), ",").alias("missing"),

@@ -16,42 +16,62 @@ def grouped_quantiles(
     probabilities: tuple[float, ...] = PROBABILITIES,
     mode: str = "sketch",
     digits: int = 3,
+    count_as: str | None = None,
 ) -> DataFrame:
-    """One row per group with columns ``<measure>_p<percent>``.
+    """One row per group with columns ``<measure>_p<percent>``, after a row count if one is named.
 
     ``sketch`` keeps a bounded summary per group and is meant for large inputs.  ``exact``
     interpolates between order statistics; the values are counted first, so a group costs as many
     rows as it has distinct whole-millisecond values, however many records it holds.
     """
-    ps = F.array(*[F.lit(p) for p in probabilities])
     if mode == "sketch":
+        ps = F.array(*[F.lit(p) for p in probabilities])
+        counted = [F.count(F.lit(1)).alias(count_as)] if count_as else []
         wide = df.groupBy(*keys).agg(
-            *[F.percentile_approx(m, ps, F.lit(SKETCH_ACCURACY)).alias(name) for name, m in measures.items()]
+            *counted,
+            *[F.percentile_approx(m, ps, F.lit(SKETCH_ACCURACY)).alias(name) for name, m in measures.items()],
         )
+        picked = {(name, i): F.col(name)[i].cast("double") for name in measures for i in range(len(probabilities))}
     elif mode == "exact":
-        wide = _exact(df, keys, measures, ps)
+        wide = _exact(df, keys, measures, probabilities, count_as)
+        picked = {(name, i): F.col(f"_{m}_{i}") for m, name in enumerate(measures) for i in range(len(probabilities))}
     else:
         raise ValueError("mode must be 'sketch' or 'exact'")
     return wide.select(
         *keys,
+        *([count_as] if count_as else []),
         *[
-            F.round(F.col(name)[i].cast("double"), digits).alias(f"{name}_p{round(p * 100)}")
+            F.round(picked[name, i], digits).alias(f"{name}_p{round(p * 100)}")
             for name in measures
             for i, p in enumerate(probabilities)
         ],
     )
 
 
-def _exact(df: DataFrame, keys: list[str], measures: dict[str, Column], ps: Column) -> DataFrame:
-    names = list(measures)
-    longs = df.select(
-        *keys,
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("m"), measures[n].cast("long").alias("v")) for i, n in enumerate(names)])
-        ).alias("x"),
-    ).select(*keys, "x.m", "x.v")
-    counted = longs.groupBy(*keys, "m", "v").agg(F.count(F.lit(1)).alias("n"))
-    per_measure = counted.groupBy(*keys, "m").agg(F.percentile("v", ps, F.col("n")).alias("q"))
+def _exact(
+    df: DataFrame,
+    keys: list[str],
+    measures: dict[str, Column],
+    probabilities: tuple[float, ...],
+    count_as: str | None,
+) -> DataFrame:
+    """Count equal values, take percentiles of the counted values, and set the measures side by side."""
+    each = [F.struct(F.lit(i).alias("m"), value.cast("long").alias("v")) for i, value in enumerate(measures.values())]
+    counted = (
+        df.select(*keys, F.explode(F.array(*each)).alias("x"))
+        .groupBy(*keys, F.col("x.m").alias("m"), F.col("x.v").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    ps = F.array(*[F.lit(p) for p in probabilities])
+    per_measure = counted.groupBy(*keys, "m").agg(
+        F.percentile("v", ps, F.col("n")).alias("q"), F.sum("n").alias("n")
+    )
+    rows = [F.max("n").alias(count_as)] if count_as else []
     return per_measure.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("m") == i, F.col("q"))).alias(n) for i, n in enumerate(names)]
+        *rows,
+        *[
+            F.max(F.when(F.col("m") == m, F.col("q")[i])).alias(f"_{m}_{i}")
+            for m in range(len(each))
+            for i in range(len(probabilities))
+        ],
     )

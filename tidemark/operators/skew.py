@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schema import HOT_TENANT
@@ -10,16 +10,19 @@ from tidemark.schema import HOT_TENANT
 
 def source_partition_skew(arrivals: DataFrame) -> DataFrame:
     """Records and share of each source partition, per tenant within it and for all tenants."""
-    per_key = arrivals.groupBy("src_partition", "key").agg(F.count(F.lit(1)).alias("records"))
-    everything = Window.partitionBy()
-    per_partition = Window.partitionBy("src_partition")
-    return per_key.select(
+    per_key = arrivals.groupBy("src_partition", F.col("key").alias("tenant_id")).agg(
+        F.count(F.lit(1)).alias("records")
+    )
+    # One row per source partition, and one number for all of them.
+    per_partition = per_key.groupBy("src_partition").agg(F.sum("records").alias("partition_records"))
+    everything = per_partition.agg(F.sum("partition_records")).scalar()
+    return per_key.join(per_partition, "src_partition").select(
         "src_partition",
-        F.col("key").alias("tenant_id"),
+        "tenant_id",
         "records",
-        F.sum("records").over(per_partition).alias("partition_records"),
-        F.round(F.col("records") / F.sum("records").over(everything), 6).alias("share"),
-        F.round(F.sum("records").over(per_partition) / F.sum("records").over(everything), 6).alias("partition_share"),
+        "partition_records",
+        F.round(F.col("records") / everything, 6).alias("share"),
+        F.round(F.col("partition_records") / everything, 6).alias("partition_share"),
     )
 
 

@@ -93,9 +93,8 @@ def data_quality(telemetry: DataFrame) -> DataFrame:
 def lateness_matrix(telemetry: DataFrame, mode: str = "sketch") -> DataFrame:
     """Row counts and lateness quantiles for each claimed/observed combination."""
     keys = ["injected_late", "is_late"]
-    counts = telemetry.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    spread = grouped_quantiles(telemetry, keys, {"lateness_ms": F.col("lateness_ms")}, mode=mode)
-    return counts.join(spread, keys).orderBy(*keys)
+    lateness = {"lateness_ms": F.col("lateness_ms")}
+    return grouped_quantiles(telemetry, keys, lateness, mode=mode, count_as="n_rows").orderBy(*keys)
 
 
 def anomaly_summary(telemetry: DataFrame, run_id: str) -> DataFrame:

@@ -79,25 +79,43 @@ def synthesize(ids: DataFrame, run_id: Column, start_ms: Column, load: Workload,
     )
 
 
-def duplicates(originals: DataFrame, rate: float) -> DataFrame:
-    """A second send of about ``rate`` of the originals: next sequence, later clock, flag set."""
-    missing = set(REQUIRED_FIELDS) - set(originals.columns)
-    if missing:
-        raise ValueError(f"cannot duplicate events missing fields: {sorted(missing)}")
-    changed = {
+def _refreshed() -> dict[str, Column]:
+    """What a duplicate has of its own: the next sequence, a later clock, and the flag."""
+    return {
         "producer_sequence": F.col("producer_sequence") + 1,
         "produced_us": F.col("produced_us") + 1,
         "produced_at": F.timestamp_micros(F.col("produced_us") + 1),
         "injected_duplicate": F.lit(True),
     }
+
+
+def _complete(originals: DataFrame) -> None:
+    missing = set(REQUIRED_FIELDS) - set(originals.columns)
+    if missing:
+        raise ValueError(f"cannot duplicate events missing fields: {sorted(missing)}")
+
+
+def duplicates(originals: DataFrame, rate: float) -> DataFrame:
+    """A second send of about ``rate`` of the originals."""
+    _complete(originals)
+    changed = _refreshed()
     return originals.filter(fraction(F.col("id"), DUPLICATE, rate)).select(
         *[changed[c].alias(c) if c in changed else F.col(c) for c in originals.columns]
     )
 
 
 def sends(originals: DataFrame, duplicate_rate: float) -> DataFrame:
-    """Originals together with their duplicates, nothing removed."""
-    return originals.unionByName(duplicates(originals, duplicate_rate))
+    """The bag union of the originals and their duplicates, made in one pass over the originals."""
+    _complete(originals)
+    changed = _refreshed()
+    both = F.array(F.lit(False), F.lit(True))
+    copies = F.when(fraction(F.col("id"), DUPLICATE, duplicate_rate), both).otherwise(F.array(F.lit(False)))
+    return originals.select("*", F.explode(copies).alias("_again")).select(
+        *[
+            F.when(F.col("_again"), changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
+            for c in originals.columns
+        ]
+    )
 
 
 def encode(events: DataFrame, *extra: str) -> DataFrame:
