@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import lateness
 from tidemark.operators import keyed, watermark
 from tidemark.operators.prefix import Running, blocked_running, running_number
+from tidemark.operators.quantiles import grouped_quantiles
 from tidemark.schema import LONG_MIN
 
 
@@ -110,3 +111,23 @@ def test_salted_counts_equal_plain_counts(spark):
     df = spark.createDataFrame(rows, "tenant_id string, event_id string")
     plain = df.groupBy("tenant_id").agg(F.count(F.lit(1)), F.count_distinct("event_id"))
     assert sorted(map(tuple, keyed.salted_counts(df).collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("block", [None, 1, 10, 100_000])
+def test_exact_quantiles_match_sorting(spark, block):
+    rng = random.Random(3)
+    rows = [("a" if rng.random() < 0.8 else "b", rng.choice([None, rng.randrange(-500, 500)])) for _ in range(900)]
+    rows += [("one", 7), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x long")
+    out = grouped_quantiles(df, ["g"], {"x": F.col("x")}, mode="exact", count_as="rows", block=block)
+    for r in out.collect():
+        values = sorted(v for g, v in rows if g == r["g"] and v is not None)
+        assert r["rows"] == sum(1 for g, _ in rows if g == r["g"])
+        for p in (50, 95, 99):
+            if not values:
+                assert r[f"x_p{p}"] is None
+                continue
+            place = p / 100 * (len(values) - 1)
+            low = int(place)
+            high = min(low + 1, len(values) - 1)
+            assert r[f"x_p{p}"] == pytest.approx(values[low] + (values[high] - values[low]) * (place - low), abs=2e-3)

@@ -11,11 +11,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark import PipelineConfig
+from tidemark.operators import logs
 from tidemark.plans import datasets
 from tidemark.sources import table, topics
 from tidemark.streaming import sinks, tenant_state
 from tidemark.streaming.job import TelemetryJob
-from tidemark.streaming.pipeline import Paths, start_pipeline
+from tidemark.streaming.pipeline import Paths, distinct_sends, start_pipeline
 from tidemark.streaming.progress import ProgressSamples
 from test_contract import GOOD
 
@@ -197,3 +198,22 @@ def test_switching_the_state_query_leaves_the_main_one_alone(spark, tmp_path):
     assert job.generation == 1 and job.main.runId == main and job.main.isActive
     job.stop()
     assert table.read_table(spark, paths.table).count() == 3
+
+
+def test_side_table_without_repeated_sends(spark, tmp_path):
+    source, out = str(tmp_path / "rows"), str(tmp_path / "unique")
+    rows = datasets.telemetry(spark, SF)
+    rows.write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    unique = distinct_sends(stream, "40 days").writeStream.format("parquet").option("path", out)
+    query = unique.option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert spark.read.parquet(out).count() == rows.select("producer_run_id", "producer_sequence").distinct().count()
+
+
+def test_log_files_are_read_line_by_line(spark, tmp_path):
+    (tmp_path / "a.log").write_text('{"level":"INFO","component":"c"}\nplain\n')
+    lines = topics.log_files(spark, str(tmp_path), "svc")
+    assert lines.columns == ["service", "raw"] and lines.count() == 2
+    row = logs.with_labels(logs.parse_lines(lines)).first()
+    assert (row["service"], row["level"], row["component"]) == ("svc", "INFO", "c")

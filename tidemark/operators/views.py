@@ -94,7 +94,7 @@ def lateness_matrix(telemetry: DataFrame, mode: str = "sketch") -> DataFrame:
     """Row counts and lateness quantiles for each claimed/observed combination."""
     keys = ["injected_late", "is_late"]
     lateness = {"lateness_ms": F.col("lateness_ms")}
-    return grouped_quantiles(telemetry, keys, lateness, mode=mode, count_as="n_rows").orderBy(*keys)
+    return grouped_quantiles(telemetry, keys, lateness, mode=mode, count_as="n_rows", block=65_536).orderBy(*keys)
 
 
 def anomaly_summary(telemetry: DataFrame, run_id: str) -> DataFrame:
