@@ -26,7 +26,7 @@ def test_scan_skips_months_and_columns(spark, tmp_path):
     stored = table.stored_form(datasets.telemetry(spark, SF))
     shifted = stored.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 3 MONTHS"))
     table.write_rows(stored, path)
-    table.write_rows(table.stored_form(shifted), path, cluster=True)
+    table.write_rows(table.stored_form(shifted), path, layout="cluster")
     back = table.read_table(spark, path)
     assert back.columns == TABLE_SCHEMA.fieldNames() and back.count() == 2 * stored.count()
     chosen = table.between(back, datetime(2024, 4, 1), datetime(2024, 5, 1)).select("tenant_id")

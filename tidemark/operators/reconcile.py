@@ -11,20 +11,17 @@ from tidemark.schema import HOT_TENANT
 STAGES = ("attempted", "captured", "stored", "rejected")
 
 
-def stage_totals(**stages: DataFrame) -> DataFrame:
-    """Row counts of several tables side by side, from one pass over each and no join."""
-    tagged = None
-    for name, rows in stages.items():
-        part = rows.agg(F.count(F.lit(1)).alias("n")).withColumn("stage", F.lit(name))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    return tagged.agg(
-        *[F.coalesce(F.sum(F.when(F.col("stage") == s, F.col("n"))), F.lit(0)).cast("long").alias(s) for s in stages]
-    )
+def stage_totals(*counts: DataFrame) -> DataFrame:
+    """One-row tables of stage counts side by side, without a join; an absent stage counts zero."""
+    tagged = counts[0]
+    for part in counts[1:]:
+        tagged = tagged.unionByName(part, allowMissingColumns=True)
+    for name in set(STAGES) - set(tagged.columns):
+        tagged = tagged.withColumn(name, F.lit(None).cast("long"))
+    return tagged.agg(*[F.coalesce(F.sum(s), F.lit(0)).cast("long").alias(s) for s in STAGES])
 
 
-def reconcile(attempted: DataFrame, captured: DataFrame, stored: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Every attempt was captured, and every captured record was stored or rejected."""
-    totals = stage_totals(attempted=attempted, captured=captured, stored=stored, rejected=rejected)
+def judge_totals(totals: DataFrame) -> DataFrame:
     return totals.select(
         "*",
         (F.col("captured") == F.col("attempted")).alias("captured_all"),
@@ -32,6 +29,22 @@ def reconcile(attempted: DataFrame, captured: DataFrame, stored: DataFrame, reje
     )
 
 
+def reconcile(attempted: DataFrame, captured: DataFrame, stored: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Every attempt was captured, and every captured record was stored or rejected."""
+    tables = {"attempted": attempted, "captured": captured, "stored": stored, "rejected": rejected}
+    return judge_totals(stage_totals(*[t.agg(F.count(F.lit(1)).alias(name)) for name, t in tables.items()]))
+
+
+def reconcile_validated(attempted: DataFrame, validated: DataFrame) -> DataFrame:
+    """The same check on validated arrivals, in one pass over them."""
+    outcome = validated.agg(
+        F.count(F.lit(1)).alias("captured"),
+        F.count_if("is_valid").alias("stored"),
+        F.count_if(~F.col("is_valid")).alias("rejected"),
+    )
+    return judge_totals(stage_totals(attempted.agg(F.count(F.lit(1)).alias("attempted")), outcome))
+
+
 def observation_gates(telemetry: DataFrame) -> DataFrame:
     """Per run: each anomaly was seen at least once, no timeline runs backwards, nothing was lost."""
     per_run = telemetry.groupBy("producer_run_id").agg(

@@ -29,7 +29,7 @@ from tidemark.operators import (
 )
 from tidemark.plans import datasets as data
 from tidemark.plans import duck
-from tidemark.schema import HOT_TENANT, REQUIRED_FIELDS, SINK_FIELDS, SOURCE_TOPIC
+from tidemark.schema import ARRIVAL_SCHEMA, HOT_TENANT, REQUIRED_FIELDS, SINK_FIELDS, SOURCE_TOPIC
 from tidemark.session import checkpoint_root
 from tidemark.sources import table, topics
 from tidemark.streaming import sinks, tenant_state
@@ -307,7 +307,7 @@ def pruned_month_scan(spark, sf_dir):
 def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The telemetry written in the table's layout to a new folder, and read back."""
     path = f"{checkpoint_root(spark)}/telemetry-table-{uuid.uuid4().hex}"
-    table.write_rows(table.stored_form(data.telemetry(spark, sf_dir)), path, cluster=True)
+    table.write_rows(table.stored_form(data.telemetry(spark, sf_dir)), path, layout="cluster")
     return table.read_table(spark, path)
 
 
@@ -474,6 +474,22 @@ def streamed_rows(spark, sf_dir):
     return stored.select(*REQUIRED_FIELDS)
 
 
+@query(
+    "streamed_reconciliation",
+    duck.over_judged("""
+SELECT count(*) AS attempted, count(*) AS captured, count(*) FILTER (error_category IS NULL) AS stored,
+  count(*) FILTER (error_category IS NOT NULL) AS rejected, true AS captured_all, true AS accounted_all FROM judged"""),
+)
+def streamed_reconciliation(spark, sf_dir):
+    paths = run_pipeline(spark, sf_dir)
+    return reconcile.reconcile(
+        data.attempts(spark, sf_dir),
+        spark.read.schema(ARRIVAL_SCHEMA).json(f"{paths.root}/arrivals"),
+        table.read_table(spark, paths.table),
+        sinks.read_dlq_files(spark, paths.dead_letters),
+    )
+
+
 @query("streamed_dlq", duck.over_judged("SELECT raw_payload, error_category, error_detail FROM rejects"))
 def streamed_dlq(spark, sf_dir):
     letters = sinks.read_dlq_files(spark, run_pipeline(spark, sf_dir).dead_letters)
@@ -810,10 +826,7 @@ SELECT count(*) AS attempted, count(*) AS captured, count(*) FILTER (error_categ
   count(*) FILTER (error_category IS NOT NULL) AS rejected, true AS captured_all, true AS accounted_all FROM judged"""),
 )
 def reconciliation(spark, sf_dir):
-    checked = judged(spark, sf_dir)
-    return reconcile.reconcile(
-        data.attempts(spark, sf_dir), data.raw(spark, sf_dir), validate.valid_rows(checked), validate.invalid_rows(checked)
-    )
+    return reconcile.reconcile_validated(data.attempts(spark, sf_dir), judged(spark, sf_dir))
 
 
 @query(

@@ -20,16 +20,23 @@ def stored_form(rows: DataFrame, ingested_at: Column | None = None) -> DataFrame
     return cut.withColumn("ym", year_month(F.col("event_time"))).select(*TABLE_SCHEMA.fieldNames())
 
 
-def write_rows(rows: DataFrame, path: str, mode: str = "append", cluster: bool = False) -> None:
+def write_rows(rows: DataFrame, path: str, mode: str = "append", layout: str = "as_is") -> None:
     """Write rows under month folders, each file sorted by the table's key.
 
-    With ``cluster`` the rows are first range-partitioned by month and key, for large backfills:
-    few files per month, and the key is unique enough to split a hot tenant or month.  Without it
-    nothing is shuffled, as suits a micro-batch.
+    ``as_is`` keeps the partitions the rows come in and shuffles nothing.  ``rebalance`` lets adaptive
+    execution merge small ones and split large ones into files of its advisory size, as suits
+    micro-batches read by many tasks.  ``cluster`` range-partitions by month and key, for large
+    backfills: the key is unique enough to split a hot tenant or month.
     """
     key = ["ym", *TABLE_SORT_KEY]
-    placed = rows.repartitionByRange(*key) if cluster else rows
-    placed.sortWithinPartitions(*key).write.mode(mode).partitionBy("ym").parquet(path)
+    placements = {
+        "as_is": lambda: rows,
+        "rebalance": lambda: rows.hint("rebalance"),
+        "cluster": lambda: rows.repartitionByRange(*key),
+    }
+    if layout not in placements:
+        raise ValueError(f"layout must be one of {sorted(placements)}")
+    placements[layout]().sortWithinPartitions(*key).write.mode(mode).partitionBy("ym").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

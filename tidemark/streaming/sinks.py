@@ -9,28 +9,28 @@ from pyspark.sql import functions as F
 
 from tidemark.config import PipelineConfig
 from tidemark.operators import dlq
-from tidemark.schema import DLQ_FIELDS, SINK_FIELDS, TABLE_SORT_KEY
+from tidemark.schema import DLQ_FIELDS, SINK_FIELDS
 from tidemark.sources import table
 
 Sink = Callable[[DataFrame, int], None]
 
 
-def table_sink(path: str) -> Sink:
+def table_sink(path: str, layout: str = "rebalance") -> Sink:
     """Append to the month-partitioned table; a replayed batch is appended again."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        table.write_rows(table.stored_form(rows), path)
+        table.write_rows(table.stored_form(rows), path, layout=layout)
 
     return write
 
 
-def idempotent_table_sink(path: str) -> Sink:
+def idempotent_table_sink(path: str, layout: str = "rebalance") -> Sink:
     """Write each batch to its own folder, so a replay replaces what the first attempt wrote."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
         stored = table.stored_form(rows)
         target = f"{path}/batch_id={batch_id}"
-        stored.sortWithinPartitions("ym", *TABLE_SORT_KEY).write.mode("overwrite").partitionBy("ym").parquet(target)
+        table.write_rows(stored, target, mode="overwrite", layout=layout)
 
     return write
 
