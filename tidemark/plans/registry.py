@@ -506,7 +506,8 @@ def hot_state_value(spark, sf_dir):
     checkpoint = paths.tenant_state(0)
     stream = topics.captured_stream(spark, folder)
     tenant_state.start_tenant_state(
-        spark, stream, checkpoint, f"{checkpoint}-output", available_now=True
+        spark, stream, checkpoint, f"{checkpoint}-output", available_now=True,
+        partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     return tenant_state.state_value(spark, checkpoint)
 

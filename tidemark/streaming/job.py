@@ -48,7 +48,8 @@ class TelemetryJob:
         if on:
             checkpoint = self.paths.tenant_state(self.generation)
             self.side = start_tenant_state(
-                self.spark, self.arrivals(), checkpoint, f"{checkpoint}-output", trigger=self.config.trigger
+                self.spark, self.arrivals(), checkpoint, f"{checkpoint}-output",
+                trigger=self.config.trigger, partitions=self.config.parallelism,
             )
         else:
             self.side.processAllAvailable()

@@ -68,14 +68,25 @@ def milestones(totals: DataFrame, tenant: str = HOT_TENANT) -> DataFrame:
 
 def start_tenant_state(
     spark: SparkSession, arrivals: DataFrame, checkpoint: str, output: str, available_now: bool = False,
-    trigger: str = "10 seconds",
+    trigger: str = "10 seconds", partitions: int | None = None,
 ) -> StreamingQuery:
-    """Keep the totals of valid records and append each batch's changes to ``output``."""
+    """Keep the totals of valid records and append each batch's changes to ``output``.
+
+    ``partitions`` is how many tasks share the state.  It is fixed when a checkpoint is first used,
+    and taken from the session's shuffle partitions when not given.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     totals = tenant_totals(validate.valid_rows(validate.validate(arrivals)))
     stream = totals.writeStream.format("json").option("path", output).option("checkpointLocation", checkpoint)
     timed = stream.trigger(availableNow=True) if available_now else stream.trigger(processingTime=trigger)
-    return timed.outputMode("append").queryName("tenant-state").start()
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # A query takes its own copy of the settings when it starts.
+        if partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        return timed.outputMode("append").queryName("tenant-state").start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def state_value(spark: SparkSession, checkpoint: str, tenant: str = HOT_TENANT) -> DataFrame:
