@@ -9,7 +9,7 @@ import pytest
 
 from tidemark.functions import contract
 from tidemark.operators import dlq, validate
-from tidemark.schema import PARSED_FIELDS, REQUIRED_FIELDS
+from tidemark.schema import ERROR_CATEGORIES, PARSED_FIELDS, REQUIRED_FIELDS
 
 GOOD = {
     "schema_version": 1,
@@ -195,9 +195,9 @@ def test_envelope_is_compact_and_ordered(spark):
 
 
 def test_unknown_category_is_refused():
-    with pytest.raises(ValueError):
-        dlq.checked_category("event-id-123")
-    assert {c for _, c, _ in CASES if c} == set(map(dlq.checked_category, ("invalid_json", "missing_field", "invalid_type", "invalid_timestamp")))
+    with pytest.raises(ValueError, match="unbounded error category"):
+        contract.Rule("true", "event-id-123", "bad")
+    assert {c for _, c, _ in CASES if c} == set(ERROR_CATEGORIES)
 
 
 def test_every_field_is_checked_once():

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from tidemark.functions.text import NOT_BLANK
 from tidemark.schema import (
+    ERROR_CATEGORIES,
     EVENT_SCHEMA,
     INVALID_JSON,
     INVALID_TIMESTAMP,
@@ -151,6 +152,10 @@ class Rule:
     category: str
     detail: str
 
+    def __post_init__(self) -> None:
+        if self.category not in ERROR_CATEGORIES:
+            raise ValueError(f"unbounded error category: {self.category}")
+
 
 def field_rules(name: str, rule: str, kind: str, typed: str, text: str) -> list[Rule]:
     """The failures of one field in the order they are tried."""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import Workload, probability
-from tidemark.functions.clock import from_epoch_ms, iso_us
+from tidemark.functions.clock import iso_us
 from tidemark.functions.numbers import pick, uniform
 from tidemark.operators.prefix import running_number
 from tidemark.schema import HOT_TENANT, REQUIRED_FIELDS
