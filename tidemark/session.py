@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -44,14 +47,23 @@ _OWN_ROOTS: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's own, or a new one where none is set."""
+    """The shared folder for intermediate tables, as the session names it.
+
+    Executors on other machines cannot read a folder of the driver's own disk, so a cluster without
+    ``spark.checkpoint.dir`` is an error.  With a local master, driver and executors are one process
+    and a folder is made here; it goes when the process ends.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        app = spark.sparkContext.applicationId
-        if app not in _OWN_ROOTS:
-            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        root = _OWN_ROOTS[app]
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _OWN_ROOTS:
+        own = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN_ROOTS[context.applicationId] = own
+    return _OWN_ROOTS[context.applicationId]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
