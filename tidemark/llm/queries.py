@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup
+from tidemark.llm import bpe, exact_dedup, setsketch
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op9_minhash_near_dedup")
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_groups(table(spark, sf_dir, "documents"), k=4, num=80, den=100)
+
+
 def queries() -> dict[str, Build]:
     return {name: q.build for name, q in QUERIES.items()}
 
