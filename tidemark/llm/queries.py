@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, setsketch
+from tidemark.llm import bpe, decontaminate, exact_dedup, setsketch
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,11 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_groups(table(spark, sf_dir, "documents"), k=4, num=80, den=100)
 
 
+@query("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Build]:
     return {name: q.build for name, q in QUERIES.items()}
 
