@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, setsketch
+from tidemark.llm import bpe, decontaminate, exact_dedup, sampling, setsketch, toxicity
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def classified(scored: DataFrame, limit: float) -> DataFrame:
+    """The columns of a classifier's report: id, whether it was held out, score and decision."""
+    return scored.select(
+        "doc_id",
+        (sampling.fold("doc_id") == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= limit).cast("int").alias("predicted"),
+    )
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return classified(toxicity.score(docs, model), 0.5)
+
+
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
