@@ -226,9 +226,13 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", path: str | None = None,
     return rows.mapInArrow(_decode(path), schema)
 
 
-def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """Per row: id, n_tokens, ids_sha256 (decimal ids joined by one blank), decoded_sha256 (decoded bytes)."""
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """Per row: id, n_tokens, ids_sha256 (decimal ids joined by one blank), decoded_sha256 (decoded bytes).
+
+    ``with_ids`` adds the ids themselves as ``token_ids``.
+    """
     encoded = encode(docs, id_col, text_col, path)
     digest = F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256)
-    back = decode(encoded, id_col, path, {"n_tokens": F.size("ids").cast("long"), "ids_sha256": digest})
-    return back.select(id_col, "n_tokens", "ids_sha256", F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))
+    keep = {"n_tokens": F.size("ids").cast("long"), "ids_sha256": digest} | ({"token_ids": F.col("ids")} if with_ids else {})
+    back = decode(encoded, id_col, path, keep)
+    return back.select(id_col, *keep, F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.llm.scratch import Scratch
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component_id) for every id that has a link; component_id is the smallest id reachable.
 
     In each round every node joins its neighbour with the smallest random rank of that round, itself
@@ -16,21 +16,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     rounds logarithmic for paths and stars alike.  A node with very many links is no burden: minima are
     taken in each task first, and joins on its id are of the kind that Spark splits when skewed.
     """
-    edges = materialize(
+    edges = scratch.keep(
         links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct(), "edges"
     )
     ends = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    label = materialize(ends.withColumn("at", F.col("id")), "labels")
+    label = scratch.keep(ends.withColumn("at", F.col("id")), "labels")
     seed = 0
     while not edges.isEmpty():
         seed += 1
         both = edges.union(edges.select("b", "a"))
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(seed)).alias("h"), F.col(c).alias("p"))
-        parent = materialize(
+        parent = scratch.keep(
             both.groupBy("a").agg(F.min(rank("b")).alias("best")).select("a", F.least("best", rank("a"))["p"].alias("p")),
             "parents",
         )
-        edges = materialize(
+        redrawn = scratch.keep(
             edges.join(parent, "a")
             .select(F.col("p").alias("x"), "b")
             .join(parent.select(F.col("a").alias("b"), F.col("p").alias("y")), "b")
@@ -39,9 +39,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .distinct(),
             "edges",
         )
-        label = materialize(
+        moved = scratch.keep(
             label.join(parent.withColumnRenamed("a", "at"), "at", "left").select("id", F.coalesce("p", "at").alias("at")),
             "labels",
         )
+        scratch.drop(edges, label, parent)
+        edges, label = redrawn, moved
     least = label.groupBy("at").agg(F.min("id").alias("component_id"))
-    return label.join(least, "at").select("id", "component_id")
+    found = scratch.keep(label.join(least, "at").select("id", "component_id"), "components")
+    scratch.drop(edges, label)
+    return found

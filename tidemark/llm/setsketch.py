@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from tidemark.llm import words
 from tidemark.llm.components import components
-from tidemark.session import materialize
+from tidemark.llm.scratch import Scratch
 
 BANDS = 32
 ROWS = 5
@@ -151,7 +151,7 @@ def _verified(num: int, den: int):
     return run
 
 
-def links_of(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def links_of(pairs: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
     """The candidate pairs (a, b, n_a, n_b) that are links, verified on the full sets."""
 
     def with_both(rows: DataFrame, column: str) -> DataFrame:
@@ -160,10 +160,12 @@ def links_of(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         return rows.join(one, "a").join(two, "b")
 
     regs = with_both(pairs, "regs").select("a", "b", "n_a", "n_b", "x", "y")
-    likely = materialize(regs.mapInArrow(_likely(num / den), "a long, b long"), "likely")
-    return materialize(
+    likely = scratch.keep(regs.mapInArrow(_likely(num / den), "a long, b long"), "likely")
+    links = scratch.keep(
         with_both(likely, "members").select("a", "b", "x", "y").mapInArrow(_verified(num, den), "a long, b long"), "links"
     )
+    scratch.drop(pairs, likely)
+    return links
 
 
 def _sizes_allow(num: int, den: int):
@@ -171,7 +173,7 @@ def _sizes_allow(num: int, den: int):
 
 
 def _hub_pairs(members: DataFrame, label: DataFrame, seed: int, num: int, den: int) -> DataFrame:
-    placed = members.join(label, "id", "left").withColumn("c", F.coalesce("c", "id"))
+    placed = members.join(label, "id", "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("c"))
     hub = F.min_by(F.struct("id", "n", "c"), F.xxhash64("id", F.lit(seed)))
     open_ = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), hub.alias("hub")).filter("lo <> hi")
     tries = (
@@ -187,15 +189,18 @@ def _hub_pairs(members: DataFrame, label: DataFrame, seed: int, num: int, den: i
     return tries.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= HUBS_TRIED).drop("place", "shared")
 
 
-def _open_pairs(members: DataFrame, label: DataFrame, num: int, den: int) -> DataFrame:
-    placed = materialize(members.join(label, "id", "left").withColumn("c", F.coalesce("c", "id")), "placed")
+def _open_pairs(members: DataFrame, label: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    placed = scratch.keep(members.join(label, "id", "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("c")), "placed")
     count = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     main = count.groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    ready = materialize(placed.join(main.select("key", "main"), "key"), "open-buckets")
+    ready = scratch.keep(placed.join(main.select("key", "main"), "key"), "open-buckets")
     outside = ready.filter("c <> main").select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
     others = ready.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"), "main")
     fresh = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b")))
-    return outside.join(others, "key").filter(fresh & _sizes_allow(num, den)).select("a", "b", "n_a", "n_b").distinct()
+    pairs = outside.join(others, "key").filter(fresh & _sizes_allow(num, den)).select("a", "b", "n_a", "n_b").distinct()
+    pairs = scratch.keep(pairs, "open-pairs")
+    scratch.drop(placed, ready)
+    return pairs
 
 
 def near_groups(
@@ -211,43 +216,57 @@ def near_groups(
     an empty result; columns other than the two are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sketch = materialize(rows.mapInArrow(_sketch(k), "id long, n long, low long, high long, regs binary"), "sketches")
+    scratch = Scratch(docs.sparkSession, "near-groups")
+    sketch = scratch.keep(rows.mapInArrow(_sketch(k), "id long, n long, low long, high long, regs binary"), "sketches")
     named = sketch.filter("n > 0 AND id IS NOT NULL")
     same = ["n", "low", "high"]
-    groups = materialize(
+    groups = scratch.keep(
         named.groupBy(*same).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("regs").alias("regs")),
         "sets",
     )
     copies = named.select("id", *same).join(groups.filter("copies > 1").select("rep", *same), same)
-    links = [materialize(copies.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")), "copies")]
-
+    links = [scratch.keep(copies.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")), "copies")]
     banded = groups.select(F.col("rep").alias("id"), "n", "regs").mapInArrow(_bands, "id long, n long, key long")
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
-    members = materialize(banded.join(shared, "key", "left_semi"), "members")
+    members = scratch.keep(banded.join(shared, "key", "left_semi"), "members")
+    sizes = scratch.keep(sketch.select("id", "n"), "sizes")
+    scratch.drop(groups, sketch)
     wanted = members.select("id").distinct()
-    sets = materialize(
+    sets = scratch.keep(
         rows.join(wanted, "id", "left_semi").mapInArrow(_sets(k), "id long, regs binary, members binary"), "member-sets"
     )
-    label = members.sparkSession.createDataFrame([], "id long, c long")
+    label = docs.sparkSession.createDataFrame([], "id long, component_id long")
     for seed in range(1, ROUNDS + 1):
-        links.append(links_of(materialize(_hub_pairs(members, label, seed, num, den), "hub-pairs"), sets, num, den))
-        label = _labels(links[1:])
-    links.append(links_of(materialize(_open_pairs(members, label, num, den), "open-pairs"), sets, num, den))
-    label = _labels(links)
+        pairs = scratch.keep(_hub_pairs(members, label, seed, num, den), "hub-pairs")
+        links.append(links_of(pairs, sets, num, den, scratch))
+        before, label = label, _labels(links[1:], scratch)
+        scratch.drop(before)
+    links.append(links_of(_open_pairs(members, label, num, den, scratch), sets, num, den, scratch))
+    scratch.drop(label, members, sets)
+    label = _labels(links, scratch)
+    scratch.drop(*links)
     return (
-        sketch.select("id", F.col("n").alias("n_shingles"))
+        sizes.select("id", F.col("n").alias("n_shingles"))
         .join(label, "id", "left")
         .select(
             F.col("id").alias(id_col),
             "n_shingles",
-            F.coalesce("c", "id").alias("component_id"),
-            F.coalesce(F.coalesce("c", "id") == F.col("id"), F.lit(True)).alias("kept"),
+            F.coalesce("component_id", "id").alias("component_id"),
+            F.coalesce(F.coalesce("component_id", "id") == F.col("id"), F.lit(True)).alias("kept"),
         )
     )
 
 
-def _labels(links: list[DataFrame]) -> DataFrame:
+def _labels(links: list[DataFrame], scratch: Scratch) -> DataFrame:
     whole = links[0]
     for more in links[1:]:
         whole = whole.unionByName(more)
-    return materialize(components(whole).withColumnRenamed("component_id", "c"), "components")
+    return components(whole, scratch)
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100
+) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its group, with all columns; texts move once more."""
+    gone = near_groups(docs, id_col, text_col, k, num, den).filter("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -309,6 +309,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         name = ranked[best][0]
         if name.endswith("*"):  # all words that begin so are matched by it
             open_ &= ~np.array([t.startswith(name[:-1]) for t, _, _ in ranked])
+        # a shorter beginning that hardly reaches further says the same with less care
+        reach = 1.25 * ranked[best][1]
+        open_ &= ~np.array([t.endswith("*") and name.startswith(t[:-1]) and n <= reach for t, n, _ in ranked])
         weight[rows_[columns_ == best]] *= 0.5
     if not chosen:
         return Model()
