@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, sampling, setsketch, toxicity
+from tidemark.llm import bpe, decontaminate, exact_dedup, sampling, setsketch, toxicity, warc
+from tidemark.session import checkpoint_root
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +58,23 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op5_warc",
+    """
+    SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest,
+           CASE WHEN n >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND page_id <> f THEN f END AS refers_to
+    FROM (SELECT page_id, coalesce(html, '') AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n,
+                 min(page_id) OVER (PARTITION BY coalesce(html, '')) AS f
+          FROM pages)
+    """,
+)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = f"{checkpoint_root(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), root)
+    return warc.read(spark, root, with_payload=False).drop("url")
+
+
 @query(
     "op6_exact_dedup",
     """
