@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, sampling, setsketch, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact_dedup, quality, sampling, setsketch, toxicity, warc
 from tidemark.session import checkpoint_root
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,13 @@ def classified(scored: DataFrame, limit: float) -> DataFrame:
     )
 
 
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return classified(quality.score(docs, model), 0.3)
+
+
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
