@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, quality, sampling, setsketch, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact_dedup, kneser_ney, quality, sampling, setsketch, toxicity, warc
 from tidemark.session import checkpoint_root
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified(toxicity.score(docs, model), 0.5)
 
 
+@query("op3_lm_scoring")
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
