@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, kneser_ney, licenses, quality, sampling, setsketch, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact_dedup, kneser_ney, licenses, quality, sampling, setsketch, suffixes, toxicity, warc
 from tidemark.session import checkpoint_root
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op8_suffix_array_dedup")
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op9_minhash_near_dedup")
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_groups(table(spark, sf_dir, "documents"), k=4, num=80, den=100)
