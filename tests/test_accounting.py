@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import PipelineConfig
-from tidemark.config import PRESETS, Workload, strict_flag
+from tidemark.config import strict_flag
 from tidemark.functions import text
 from tidemark.functions.numbers import is_decimal_milestone, is_finite
 from tidemark.operators import delivery, logs, metrics, skew
@@ -61,7 +61,8 @@ def test_interval_rates(spark):
         ('{"txretries":true,"brokers":{"a":{"txretries":3},"b":7,"c":{"txretries":false}}}', 3),
         ('{"brokers":[1]}', 0),
         ("{}", 0),
-        ("not json", 0),
+        ("not json", None),
+        ("[3]", None),
     ],
 )
 def test_tx_retries(spark, statistics, expected):
@@ -132,14 +133,6 @@ def test_config_domains(bad):
         PipelineConfig(**bad)
 
 
-def test_workload_domains_and_presets():
-    for bad in ({"count": -1}, {"count": 1, "rate": 0}, {"count": 1, "rate": float("inf")}, {"count": 1, "late_rate": 2}):
-        with pytest.raises(ValueError):
-            Workload(**bad)
-    assert (PRESETS["smoke"].count, PRESETS["smoke"].seed, PRESETS["smoke"].bad_json_rate) == (2_000, 20260823, 0.01)
-    assert PRESETS["small"].bad_json_rate == 0 and PRESETS["keyed"].hot_rate == 0.95
-
-
 def test_milestones_and_finite(spark):
     df = spark.createDataFrame([(0,), (1,), (10,), (11,), (1_000,), (-1,)], "n long")
     assert [r[0] for r in df.select(is_decimal_milestone(F.col("n"))).collect()] == [False, True, True, False, True, False]
@@ -162,8 +155,26 @@ def samples(spark, rows, name="c", labels=None):
 
 
 def test_counter_reset_counts_from_zero(spark):
-    row = metrics.counter_change(samples(spark, [(0, 10), (5, 14), (10, 3), (15, 5)])).first()
-    assert (row["increase"], row["rate"]) == (9.0, 0.6)
+    row = metrics.counter_change(samples(spark, [(0, 10), (5, 14), (10, 3), (15, 5)]), 30).first()
+    assert (row["increase"], row["rate"]) == (9.0, 0.3)
+
+
+@pytest.mark.parametrize("seconds", [5, 10, 20])
+def test_no_step_is_lost_between_windows(spark, seconds):
+    """Also where a window holds one sample, and where the series crosses blocks of time."""
+    one = samples(spark, [(s, s * s) for s in range(0, 60, 5)])
+    assert metrics.counter_change(one, seconds).agg(F.sum("increase")).first()[0] == 55 * 55
+    stepped = metrics.with_previous(one, block_seconds=15)
+    assert sorted((r["ts"].second, r["previous"]) for r in stepped.collect() if r["previous"] is not None) == [
+        (s, float((s - 5) ** 2)) for s in range(5, 60, 5)
+    ]
+
+
+def test_sliding_ranges_look_back_from_each_moment(spark):
+    rows = metrics.max_over_time(samples(spark, [(3, 7), (20, 5), (31, 1)]), 20, every=10).collect()
+    assert sorted((r["at"].second, r["max_value"]) for r in rows) == [(10, 7.0), (20, 7.0), (30, 5.0), (40, 1.0), (50, 1.0)]
+    summed = metrics.rate_by(samples(spark, [(0, 0), (10, 10)]).unionByName(samples(spark, [(0, 5), (10, 25)], labels={"subtask_index": "1"})), [], 10)
+    assert [r["sum_rate"] for r in summed.collect()] == [3.0]
 
 
 def test_slope_of_a_line(spark):
@@ -177,6 +188,33 @@ def test_alert_needs_an_unbroken_hold(spark):
         assert [(r["active_from"].second, r["fires_at"].second, r["active_to"].second, r["samples"]) for r in rows] == [(15, 35, 35, 5)]
 
 
+def test_silence_ends_a_hold(spark):
+    rows = [(datetime(2024, 1, d, 0, 0, s), "up", {"job": "a"}, 0.0) for d in (1, 2) for s in (0, 25)]
+    df = spark.createDataFrame(rows, "ts timestamp, name string, labels map<string,string>, value double")
+    held = metrics.alerts_held(df, F.col("value") == 0, 20).collect()
+    assert sorted((r["active_from"].day, r["active_to"].day, r["samples"]) for r in held) == [(1, 1, 2), (2, 2, 2)]
+
+
+def test_rates_are_not_rounded(spark):
+    log = spark.range(200_000).selectExpr(
+        "'r' AS run_id", "id AS producer_sequence", "'e' AS event_id", "0 AS partition", "id AS offset", "'acked' AS status", "1 AS latency_ms"
+    )
+    small = delivery.delivery_trace(log, 0.00025, "t").count()
+    assert 20 <= small <= 90 and delivery.delivery_trace(log, 0.00005, "t").count() > 0
+
+
+def test_log_search_reads_escaped_values(spark):
+    written = [r'{"message":"say \"hi\"","level":"INFO"}', r'{"message":"caf\u00e9"}', '{"message":"café"}']
+    df = spark.createDataFrame([("s", t) for t in written], "service string, raw string")
+    assert logs.search(df, message='say "hi"').count() == 1
+    assert logs.search(df, message="café").count() == 2
+
+
+def test_number_text_has_no_exponent(spark):
+    df = spark.createDataFrame([(100.0,), (12345678.0,), (0.5,)], "x double")
+    assert [r[0] for r in df.select(skew.number_text(F.col("x"))).collect()] == ["100.0", "12345678.0", "0.5"]
+
+
 def test_instant_vector_drops_non_finite_and_unlabelled(spark):
     a = samples(spark, [(0, 1), (5, 2)], labels={"subtask_index": "0"})
     b = samples(spark, [(0, 1), (5, float("nan"))], labels={"subtask_index": "1"})

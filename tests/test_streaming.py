@@ -14,10 +14,12 @@ from tidemark import PipelineConfig
 from tidemark.operators import logs
 from tidemark.plans import datasets
 from tidemark.sources import table, topics
+from tidemark.schema import DLQ_FIELDS
 from tidemark.streaming import sinks, tenant_state
 from tidemark.streaming.job import TelemetryJob
 from tidemark.streaming.pipeline import Paths, distinct_sends, start_pipeline
-from tidemark.streaming.progress import ProgressSamples
+from tidemark.streaming.progress import ProgressSamples, read_samples
+from tidemark.streaming.state import WatermarkState
 from test_contract import GOOD
 
 SF = "/root/testdata/sf0.001"
@@ -137,7 +139,7 @@ def test_whole_dataset_reconciles(spark, tmp_path):
     folder, paths = tmp_path / "in", Paths(str(tmp_path / "out"))
     arrivals = datasets.arrivals(spark, SF).select("key", "value", "src_partition", "offset")
     arrivals.repartition(3).write.json(str(folder))
-    listener = ProgressSamples()
+    listener = ProgressSamples(str(tmp_path / "progress"))
     spark.streams.addListener(listener)
     try:
         run(spark, folder, paths)
@@ -145,7 +147,7 @@ def test_whole_dataset_reconciles(spark, tmp_path):
         rejected = sinks.read_dlq_files(spark, paths.dead_letters).count()
         assert (stored, rejected) == (1_039, 11)
         deadline = time.time() + 20
-        while time.time() < deadline and not any(s[1] == "validation_records_valid" for s in list(listener.samples)):
+        while time.time() < deadline and not list((tmp_path / "progress").glob("progress-*.json")):
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(listener)
@@ -154,6 +156,36 @@ def test_whole_dataset_reconciles(spark, tmp_path):
     assert total <= 1_039 and seen.filter("name = 'batch_input_rows'").count() > 0
 
 
+def test_a_missing_watermark_slot_stops_the_query(spark, tmp_path):
+    state = WatermarkState(spark, str(tmp_path / "state"))
+    assert state.after(-1).count() == 0
+    arrivals = spark.createDataFrame([(0, 5_000)], "src_partition int, event_ms long")
+    state.advance(state.after(-1), arrivals, 0, 1_000, None)
+    state.advance(state.after(0), arrivals.limit(0), 1, 2_000, 4_000)
+    assert state.watermark(state.after(1), 2_000, 1_000, 30_000) == 4_000
+    for lost in (2, 5):  # never written, and a slot that another batch has
+        with pytest.raises(RuntimeError, match="missing"):
+            state.after(lost)
+
+
+def test_late_counts_of_every_batch_are_kept(spark, tmp_path):
+    folder, paths = tmp_path / "in", Paths(str(tmp_path / "out"))
+    put(folder, "0.json", [(0, minute(10))])
+    put(folder, "1.json", [(0, minute(9)), (0, minute(11))])
+    run(spark, folder, paths)
+    counted = read_samples(spark, paths.metrics).filter("name = 'records_late'")
+    assert sorted((r["labels"]["batch_id"], r["value"]) for r in counted.collect()) == [("0", 0.0), ("1", 1.0)]
+
+
+def test_replayed_dead_letters_are_replaced(spark, tmp_path):
+    letters = spark.createDataFrame([tuple("abcdef")], list(DLQ_FIELDS))
+    write = sinks.idempotent_dlq_sink(str(tmp_path / "dlq"))
+    for _ in range(2):
+        write(letters, 3)
+    write(letters, 4)
+    assert sinks.read_dlq_files(spark, str(tmp_path / "dlq")).count() == 2
+
+
 def test_tenant_state_counts_and_milestones(spark, tmp_path):
     folder = tmp_path / "in"
     hot = {"tenant_id": "tenant-hot"}

@@ -1,4 +1,4 @@
-"""Table layout, pruning, offsets, workload invariants and the registry's own shape."""
+"""Table layout, pruning, offsets, and the registry's own shape."""
 
 from __future__ import annotations
 
@@ -8,8 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oracle_check import compare, open_duck
-from tidemark.config import PRESETS
-from tidemark.operators import duplicates, validate, views, workload
+from tidemark.operators import duplicates, views
 from tidemark.plans import datasets, registry
 from tidemark.schema import REQUIRED_FIELDS, TABLE_SCHEMA
 from tidemark.sources import table, topics
@@ -66,78 +65,6 @@ def test_offsets_are_dense_in_each_partition(spark):
     assert topics.end_offset_sum(rows).first()[0] == rows.count()
 
 
-@pytest.fixture(scope="module")
-def made(spark):
-    ids = spark.range(20_000)
-    load = PRESETS["observable"]
-    originals = workload.synthesize(ids, F.lit("run-x"), F.lit(1_700_000_000_000), load)
-    return originals, load
-
-
-def test_synthetic_events_have_the_contract_and_the_rates(made):
-    originals, load = made
-    assert set(REQUIRED_FIELDS) <= set(originals.columns)
-    n = originals.count()
-    age = F.unix_micros("produced_at") - F.unix_micros("event_time")
-    row = originals.agg(
-        F.avg(F.col("injected_late").cast("int")).alias("late"),
-        F.avg((F.col("tenant_id") == "tenant-hot").cast("int")).alias("hot"),
-        F.min(F.when(F.col("injected_late"), age)).alias("late_min"),
-        F.max(F.when(F.col("injected_late"), age)).alias("late_max"),
-        F.max(F.when(~F.col("injected_late"), age)).alias("normal_max"),
-        F.count_distinct("event_id").alias("ids"),
-        F.count_distinct("tenant_id").alias("tenants"),
-        F.count_distinct("metric_name").alias("metrics"),
-    ).first()
-    assert abs(row["late"] - load.late_rate) < 0.01 and abs(row["hot"] - load.hot_rate) < 0.01
-    assert 15_000_000 <= row["late_min"] and row["late_max"] <= 300_000_000 and row["normal_max"] <= 2_000_000
-    assert (row["ids"], row["tenants"], row["metrics"]) == (n, 21, 4)
-
-
-def test_metric_values_stay_in_their_ranges(made):
-    originals, _ = made
-    seen = {r["metric_name"]: r for r in originals.groupBy("metric_name").agg(F.min("metric_value").alias("lo"), F.max("metric_value").alias("hi")).collect()}
-    assert all(low <= seen[name]["lo"] and seen[name]["hi"] <= high for name, low, high in workload.METRICS)
-
-
-def test_duplicates_keep_the_event_and_refresh_the_send(made):
-    originals, load = made
-    copies = workload.duplicates(originals, load.duplicate_rate)
-    pairs = originals.alias("o").join(copies.alias("c"), "event_id")
-    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("tenant_id", "device_id", "metric_name", "metric_value", "event_time", "region", "firmware", "injected_late")]
-    good = F.col("c.injected_duplicate") & (F.col("c.producer_sequence") > F.col("o.producer_sequence")) & (F.col("c.produced_at") > F.col("o.produced_at"))
-    for condition in same:
-        good = good & condition
-    assert pairs.filter(~good).count() == 0
-    assert abs(copies.count() / originals.count() - load.duplicate_rate) < 0.01
-    union = originals.unionByName(copies)
-    assert workload.sends(originals, load.duplicate_rate).exceptAll(union).count() == 0
-    assert union.exceptAll(workload.sends(originals, load.duplicate_rate)).count() == 0
-    with pytest.raises(ValueError, match="missing fields: \\['region'\\]"):
-        workload.duplicates(originals.drop("region"), 0.1)
-
-
-def test_workload_rejects_only_its_malformed_originals(spark):
-    load = PRESETS["smoke"]
-    messages = workload.workload(spark.range(load.count), F.lit("run-y"), F.lit(1_700_000_000_000), load)
-    checked = validate.validate(messages.withColumnRenamed("producer_sequence", "send"))
-    row = checked.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(~F.col("is_valid")).alias("bad"),
-        F.count_if(F.col("is_valid") == F.col("malformed")).alias("wrong"),
-        F.count_distinct("send").alias("sends"),
-    ).first()
-    assert row["n"] == row["sends"] and row["n"] > load.count and row["bad"] > 0 and row["wrong"] == 0
-
-
-def test_the_same_seed_makes_the_same_run(spark):
-    def once():
-        messages = workload.workload(spark.range(300), F.lit("r"), F.lit(0), PRESETS["smoke"])
-        return sorted(map(tuple, messages.repartition(3).collect()))
-
-    assert once() == once()
-
-
 def test_without_replays_keeps_one_row_per_send(spark):
     rows = datasets.telemetry(spark, SF)
     kept = duplicates.without_replays(rows)

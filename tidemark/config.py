@@ -1,4 +1,4 @@
-"""Job parameters, their domains, and the named workload presets."""
+"""Job parameters and their domains."""
 
 from __future__ import annotations
 
@@ -77,37 +77,3 @@ class PipelineConfig:
             preview_rate=float(settings.get("preview_rate", "0.05")),
             tenant_state=strict_flag(settings.get("tenant_state", "false"), "tenant_state"),
         )
-
-
-@dataclass(frozen=True)
-class Workload:
-    """Anomaly fractions of a synthetic run."""
-
-    count: int
-    rate: float = 100.0
-    duplicate_rate: float = 0.0
-    late_rate: float = 0.0
-    hot_rate: float = 0.0
-    bad_json_rate: float = 0.0
-    seed: int = 7
-
-    def __post_init__(self) -> None:
-        non_negative_int(self.count)
-        positive_finite(self.rate)
-        for fraction in (self.duplicate_rate, self.late_rate, self.hot_rate, self.bad_json_rate):
-            probability(fraction)
-
-
-# Event counts, offered rates and anomaly fractions of the named runs.
-PRESETS = {
-    "baseline": Workload(count=1_000, rate=100, seed=7),
-    "small": Workload(count=10_000, rate=100, duplicate_rate=0.03, late_rate=0.03, hot_rate=0.70),
-    "observable": Workload(
-        count=100_000, rate=500, duplicate_rate=0.05, late_rate=0.10, hot_rate=0.80, bad_json_rate=0.005
-    ),
-    "keyed": Workload(count=20_000, rate=500, hot_rate=0.95),
-    "smoke": Workload(
-        count=2_000, rate=200, duplicate_rate=0.05, late_rate=0.10, hot_rate=0.80,
-        bad_json_rate=0.01, seed=20260823,
-    ),
-}

@@ -20,11 +20,19 @@ from tidemark.schema import (
     REQUIRED_FIELDS,
 )
 
-OFFSET_PART = r"(?:Z|[+-]\d{2}(?::?\d{2}(?::\d{2})?)?)"
-MINUTE_PART = r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
-COMMON_ZONED = rf"^{MINUTE_PART}:\d{{2}}(?:\.\d{{1,9}})?{OFFSET_PART}$"
-OTHER_ZONED = rf"^{MINUTE_PART}(?::\d{{2}}(?:,\d{{1,9}})?)?{OFFSET_PART}$"
-NAIVE = rf"^\d{{4}}-\d{{2}}-\d{{2}}(?:[T ]\d{{2}}:\d{{2}}(?::\d{{2}}(?:[.,]\d{{1,9}})?)?)?$"
+# The forms of a date, a clock time and an offset.
+DATE_PART = r"(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(?:-\d)?|\d{4}W\d{2}\d?)"
+TIME_PART = (
+    r"((?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?|[0-5]\d(?:[0-5]\d(?:[.,]\d+)?)?)?)"
+)
+OFFSET_PART = (
+    r"(Z|[+-](?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:\.\d+)?)?|[0-5]\d(?:[0-5]\d(?:\.\d+)?)?)?)"
+)
+COMMON_ZONED = (
+    r"^\d{4}-\d{2}-\d{2}[T ](?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{1,9})?(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)$"
+)
+ZONED = rf"^{DATE_PART}.{TIME_PART}{OFFSET_PART}$"
+NAIVE = rf"^{DATE_PART}(?:.{TIME_PART})?$"
 
 # The storable range and the texts of the rejection details.
 EARLIEST = "1900-01-01T00:00:00.000Z"
@@ -129,19 +137,54 @@ def is_object(doc: str) -> str:
     return f"startswith(schema_of_variant({doc}), 'OBJECT<')"
 
 
+def part(text: str, pattern: str, group: int) -> str:
+    return f"regexp_extract({text}, {literal(pattern)}, {group})"
+
+
+def day_of(date: str) -> str:
+    """A calendar or week date in any of its forms as DATE; NULL for a day that does not exist."""
+    digits = f"replace({date}, '-', '')"
+    week = f"replace({digits}, 'W', '')"
+    fourth = f"try_to_date(concat(left({week}, 4), '-01-04'), 'yyyy-MM-dd')"
+    monday = f"date_sub({fourth}, weekday({fourth}))"
+    number, weekday = f"int(substring({week}, 5, 2))", f"int(if(length({week}) > 6, substring({week}, 7, 1), '1'))"
+    found = f"date_add({monday}, ({number} - 1) * 7 + {weekday} - 1)"
+    real = f"{weekday} BETWEEN 1 AND 7 AND {number} >= 1 AND weekofyear({found}) = {number}"
+    return (
+        f"CASE WHEN {date} RLIKE 'W' THEN CASE WHEN {real} THEN {found} END"
+        f" ELSE try_to_date({digits}, 'yyyyMMdd') END"
+    )
+
+
+def micros_of(clock: str) -> str:
+    """Microseconds of a clock time with or without colons; digits beyond the sixth of a fraction are cut."""
+    digits = f"replace(replace({clock}, ':', ''), ',', '.')"
+    whole = f"rpad(split_part({digits}, '.', 1), 6, '0')"
+    fraction = f"bigint(rpad(left(split_part({digits}, '.', 2), 6), 6, '0'))"
+    return (
+        f"(((bigint(substring({whole}, 1, 2)) * 60 + bigint(substring({whole}, 3, 2))) * 60"
+        f" + bigint(substring({whole}, 5, 2))) * 1000000 + {fraction})"
+    )
+
+
 def instant(text: str) -> str:
-    """Read ISO-8601 text with an offset as a UTC instant; NULL for any other text."""
-    with_seconds = f"regexp_replace(replace({text}, ',', '.'), {literal(f'^({MINUTE_PART})(?!:)')}, '$1:00')"
+    """Read ISO-8601 text with an offset as a UTC instant; NULL for any other text.
+
+    The common form is left to Spark's own reader; the others are split into date, clock and offset.
+    """
+    date, clock, offset = (part(text, ZONED, i) for i in (1, 2, 3))
+    day = f"unix_date({day_of(date)}) * 86400000000L"
+    sign = f"if(startswith({offset}, '-'), -1, 1)"
+    away = f"if({offset} = 'Z', 0L, {sign} * {micros_of(f'substring({offset}, 2)')})"
     return (
         f"CASE WHEN {text} RLIKE {literal(COMMON_ZONED)} THEN try_to_timestamp({text})"
-        f" WHEN {text} RLIKE {literal(OTHER_ZONED)} THEN try_to_timestamp({with_seconds}) END"
+        f" WHEN {text} RLIKE {literal(ZONED)} THEN timestamp_micros({day} + {micros_of(clock)} - {away}) END"
     )
 
 
 def is_naive(text: str) -> str:
     """A readable date and time without an offset."""
-    with_seconds = f"regexp_replace(replace({text}, ',', '.'), {literal(f'^({MINUTE_PART})$')}, '$1:00')"
-    return f"({text} RLIKE {literal(NAIVE)} AND try_to_timestamp({with_seconds}) IS NOT NULL)"
+    return f"({text} RLIKE {literal(NAIVE)} AND {day_of(part(text, NAIVE, 1))} IS NOT NULL)"
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import mix
+from tidemark.functions.numbers import uniform
 
 SEND_KEY = ["run_id", "producer_sequence"]
 
@@ -121,7 +121,7 @@ def interval_throughput(log: DataFrame, seconds: int = 5) -> DataFrame:
 
 def delivery_trace(log: DataFrame, rate: float, topic: str) -> DataFrame:
     """A repeatable sample of acknowledged sends with where they landed and how long it took."""
-    chosen = F.pmod(mix(F.col("producer_sequence"), 17), F.lit(10_000)) < F.lit(int(rate * 10_000))
+    chosen = uniform(F.col("producer_sequence"), 17) < F.lit(rate)
     return log.filter((F.col("status") == "acked") & chosen).select(
         "run_id",
         "producer_sequence",
@@ -134,7 +134,10 @@ def delivery_trace(log: DataFrame, rate: float, topic: str) -> DataFrame:
 
 
 def tx_retries(df: DataFrame, statistics: str = "statistics") -> DataFrame:
-    """Retry count in each statistics text: the global number, or the sum over its brokers."""
+    """Retry count in each statistics text: the global number, or the sum over its brokers.
+
+    A text that is not one JSON object has no count: NULL, which is not the same as no retries.
+    """
     doc = F.try_parse_json(F.col(statistics))
 
     def numeric(value: Column) -> Column:
@@ -147,16 +150,12 @@ def tx_retries(df: DataFrame, statistics: str = "statistics") -> DataFrame:
         lambda b: F.coalesce(numeric(F.try_variant_get(b, "$.txretries", "variant")), F.lit(0).cast("long")),
     )
     total = F.aggregate(per_broker, F.lit(0).cast("long"), lambda acc, n: acc + n)
+    none = F.when(F.startswith(F.schema_of_variant(doc), F.lit("OBJECT<")), F.lit(0).cast("long"))
     return df.withColumn(
-        "tx_retries",
-        F.coalesce(
-            numeric(F.try_variant_get(doc, "$.txretries", "variant")),
-            total,
-            F.lit(0).cast("long"),
-        ),
+        "tx_retries", F.coalesce(numeric(F.try_variant_get(doc, "$.txretries", "variant")), total, none)
     )
 
 
 def reported_retries(df: DataFrame, statistics: str = "statistics") -> DataFrame:
-    """The largest cumulative retry count each run reported; unreadable reports count as zero."""
+    """The largest cumulative retry count each run reported; unreadable reports do not count."""
     return tx_retries(df, statistics).groupBy("run_id").agg(F.max("tx_retries").alias("tx_retries"))

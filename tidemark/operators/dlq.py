@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import iso_ms
-from tidemark.functions.numbers import mix
+from tidemark.functions.numbers import uniform
 from tidemark.functions.text import bounded_detail, preview
 from tidemark.schema import DLQ_FIELDS, PIPELINE_VERSION, SOURCE_TOPIC
 
@@ -46,7 +46,7 @@ def head(dlq: DataFrame, order: list[str], n: int = 20) -> DataFrame:
 
 def sampled_preview(invalid: DataFrame, key: str, rate: float) -> DataFrame:
     """A repeatable sample of rejects, with text length and the first characters of the text."""
-    return invalid.filter(F.pmod(mix(F.col(key), 18), F.lit(10_000)) < F.lit(int(rate * 10_000))).select(
+    return invalid.filter(uniform(F.col(key), 18) < F.lit(rate)).select(
         key,
         "error_category",
         "error_detail",

@@ -51,7 +51,7 @@ def replay_rank(telemetry: DataFrame, chunk_ms: int = 60_000) -> DataFrame:
     """
     rows = telemetry.select(*SEND, "event_id", "ingested_at")
     block = F.floor(F.unix_millis("ingested_at") / F.lit(chunk_ms))
-    return running_number(rows, list(SEND), ["ingested_at"], block, "replay_rank")
+    return running_number(rows, list(SEND), ["ingested_at", "event_id"], block, "replay_rank")
 
 
 def without_replays(telemetry: DataFrame) -> DataFrame:

@@ -44,14 +44,13 @@ def search(
 ) -> DataFrame:
     """Lines of a service holding a piece of text and having the given field values.
 
-    The cheap text filters run before a line is decoded.
+    ``contains`` looks at the line as it is written.  Fields are compared after decoding, since JSON
+    may write one value in several ways.
     """
     if service is not None:
         lines = lines.filter(F.col("service") == service)
     if contains is not None:
         lines = lines.filter(F.col(raw).contains(contains))
-    for value in fields.values():
-        lines = lines.filter(F.col(raw).contains(value))
     parsed = parse_lines(lines, raw)
     for name, value in fields.items():
         parsed = parsed.filter(text(name) == value)
@@ -97,6 +96,6 @@ def tail_matches(lines: DataFrame, order: list[Column], contains: str, scan: int
     return matched.withColumn("matched", F.expr("count(1) over ()")).orderBy(*order).limit(keep)
 
 
-def encode_lines(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """Write columns as one compact JSON line with sorted keys."""
-    return rows.select(F.to_json(F.struct(*sorted(fields))).alias("raw"))
+def encode_lines(rows: DataFrame, fields: list[str], *beside: str) -> DataFrame:
+    """Write columns as one compact JSON line with sorted keys, beside the columns named."""
+    return rows.select(*beside, F.to_json(F.struct(*sorted(fields))).alias("raw"))

@@ -94,7 +94,7 @@ def _by_rank(counted: DataFrame, group: list[str], probabilities: tuple[float, .
     )
     ranked = blocked_running(
         known, group, ["v"], F.expr(f"floor(v / {block})"), {"up_to": Running("sum", F.col("n"))}
-    ).join(totals, group, "right")
+    ).join(totals, group)
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("up_to") > rank, F.col("v"))).cast("double")
@@ -110,4 +110,7 @@ def _by_rank(counted: DataFrame, group: list[str], probabilities: tuple[float, .
         low, high = F.col(f"lo_{i}"), F.col(f"hi_{i}")
         return low + (high - low) * (place - F.floor(place))
 
-    return found.select(*group, "n", F.array(*[between(i, p) for i, p in enumerate(probabilities)]).alias("q"))
+    nothing = F.lit(None).cast("array<double>").alias("q")
+    return found.select(*group, "n", F.array(*[between(i, p) for i, p in enumerate(probabilities)]).alias("q")).unionByName(
+        totals.filter("n_known IS NULL").select(*group, F.col("n_all").alias("n"), nothing)
+    )

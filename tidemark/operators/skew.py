@@ -85,8 +85,9 @@ def evidence_maps(readings: DataFrame, scope: str) -> DataFrame:
 
 
 def number_text(value: Column) -> Column:
-    """Whole numbers with one decimal, as in 100.0."""
-    return value.cast("string")
+    """Whole numbers with one decimal, as in 100.0, also where a double's own text has an exponent."""
+    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(1e15))
+    return F.when(whole, F.concat(value.cast("decimal(16,0)").cast("string"), F.lit(".0"))).otherwise(value.cast("string"))
 
 
 def list_text(items: Column) -> Column:

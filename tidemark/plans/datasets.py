@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.prefix import running_number
-from tidemark.operators.workload import FIRMWARES, REGIONS
 from tidemark.schema import HOT_TENANT
 from tidemark.session import configure
-from tidemark.sources.table import dealt
 
 ARRIVAL_BLOCK = 65_536
+REGIONS = ("north", "coast", "inland")
+FIRMWARES = ("7.1.0", "7.1.4", "8.0.0")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,13 +31,9 @@ def iso(ms: str) -> str:
     return f"""date_format(timestamp_millis({ms}), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")"""
 
 
-def base(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """One row per event with the identifiers and flags all other datasets use.
-
-    ``spread`` is for datasets that do much work per row.
-    """
-    events = table(spark, sf_dir, "events")
-    return (dealt(events, "event_id") if spread else events).selectExpr(
+def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per event with the identifiers and flags all other datasets use."""
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id AS eid",
         "user_id",
         "unix_millis(cast(ts AS timestamp)) AS ems",
@@ -55,9 +51,9 @@ def base(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     )
 
 
-def sends(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def sends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Originals and intentional duplicates: one row per send."""
-    copies = base(spark, sf_dir, spread).selectExpr(
+    copies = base(spark, sf_dir).selectExpr(
         "*", "explode(if(has_dup, array(0L, 1L), array(0L))) AS copy"
     )
     return copies.selectExpr(
@@ -82,7 +78,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         '","producer_run_id":"', producer_run_id, '","producer_sequence":', producer_sequence,
         {region}, ',"schema_version":1,"tenant_id":"', tenant_id, '"}}')"""
     return (
-        sends(spark, sf_dir, spread=True)
+        sends(spark, sf_dir)
         .selectExpr("*", f"{text} AS whole")
         .selectExpr(
             "eid",
@@ -173,7 +169,7 @@ def client_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN 3 THEN concat('{"txretries":-', 1 + eid % 3, '}')
         WHEN 4 THEN concat('{"brokers":{"a":{"txretries":-2},"b":{"txretries":', eid % 8, '},"c":{}}}')
         ELSE '{"brokers":[1,2]}' END"""
-    return base(spark, sf_dir, spread=True).selectExpr("concat('run-', eid % 4) AS run_id", "eid", f"{text} AS statistics")
+    return base(spark, sf_dir).selectExpr("concat('run-', eid % 4) AS run_id", "eid", f"{text} AS statistics")
 
 
 # Names of the metric series this package reports.
@@ -239,43 +235,10 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN eid % 10 = 6 THEN concat('Savepoint completed. Path: file:///ckpt/', eid % 11,
             '; Savepoint completed. Path: file:///ckpt/sp-', eid, '.')
         WHEN eid % 10 = 7 THEN concat('plain text line ', eid)
+        WHEN eid % 10 = 8 AND eid % 3 = 0 THEN concat({job}, 'said ', char(92), '"stop', char(92), '""}}')
+        WHEN eid % 10 = 8 AND eid % 3 = 1 THEN concat({job}, 'caf', char(92), 'u00e9 open"}}')
         ELSE concat({job}, 'job_starting"}}') END"""
-    stamped = base(spark, sf_dir, spread=True).selectExpr(
+    stamped = base(spark, sf_dir).selectExpr(
         "eid", f"""concat('{{"timestamp":"', {iso('ems')}, '","level":"', {level}, '"') AS head"""
     )
     return stamped.selectExpr("eid", f"{choose('eid % 3', SERVICES)} AS service", f"{text} AS raw")
-
-
-# Shapes of the broker bean names that the renaming rules cover.
-BEAN_SHAPES = (
-    "kafka.server<type=ReplicaManager, name=UnderReplicatedPartitions><>Value",
-    "kafka.controller<type=KafkaController, name=ActiveControllerCount><>Value",
-    "kafka.server<type=FetcherLagMetrics, name=ConsumerLag, clientId=Fetcher-{u}, topic=t-{m}, partition={p}><>Value",
-    "kafka.coordinator.group<type=GroupMetadataManager, name=NumGroups{p}><>Value",
-    "kafka.network<type=RequestMetrics, name=ErrorsPerSec, request={m}, error=E{p}><>Count",
-    "kafka.server<type=BrokerTopicMetrics, name=MessagesInPerSec, topic=t-{m}><>Count",
-    "kafka.server<type=BrokerTopicMetrics, name=BytesInPerSec><>Count",
-    "kafka.log<type=Log, name=Size, topic=t-{m}, partition={p}><>Value",
-    "kafka.server<type=DelayedOperationPurgatory, name=PurgatorySize, delayedOperation={m}><>Value",
-    "kafka.server<type=ReplicaManager, name=LeaderCount{p}><>Value",
-    "kafka.network<type=RequestMetrics, name=TotalTimeMs, request={m}, version={p}><>Count",
-    "kafka.network<type=RequestMetrics, name=QueueTimeMs, request={m}><>Count",
-    "kafka.server<type=SessionExpireListener, name=Sessions{p}><>Count",
-    "kafka.network<type=RequestMetrics, name=TotalTimeMs, request={m}><>99thPercentile",
-    "kafka.log<type=LogFlushStats, name=LogFlushRateAndTimeMs><>50thPercentile",
-    "kafka.server<type=KafkaRequestHandlerPool, name=RequestHandlerAvgIdlePercent><>MeanRate",
-    "java.lang<type=Memory{u}><>Value",
-)
-
-
-def bean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One broker bean name per event, cycling through every shape."""
-    shape = choose(f"event_id % {len(BEAN_SHAPES)}", BEAN_SHAPES)
-    for mark, column in (
-        ("{u}", "cast(user_id % 50 AS string)"),
-        ("{m}", "event_type"),
-        ("{p}", "cast(event_id % 6 AS string)"),
-    ):
-        shape = f"replace({shape}, '{mark}', {column})"
-    events = dealt(table(spark, sf_dir, "events"), "event_id")
-    return events.selectExpr("event_id", f"{shape} AS bean")

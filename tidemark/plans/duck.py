@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans.datasets import BEAN_SHAPES, JOBS, SERVICES
-from tidemark.operators.workload import FIRMWARES, REGIONS
+from tidemark.plans.datasets import FIRMWARES, JOBS, REGIONS, SERVICES
 
 
 def sql_list(values) -> str:
@@ -239,18 +238,13 @@ log_lines AS (
       || '","component":"stream-job","message":"keyed_state_milestone","tenant_id":"tenant-hot","tenant_record_count":' || eid || '}}'
     WHEN eid % 10 = 6 THEN 'Savepoint completed. Path: file:///ckpt/' || eid % 11 || '; Savepoint completed. Path: file:///ckpt/sp-' || eid || '.'
     WHEN eid % 10 = 7 THEN 'plain text line ' || eid
+    WHEN eid % 10 = 8 AND eid % 3 < 2 THEN '{{"timestamp":"' || stamp || '","level":"' || lvl || '","component":"stream-job","message":"'
+      || CASE eid % 3 WHEN 0 THEN 'said ' || chr(92) || '"stop' || chr(92) || '"' ELSE 'caf' || chr(92) || 'u00e9 open' END || '"}}'
     ELSE '{{"timestamp":"' || stamp || '","level":"' || lvl || '","component":"stream-job","message":"job_starting"}}' END AS raw
   FROM lines
 ),
 log_docs AS (SELECT *, json_extract_string(raw, '$.level') AS level, json_extract_string(raw, '$.component') AS component FROM log_lines WHERE json_valid(raw))"""
 
-BEANS = f"""
-beans AS (
-  SELECT event_id, replace(replace(replace({sql_list(BEAN_SHAPES)}[event_id % {len(BEAN_SHAPES)} + 1],
-    '{{u}}', CAST(user_id % 50 AS VARCHAR)), '{{m}}', event_type), '{{p}}', CAST(event_id % 6 AS VARCHAR)) AS bean
-  FROM events
-)"""
-
 STATISTICS = """
 statistics AS (
   SELECT 'run-' || eid % 4 AS run_id, eid, CASE eid % 6

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import PRESETS
 from tidemark.functions import clock, numbers, text
 from tidemark.operators import (
     delivery,
@@ -25,7 +24,6 @@ from tidemark.operators import (
     validate,
     views,
     watermark,
-    workload,
 )
 from tidemark.plans import datasets as data
 from tidemark.plans import duck
@@ -379,7 +377,7 @@ def dlq_head(spark, sf_dir):
     duck.over_judged(f"""
 SELECT arrival, error_category, error_detail, length(raw_payload) AS raw_payload_length,
   left(raw_payload, 160) AS raw_payload_preview
-FROM rejects WHERE {duck.mix("arrival", 18)} % 10000 < 500"""),
+FROM rejects WHERE {duck.mix("arrival", 18)} / 2147483647.0::DOUBLE < 0.05::DOUBLE"""),
 )
 def invalid_preview(spark, sf_dir):
     return dlq.sampled_preview(validate.invalid_rows(judged(spark, sf_dir), "value", "arrival"), "arrival", 0.05)
@@ -793,7 +791,7 @@ def interval_throughput(spark, sf_dir):
     duck.over_delivery(f"""
 SELECT run_id, producer_sequence, event_id, '{SOURCE_TOPIC}' AS topic, "partition", "offset",
   round(CAST(latency_ms AS DOUBLE), 3) AS latency_ms
-FROM delivery WHERE status = 'acked' AND {duck.mix("producer_sequence", 17)} % 10000 < 100"""),
+FROM delivery WHERE status = 'acked' AND {duck.mix("producer_sequence", 17)} / 2147483647.0::DOUBLE < 0.01::DOUBLE"""),
 )
 def delivery_trace_sample(spark, sf_dir):
     return delivery.delivery_trace(delivered(spark, sf_dir), 0.01, SOURCE_TOPIC)
@@ -888,20 +886,25 @@ def consumer_lag(spark, sf_dir):
 
 CHANGES = """
 , stepped AS (
-  SELECT *, lag(value) OVER (PARTITION BY name, labels_key, window_start ORDER BY ts) AS previous
-  FROM (SELECT *, {window} AS window_start FROM series WHERE name LIKE 'pipeline_%_total')
+  SELECT *, lag(value) OVER (PARTITION BY name, labels_key ORDER BY ts) AS previous
+  FROM series WHERE name LIKE 'pipeline_%_total'
+),
+steps AS (
+  SELECT *, CASE WHEN value < previous THEN value ELSE value - previous END AS step FROM stepped WHERE previous IS NOT NULL
 ),
 changes AS (
-  SELECT name, labels_key, window_start, round(sum(CASE WHEN value < previous THEN value ELSE value - previous END), 6) AS increase,
-    round(sum(CASE WHEN value < previous THEN value ELSE value - previous END)
-      / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000), 6) AS rate
-  FROM stepped GROUP BY ALL HAVING count(*) > 1
+  SELECT name, labels_key, {window} AS window_start, round(sum(step), 6) AS increase, round(sum(step) / {seconds}, 6) AS rate
+  FROM steps GROUP BY ALL
 )
 """
+# Moments of a 15-second grid whose look-back holds a sample.
+MOMENTS = """generate_series(
+    CAST(ceil(epoch_us(ts) / 15000000.0::DOUBLE) AS BIGINT) * 15,
+    CAST(ceil((epoch_us(ts) + {seconds} * 1000000) / 15000000.0::DOUBLE) AS BIGINT) * 15 - 15, 15)"""
 
 
 def duck_changes(select: str, seconds: int) -> str:
-    return duck.over_metrics(CHANGES.format(window=duck_window(seconds)) + select)
+    return duck.over_metrics(CHANGES.format(window=duck_window(seconds), seconds=f"{seconds}.0::DOUBLE") + select)
 
 
 def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -921,6 +924,44 @@ def counter_increase(spark, sf_dir):
     return metrics.counters_increased(counters(spark, sf_dir), 300)
 
 
+@query(
+    "counter_rate_sliding",
+    duck_changes(
+        f"""
+, spread AS (SELECT name, labels_key, step, unnest({MOMENTS.format(seconds=60)}) AS at_s FROM steps)
+SELECT name, labels_key, make_timestamp(at_s * 1000000) AS at, round(sum(step), 6) AS increase,
+  round(round(sum(step), 6) / 60.0::DOUBLE, 6) AS rate FROM spread GROUP BY ALL""",
+        60,
+    ),
+)
+def counter_rate_sliding(spark, sf_dir):
+    return metrics.counter_change(counters(spark, sf_dir), 60, every=15)
+
+
+@query(
+    "rate_by_job",
+    duck_changes(
+        f"""
+SELECT name, job, {duck_window(60)} AS window_start, round(sum(step) / 60.0::DOUBLE, 6) AS sum_rate FROM steps GROUP BY ALL""",
+        60,
+    ),
+)
+def rate_by_job(spark, sf_dir):
+    return metrics.rate_by(counters(spark, sf_dir), ["job"])
+
+
+@query(
+    "max_over_time_sliding",
+    duck.over_metrics(f"""
+, spread AS (SELECT name, labels_key, value, unnest({MOMENTS.format(seconds=120)}) AS at_s
+  FROM series WHERE name LIKE 'pipeline_shuffle_%')
+SELECT name, labels_key, make_timestamp(at_s * 1000000) AS at, max(value) AS max_value FROM spread GROUP BY ALL"""),
+)
+def max_over_time_sliding(spark, sf_dir):
+    chosen = metrics.select_series(samples(spark, sf_dir), "pipeline_shuffle_.*")
+    return metrics.max_over_time(chosen, 120, every=15)
+
+
 @query(
     "gauge_deriv",
     duck.over_metrics(f"""
@@ -1031,46 +1072,6 @@ def forbidden_labels(spark, sf_dir):
     return metrics.forbidden_labels(samples(spark, sf_dir))
 
 
-def duck_template(template: str, last: int = 7) -> str:
-    parts = template
-    for n in range(last, 0, -1):
-        parts = parts.replace(f"${n}", f"\\{n}")
-    return parts
-
-
-def duck_fill(pattern: str, template: str) -> str:
-    if "$" not in template:
-        return f"'{template}'"
-    return f"regexp_replace(bean, '^.*?{pattern}.*$', '{duck_template(template)}')"
-
-
-def duck_bean_case(value: Callable[[tuple], str]) -> str:
-    branches = [f"WHEN regexp_matches(bean, '{rule[0]}') THEN {value(rule)}" for rule in metrics.BEAN_RULES]
-    return "CASE " + "\n ".join(branches) + " END"
-
-
-def duck_bean_labels(rule: tuple) -> str:
-    pairs = [f"lower({duck_fill(rule[0], key)}) || '=' || {duck_fill(rule[0], value)}" for key, value in rule[3]]
-    return " || ',' || ".join(pairs) if pairs else "''"
-
-
-@query(
-    "mbean_rename",
-    duck.query(
-        f"""
-SELECT event_id, bean, {duck_bean_case(lambda rule: f"lower({duck_fill(rule[0], rule[1])})")} AS metric_name,
-  {duck_bean_case(lambda rule: f"'{rule[2]}'")} AS metric_type, {duck_bean_case(duck_bean_labels)} AS labels FROM beans""",
-        duck.BEANS,
-    ),
-)
-def mbean_rename(spark, sf_dir):
-    renamed = metrics.rename_beans(data.bean_names(spark, sf_dir))
-    shown = F.array_join(
-        F.transform(F.map_entries("labels"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","
-    )
-    return renamed.withColumn("labels", shown)
-
-
 # ---------------------------------------------------------------------------- logs
 
 
@@ -1094,6 +1095,18 @@ def log_query(spark, sf_dir):
     return found.select("eid", "service", logs.number("raw_payload_length").alias("raw_payload_length"))
 
 
+@query(
+    "log_query_escaped",
+    duck.over_logs("""
+SELECT eid, service, json_extract_string(raw, '$.message') AS message FROM log_docs
+WHERE json_extract_string(raw, '$.message') IN ('said "stop"', 'café open')"""),
+)
+def log_query_escaped(spark, sf_dir):
+    written = lines(spark, sf_dir)
+    found = [logs.search(written, message=m) for m in ('said "stop"', "café open")]
+    return found[0].unionByName(found[1]).select("eid", "service", logs.text("message").alias("message"))
+
+
 @query(
     "final_run_log",
     duck.over_logs("""
@@ -1149,110 +1162,7 @@ SELECT producer_sequence, ingested_at, '{"event":"stored","level":"INFO","tenant
 )
 def log_encode(spark, sf_dir):
     rows = data.telemetry(spark, sf_dir).withColumns({"event": F.lit("stored"), "level": F.lit("INFO")})
-    line = F.to_json(F.struct(*sorted(["tenant_id", "level", "event"])))
-    return rows.select("producer_sequence", "ingested_at", line.alias("raw"))
-
-
-# ------------------------------------------------------------------------ workload
-
-
-def synthetic(spark: SparkSession, sf_dir: str, preset: str) -> DataFrame:
-    """Synthetic originals, one for each event, its run and clock taken from the event."""
-    ids = data.base(spark, sf_dir, spread=True).select("eid", "ems")
-    run = F.concat(F.lit("run-"), (F.col("eid") % 4).cast("string"))
-    return workload.synthesize(ids, run, F.col("ems"), PRESETS[preset], "eid")
-
-
-def duck_u(salt: int) -> str:
-    return f"({duck.mix('eid', salt)} / 2147483647.0::DOUBLE)"
-
-
-def duck_pick(salt: int, values) -> str:
-    return f"[{', '.join(repr(v) for v in values)}][{duck.mix('eid', salt)} % {len(values)} + 1]"
-
-
-OBSERVABLE = PRESETS["observable"]
-SYNTHETIC = f"""
-chances AS (
-  SELECT eid, ems * 1000 + CAST(floor(eid * 2000.0::DOUBLE) AS BIGINT) AS produced_us,
-    {duck_u(workload.LATE)} < 0.1::DOUBLE AS injected_late, {duck_u(workload.HOT)} < 0.8::DOUBLE AS hot,
-    {duck_u(workload.AGE)} AS age_u, {duck_u(workload.VALUE)} AS value_u,
-    {duck_u(workload.DUPLICATE)} < 0.05::DOUBLE AS has_copy, {duck_u(workload.BROKEN)} < 0.005::DOUBLE AS broken
-  FROM base
-),
-originals AS (
-  SELECT eid AS id, produced_us, 2 * eid + 1 AS producer_sequence, 'run-' || eid % 4 AS producer_run_id,
-    left(sha256('run-' || eid % 4 || ':' || eid), 32) AS event_id,
-    CASE WHEN hot THEN 'tenant-hot' ELSE 'tenant-' || lpad(CAST(1 + {duck.mix("eid", workload.TENANT)} % 20 AS VARCHAR), 3, '0') END AS tenant_id,
-    'device-' || lpad(CAST(1 + {duck.mix("eid", workload.DEVICE)} % 2000 AS VARCHAR), 4, '0') AS device_id,
-    {duck_pick(workload.METRIC, [m[0] for m in workload.METRICS])} AS metric_name,
-    round({duck_pick(workload.METRIC, [m[1] for m in workload.METRICS])}::DOUBLE + value_u
-      * ({duck_pick(workload.METRIC, [m[2] for m in workload.METRICS])}::DOUBLE
-       - {duck_pick(workload.METRIC, [m[1] for m in workload.METRICS])}::DOUBLE), 3) AS metric_value,
-    produced_us - CAST(floor((CASE WHEN injected_late THEN 15.0::DOUBLE ELSE 0.0::DOUBLE END
-      + age_u * CASE WHEN injected_late THEN 285.0::DOUBLE ELSE 2.0::DOUBLE END) * 1000000) AS BIGINT) AS event_us,
-    {duck_pick(workload.REGION, workload.REGIONS)} AS region,
-    {duck_pick(workload.FIRMWARE, workload.FIRMWARES)} AS firmware, injected_late, has_copy, broken
-  FROM chances
-),
-both_sends AS (
-  SELECT *, false AS injected_duplicate FROM originals
-  UNION ALL
-  SELECT * REPLACE (produced_us + 1 AS produced_us, producer_sequence + 1 AS producer_sequence), true
-  FROM originals WHERE has_copy
-)"""
-
-SYNTHETIC_COLUMNS = """1 AS schema_version, producer_run_id, producer_sequence, make_timestamp(produced_us) AS produced_at,
-  event_id, tenant_id, device_id, metric_name, metric_value, make_timestamp(event_us) AS event_time, region, firmware,
-  injected_duplicate, injected_late"""
-
-
-@query(
-    "synthesized_events",
-    duck.query(f"SELECT {SYNTHETIC_COLUMNS} FROM both_sends WHERE NOT injected_duplicate", duck.BASE, SYNTHETIC),
-)
-def synthesized_events(spark, sf_dir):
-    return synthetic(spark, sf_dir, "observable").drop("id", "produced_us")
-
-
-@query("anomaly_duplicates", duck.query(f"SELECT {SYNTHETIC_COLUMNS} FROM both_sends", duck.BASE, SYNTHETIC))
-def anomaly_duplicates(spark, sf_dir):
-    return workload.sends(synthetic(spark, sf_dir, "observable"), OBSERVABLE.duplicate_rate).drop("id", "produced_us")
-
-
-@query(
-    "anomaly_malformed",
-    duck.query(
-        f"""
-SELECT producer_sequence, tenant_id AS key, NOT injected_duplicate AND broken AS malformed,
-  CASE WHEN NOT injected_duplicate AND broken THEN left(v, length(v) - 1) ELSE v END AS value
-FROM (SELECT *, '{{"device_id":"' || device_id || '","event_id":"' || event_id || '","event_time":"'
-    || strftime(make_timestamp(event_us), '%Y-%m-%dT%H:%M:%S.%fZ') || '","firmware":"' || firmware
-    || '","injected_duplicate":' || CASE WHEN injected_duplicate THEN 'true' ELSE 'false' END
-    || ',"injected_late":' || CASE WHEN injected_late THEN 'true' ELSE 'false' END
-    || ',"metric_name":"' || metric_name || '","metric_value":' || CAST(metric_value AS VARCHAR)
-    || ',"produced_at":"' || strftime(make_timestamp(produced_us), '%Y-%m-%dT%H:%M:%S.%fZ')
-    || '","producer_run_id":"' || producer_run_id || '","producer_sequence":' || producer_sequence
-    || ',"region":"' || region || '","schema_version":1,"tenant_id":"' || tenant_id || '"}}' AS v FROM both_sends)""",
-        duck.BASE,
-        SYNTHETIC,
-    ),
-)
-def anomaly_malformed(spark, sf_dir):
-    events = workload.sends(synthetic(spark, sf_dir, "observable"), OBSERVABLE.duplicate_rate)
-    encoded = workload.encode(
-        events.withColumn("is_original", ~F.col("injected_duplicate")), "id", "producer_sequence", "is_original"
-    )
-    return workload.corrupt(encoded, OBSERVABLE.bad_json_rate).select("producer_sequence", "key", "malformed", "value")
-
-
-@query("workload_partitions")
-def workload_partitions(spark, sf_dir):
-    ids = data.base(spark, sf_dir, spread=True).select("eid", "ems")
-    run = F.concat(F.lit("run-"), (F.col("eid") % 4).cast("string"))
-    messages = workload.workload(ids, run, F.col("ems"), PRESETS["smoke"], "eid")
-    placed = workload.assign_partitions(messages, "producer_sequence", F.expr(f"producer_sequence div {BLOCK}"))
-    return placed.select("producer_sequence", "key", "src_partition", "offset")
+    return logs.encode_lines(rows, ["tenant_id", "level", "event"], "producer_sequence", "ingested_at")
 
 
 # ---------------------------------------------------------------- scalar functions

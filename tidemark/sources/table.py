@@ -52,16 +52,6 @@ def between(table: DataFrame, start: datetime, end: datetime) -> DataFrame:
     )
 
 
-def dealt(df: DataFrame, key: str) -> DataFrame:
-    """A table that comes in fewer splits than there are cores, dealt out to all cores by a key.
-
-    Such a table is small by construction, so moving it is cheap next to parsing it on one core.
-    Larger tables keep the splits they come in and are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def recent_files(table: DataFrame, n: int = 30) -> DataFrame:
     """The ``n`` files written last with their rows and bytes; the limit is the report."""
     meta = F.col("_metadata")

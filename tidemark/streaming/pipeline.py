@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,6 +16,7 @@ from tidemark.config import PipelineConfig
 from tidemark.operators import dlq, validate, watermark
 from tidemark.session import configure
 from tidemark.streaming import sinks
+from tidemark.streaming.progress import store_samples
 from tidemark.streaming.state import WatermarkState
 
 
@@ -40,6 +42,10 @@ class Paths:
     def watermark(self) -> str:
         return f"{self.root}/checkpoints/watermark"
 
+    @property
+    def metrics(self) -> str:
+        return f"{self.root}/metrics"
+
     def tenant_state(self, generation: int) -> str:
         return f"{self.root}/checkpoints/tenant-state-{generation}"
 
@@ -57,8 +63,7 @@ class BatchWriter:
     dlq_sink: sinks.Sink
     config: PipelineConfig
     clock_ms: Callable[[], int] = system_clock
-    late_records: dict[int, int] = field(default_factory=dict)
-    kept_batches: int = 100
+    metrics_path: str | None = None
 
     def __call__(self, checked: DataFrame, batch_id: int) -> None:
         now_ms = self.clock_ms()
@@ -79,8 +84,10 @@ class BatchWriter:
                 watermark.contributed_time(F.col("event_time_ms"), F.col("error")).alias("event_ms"),
             )
             self.state.advance(before, offered, batch_id, now_ms, mark)
-            self.late_records[batch_id] = late.get["records_late"]
-            self.late_records.pop(batch_id - self.kept_batches, None)
+            if self.metrics_path:
+                at = datetime.fromtimestamp(now_ms / 1_000, timezone.utc)
+                sample = (at, "records_late", {"batch_id": str(batch_id)}, float(late.get["records_late"]))
+                store_samples(self.metrics_path, f"late-{batch_id}", [sample])
         finally:
             checked.unpersist()
 
@@ -109,9 +116,10 @@ def start_pipeline(
     writer = BatchWriter(
         WatermarkState(spark, paths.watermark),
         rows_sink,
-        dlq_sink or sinks.dlq_file_sink(paths.dead_letters),
+        dlq_sink or (sinks.idempotent_dlq_sink if config.idempotent else sinks.dlq_file_sink)(paths.dead_letters),
         config,
         clock_ms,
+        paths.metrics,
     )
     checked = validate.validate(arrivals).observe("validation", *validate.outcome_counters())
     stream = checked.writeStream.foreachBatch(writer).option("checkpointLocation", paths.checkpoint)

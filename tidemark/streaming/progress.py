@@ -1,21 +1,60 @@
-"""The job's own measurements as metric samples: one set of rows per finished batch."""
+"""The job's own measurements as metric samples, kept as files of a table on shared storage."""
 
 from __future__ import annotations
 
-from collections import deque
-from datetime import datetime
+import json
+from datetime import datetime, timezone
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark.schema import METRIC_SCHEMA
 
+Sample = tuple[datetime, str, dict[str, str], float]
+
+
+def store_samples(path: str, name: str, samples: list[Sample]) -> None:
+    """Write the samples of one batch as one file; the same name again replaces it."""
+    store, base = fs.FileSystem.from_uri(path)
+    store.create_dir(base, recursive=True)
+    lines = [
+        json.dumps({"ts": at.astimezone(timezone.utc).isoformat(), "name": key, "labels": labels, "value": value})
+        for at, key, labels, value in samples
+    ]
+    with store.open_output_stream(f"{base}/{name}.json") as out:
+        out.write("".join(line + "\n" for line in lines).encode())
+
+
+def read_samples(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(METRIC_SCHEMA).json(path)
+
+
+def progress_samples(progress) -> list[Sample]:
+    """All measurements of one progress report."""
+    at = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
+    labels = {"query": progress.name or ""}
+    values = {
+        "batch_input_rows": progress.numInputRows,
+        "input_rows_per_second": progress.inputRowsPerSecond,
+        "processed_rows_per_second": progress.processedRowsPerSecond,
+        "batch_duration_ms": progress.batchDuration,
+    }
+    samples = [(at, "phase_duration_ms", {**labels, "phase": part}, float(ms)) for part, ms in progress.durationMs.items()]
+    for name, row in progress.observedMetrics.items():
+        for key, value in row.asDict().items():
+            values[f"{name}_{key}"] = value
+    samples += [(at, name, labels, float(value)) for name, value in values.items() if value is not None]
+    for source in progress.sources:
+        samples += [(at, f"source_{key}", labels, float(value)) for key, value in source.metrics.items()]
+    return samples
+
 
 class ProgressSamples(StreamingQueryListener):
-    """Collects query progress; keeps the newest samples up to a limit, since it lives on the driver."""
+    """Stores the samples of every progress report under a folder; nothing is kept on the driver."""
 
-    def __init__(self, keep: int = 100_000) -> None:
-        self.samples: deque[tuple] = deque(maxlen=keep)
+    def __init__(self, path: str) -> None:
+        self.path = path
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
@@ -25,29 +64,12 @@ class ProgressSamples(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         if event.exception is not None:
-            self.samples.append((datetime.now(), "query_failures", {}, 1.0))
+            failed = (datetime.now(timezone.utc), "query_failures", {}, 1.0)
+            store_samples(self.path, f"failure-{event.runId}", [failed])
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         progress = event.progress
-        at = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
-        labels = {"query": progress.name or ""}
-        values = {
-            "batch_input_rows": progress.numInputRows,
-            "input_rows_per_second": progress.inputRowsPerSecond,
-            "processed_rows_per_second": progress.processedRowsPerSecond,
-            "batch_duration_ms": progress.batchDuration,
-        }
-        for part, ms in progress.durationMs.items():
-            self.samples.append((at, "phase_duration_ms", {**labels, "phase": part}, float(ms)))
-        for name, row in progress.observedMetrics.items():
-            for key, value in row.asDict().items():
-                values[f"{name}_{key}"] = value
-        for name, value in values.items():
-            if value is not None:
-                self.samples.append((at, name, labels, float(value)))
-        for source in progress.sources:
-            for key, value in source.metrics.items():
-                self.samples.append((at, f"source_{key}", labels, float(value)))
+        store_samples(self.path, f"progress-{progress.runId}-{progress.batchId}", progress_samples(progress))
 
     def as_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.samples), METRIC_SCHEMA)
+        return read_samples(spark, self.path)

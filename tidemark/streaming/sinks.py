@@ -54,6 +54,15 @@ def dlq_file_sink(path: str) -> Sink:
     return write
 
 
+def idempotent_dlq_sink(path: str) -> Sink:
+    """Write each batch's envelopes to its own folder, so a replay replaces them."""
+
+    def write(envelopes: DataFrame, batch_id: int) -> None:
+        dlq.encoded(envelopes).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def dlq_topic_sink(servers: str, topic: str) -> Sink:
     """Send the envelopes to a topic, value only; needs the Kafka package on the cluster."""
 
@@ -66,4 +75,4 @@ def dlq_topic_sink(servers: str, topic: str) -> Sink:
 
 def read_dlq_files(spark, path: str) -> DataFrame:
     fields = ", ".join(f"{name} string" for name in DLQ_FIELDS)
-    return spark.read.text(path).select(F.from_json("value", fields).alias("d")).select("d.*")
+    return spark.read.text(path).select("value").select(F.from_json("value", fields).alias("d")).select("d.*")

@@ -28,15 +28,21 @@ class WatermarkState:
         return f"{self.path}/slot={batch_id % SLOTS}"
 
     def after(self, batch_id: int) -> DataFrame:
-        """The state as the given batch left it; empty before the first batch."""
-        empty = self.spark.createDataFrame([], SCHEMA)
+        """The state as the given batch left it; empty before the first batch.
+
+        Every stored state has a row without a partition, which says that the batch was finished.
+        Without it the watermark would silently start again, so the query stops instead.
+        """
         if batch_id < 0:
-            return empty
+            return self.spark.createDataFrame([], SCHEMA)
         try:
-            rows = self.spark.read.schema(SCHEMA).parquet(self.slot(batch_id))
+            rows = self.spark.read.schema(SCHEMA).parquet(self.slot(batch_id)).filter(F.col("batch_id") == batch_id)
+            finished = not rows.filter("src_partition IS NULL").isEmpty()
         except AnalysisException:
-            return empty
-        return rows.filter(F.col("batch_id") == batch_id)
+            finished = False
+        if not finished:
+            raise RuntimeError(f"the watermark state of batch {batch_id} is missing in {self.path}")
+        return rows
 
     def watermark(self, before: DataFrame, now_ms: int, out_of_order_ms: int, idle_ms: int) -> int | None:
         """The watermark for a batch arriving now: one number from a table of one row per partition."""
@@ -55,12 +61,16 @@ class WatermarkState:
             F.max("event_ms").alias("max_ms"), F.lit(now_ms).cast("long").alias("seen_ms")
         )
         merged = (
-            before.select("src_partition", "max_ms", "seen_ms")
+            before.filter("src_partition IS NOT NULL")
+            .select("src_partition", "max_ms", "seen_ms")
             .unionByName(now_seen)
             .groupBy("src_partition")
             .agg(F.max("max_ms").alias("max_ms"), F.max("seen_ms").alias("seen_ms"))
         )
-        merged.select(
+        finished = self.spark.range(1).selectExpr(
+            "CAST(NULL AS int) AS src_partition", "CAST(NULL AS bigint) AS max_ms", "CAST(NULL AS bigint) AS seen_ms"
+        )
+        merged.unionByName(finished).select(
             F.lit(batch_id).cast("long").alias("batch_id"),
             "src_partition",
             "max_ms",
