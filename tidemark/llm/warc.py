@@ -93,7 +93,7 @@ class _Files:
         if self.out is None:
             self.fs.create_dir(self.folder, recursive=True)
             self.name = f"pages-{shard:07d}-{self.seq:05d}.warc.gz"
-            self.out, self.size, self.records, self.digest = self.fs.open_output_stream(f"{self.folder}/{self.name}"), 0, 0, hashlib.sha256()
+            self.out, self.size, self.records, self.digest = self.fs.open_output_stream(f"{self.folder}/{self.name}", compression=None), 0, 0, hashlib.sha256()
             self.seq += 1
         packed = _member(data)
         self.out.write(packed)
@@ -182,7 +182,8 @@ def write(
     ).withColumns({"digest": F.sha2("payload", 256), "size": F.length("payload").cast("long")})
     light = scratch.keep(rows.select("page_id", "digest", "size"), "digests")
     total = light.agg(F.coalesce(F.sum(F.col("size") + 512), F.lit(0)).alias("n")).first()["n"]
-    bounds = _bounds(light, "page_id", max(1, math.ceil(total / shard_bytes)))
+    n_shards = max(1, math.ceil(total / shard_bytes))
+    bounds = _bounds(light, "page_id", n_shards)
 
     @F.pandas_udf("int")
     def shard(ids: pd.Series) -> pd.Series:
@@ -203,7 +204,7 @@ def write(
     sorted_ = (
         whole.unionByName(revisits)
         .withColumn("shard", shard("page_id"))
-        .repartition("shard")
+        .repartition(n_shards, "shard")
         .sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "tag", "digest", "url")
         .select("shard", "page_id", "tag", "digest", "size", "url", "payload", "first")
     )
@@ -268,7 +269,7 @@ def _read(root: str, with_payload: bool):
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 rows, size = [], 0
-                with store.open_input_stream(f"{base}/{name}") as stream:
+                with store.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     for data in members(stream):
                         row = parse(data)
                         if not with_payload:
