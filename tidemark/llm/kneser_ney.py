@@ -36,8 +36,8 @@ from tidemark.llm import words
 from tidemark.llm.scratch import Scratch
 
 FOLDS, HELD_OUT = 7, 2
-RANGE_BYTES = 24 << 20
-FLUSH = 1 << 21
+RANGE_BYTES = 12 << 20
+FLUSH = 1 << 20
 END = np.uint64(0x9E3779B97F4A7C15)  # stands for the end of a text; words hash to it only by chance
 _BLOCK = "part int, keys binary, counts binary"
 
@@ -197,8 +197,8 @@ def _runs(sorted_parts: np.ndarray) -> Iterator[tuple[int, int, int]]:
 def discounts(n: np.ndarray) -> np.ndarray:
     """D(0), D(1), D(2), D(3+) from how many entries have the counts 1 to 4."""
     n1, n2, n3, n4 = (float(max(x, 0)) for x in n)
-    if not n1:
-        return np.zeros(4)
+    if not n1:  # nothing occurs once: the usual halves keep some mass for what is unseen
+        return np.array([0.0, 0.5, 1.0, 1.5])
     y = n1 / (n1 + 2 * n2)
     d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
     return np.array([0.0, *(float(np.clip(v, 0.05, i - 0.05)) for i, v in enumerate(d, 1))])
