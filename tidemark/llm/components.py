@@ -11,9 +11,9 @@ from tidemark.llm.scratch import Scratch
 def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component_id) for every id that has a link; component_id is the smallest id reachable.
 
-    In each round every node joins its neighbour with the smallest random rank of that round, itself
-    included, and edges are redrawn between what has been joined.  Random ranks make the number of
-    rounds logarithmic for paths and stars alike.  A node with very many links is no burden: minima are
+    In each round every node joins the neighbour with the most links, itself included, and edges are
+    redrawn between what has been joined.  A star is joined at once; ranks of equal degree are random
+    anew in each round, so long paths shrink by a constant factor.  A node with very many links is no burden: minima are
     taken in each task first, and joins on its id are of the kind that Spark splits when skewed.
     """
     edges = scratch.keep(
@@ -25,11 +25,10 @@ def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
     while not edges.isEmpty():
         seed += 1
         both = edges.union(edges.select("b", "a"))
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(seed)).alias("h"), F.col(c).alias("p"))
-        parent = scratch.keep(
-            both.groupBy("a").agg(F.min(rank("b")).alias("best")).select("a", F.least("best", rank("a"))["p"].alias("p")),
-            "parents",
-        )
+        degree = both.groupBy("b").agg(F.count(F.lit(1)).alias("d"))
+        rank = lambda c, d: F.struct((-d).alias("d"), F.xxhash64(c, F.lit(seed)).alias("h"), F.col(c).alias("p"))
+        best = both.join(degree, "b").groupBy("a").agg(F.min(rank("b", F.col("d"))).alias("best"), F.count(F.lit(1)).alias("d"))
+        parent = scratch.keep(best.select("a", F.least("best", rank("a", F.col("d")))["p"].alias("p")), "parents")
         redrawn = scratch.keep(
             edges.join(parent, "a")
             .select(F.col("p").alias("x"), "b")

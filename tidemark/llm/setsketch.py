@@ -11,10 +11,12 @@ sets' Jaccard similarity.
 2. ``BANDS`` bands of ``ROWS`` registers give buckets.  At a similarity of 0.8 a pair shares no bucket
    with probability (1 - 0.8**5)**32 = 3e-6; shared buckets are kept whatever their size.
 3. A bucket of m texts is not paired m * m times.  In each of ``ROUNDS`` rounds every bucket that still
-   spans several components names a random hub, and every text is tried against the hubs it shares most
-   buckets with; what links is one component from then on.  Last, exactly: each text outside its
-   bucket's largest component is tried against all texts of other components in the bucket.  So no
-   pair that could join two components is left out; pairs inside one component are not needed.
+   spans several components names a hub from the largest one, at random among the texts that meet most
+   others, and every text outside is tried against the hubs it shares most buckets with; what links is one component from then on.  Pairs inside a component are not needed.
+   What is left are buckets whose texts are in several components.  Their texts' shingles are ordered by
+   frequency, rarest first.  Two sets of sizes n and m with the similarity in reach have a shingle in
+   common at places i and j of that order with 1 + min(n - i, m - j) >= the overlap they need; texts of
+   different components are paired where that holds, which misses no link.
 4. A trial estimates the similarity from the registers and the known set sizes by maximum likelihood.
    Only pairs that are e**20 times less likely at the threshold than at their estimate are given up;
    all others are verified on the full sets in integers.
@@ -40,8 +42,8 @@ REGISTERS = BANDS * ROWS
 BASE = 1.001
 RATE = 20.0
 TOP = 65_535
-ROUNDS = 2
-HUBS_TRIED = 2
+ROUNDS = 3
+HUBS_TRIED = 3
 SURE = 20.0
 _RNG = np.random.Generator(np.random.PCG64(7))
 _MASKS = _RNG.integers(0, 2**32, size=(REGISTERS, 1), dtype=np.uint32)
@@ -173,9 +175,12 @@ def _sizes_allow(num: int, den: int):
 
 
 def _hub_pairs(members: DataFrame, label: DataFrame, seed: int, num: int, den: int) -> DataFrame:
-    placed = members.join(label, "id", "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("c"))
-    hub = F.min_by(F.struct("id", "n", "c"), F.xxhash64("id", F.lit(seed)))
-    open_ = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), hub.alias("hub")).filter("lo <> hi")
+    placed = members.join(label, "id", "left").select("key", "id", "n", "class", F.coalesce("component_id", "id").alias("c"))
+    central = F.struct(-F.col("class"), F.xxhash64("id", "key", F.lit(seed)))
+    hub = F.min_by(F.struct("id", "n", "c"), central).alias("hub")
+    parts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"), hub)
+    largest = F.max_by("hub", F.struct(F.col("m"), F.xxhash64("c", F.lit(seed)))).alias("hub")
+    open_ = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), largest).filter("parts > 1")
     tries = (
         placed.join(open_.select("key", "hub"), "key")
         .select(F.col("id").alias("a"), F.col("n").alias("n_a"), "c", "hub")
@@ -189,18 +194,47 @@ def _hub_pairs(members: DataFrame, label: DataFrame, seed: int, num: int, den: i
     return tries.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= HUBS_TRIED).drop("place", "shared")
 
 
-def _open_pairs(members: DataFrame, label: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
-    placed = scratch.keep(members.join(label, "id", "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("c")), "placed")
+def _each_member(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            sets = [np.frombuffer(v.as_buffer(), dtype=np.int64) for v in part.column(2)]
+            ids, c = (np.repeat(part.column(i).to_numpy(), [len(s) for s in sets]) for i in (0, 1))
+            n = np.repeat([len(s) for s in sets], [len(s) for s in sets])
+            columns = [pa.array(ids), pa.array(c), pa.array(n, pa.int64()), pa.array(np.concatenate(sets))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "c", "n", "member"])
+
+
+def _open_pairs(members: DataFrame, sets: DataFrame, label: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Pairs of texts in different components of one bucket that may be linked."""
+    placed = scratch.keep(members.join(label, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c")), "placed")
     count = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     main = count.groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    ready = scratch.keep(placed.join(main.select("key", "main"), "key"), "open-buckets")
-    outside = ready.filter("c <> main").select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    others = ready.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"), "main")
-    fresh = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b")))
-    pairs = outside.join(others, "key").filter(fresh & _sizes_allow(num, den)).select("a", "b", "n_a", "n_b").distinct()
-    pairs = scratch.keep(pairs, "open-pairs")
-    scratch.drop(placed, ready)
-    return pairs
+    ready = placed.join(main.select("key", "main"), "key")
+    texts = scratch.keep(ready.groupBy("id", "c").agg(F.max(F.col("c") != F.col("main")).alias("outside")), "open-texts")
+    each = texts.join(sets, "id").select("id", "c", "members").mapInArrow(_each_member, "id long, c long, n long, member long")
+    each = scratch.keep(each, "open-members")
+    often = each.groupBy("member").agg(F.count(F.lit(1)).alias("often"))
+    rank = Window.partitionBy("id", "n").orderBy("often", "member")  # the members of one set
+    first = F.col("n") - F.ceil(F.col("n") * num / F.lit(den)) + 1
+    prefix = scratch.keep(
+        each.join(often, "member").withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= first).drop("often"), "prefixes"
+    )
+    outside = prefix.join(texts.filter("outside").select("id"), "id", "left_semi")
+    one = outside.select("member", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("place").alias("i"))
+    two = prefix.select("member", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("place").alias("j"))
+    reach = F.lit(1) + F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j"))
+    enough = reach * (num + den) >= (F.col("n_a") + F.col("n_b")) * num
+    pairs = one.join(two, "member").filter((F.col("c_a") != F.col("c_b")) & enough & _sizes_allow(num, den))
+    ordered = pairs.select(
+        F.least("a", "b").alias("a"),
+        F.greatest("a", "b").alias("b"),
+        F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+        F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"),
+    )
+    made = scratch.keep(ordered.distinct(), "open-pairs")
+    scratch.drop(placed, texts, each, prefix)
+    return made
 
 
 def near_groups(
@@ -227,8 +261,12 @@ def near_groups(
     copies = named.select("id", *same).join(groups.filter("copies > 1").select("rep", *same), same)
     links = [scratch.keep(copies.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")), "copies")]
     banded = groups.select(F.col("rep").alias("id"), "n", "regs").mapInArrow(_bands, "id long, n long, key long")
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
-    members = scratch.keep(banded.join(shared, "key", "left_semi"), "members")
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    bucketed = scratch.keep(banded.join(shared, "key"), "buckets")
+    # texts that meet many others are near the middle of their group; classes are powers of the root of 2
+    company = bucketed.groupBy("id").agg(F.floor(2 * F.log2(F.sum("m"))).alias("class"))
+    members = scratch.keep(bucketed.drop("m").join(company, "id"), "members")
+    scratch.drop(bucketed)
     sizes = scratch.keep(sketch.select("id", "n"), "sizes")
     scratch.drop(groups, sketch)
     wanted = members.select("id").distinct()
@@ -241,7 +279,7 @@ def near_groups(
         links.append(links_of(pairs, sets, num, den, scratch))
         before, label = label, _labels(links[1:], scratch)
         scratch.drop(before)
-    links.append(links_of(_open_pairs(members, label, num, den, scratch), sets, num, den, scratch))
+    links.append(links_of(_open_pairs(members, sets, label, num, den, scratch), sets, num, den, scratch))
     scratch.drop(label, members, sets)
     label = _labels(links, scratch)
     scratch.drop(*links)
