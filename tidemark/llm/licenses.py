@@ -15,6 +15,7 @@ template has one, cannot hold a template and are not cut into windows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -26,6 +27,9 @@ from tidemark.llm.scratch import Scratch
 K = 5
 BANDS = 40
 THRESHOLD = 0.8
+SHINGLES_PER_TASK = 40_000
+# Words too common to tell a license from other text.
+COMMON = {"this", "that", "with", "from", "have", "will", "under", "which", "such", "into", "without", "other", "only", "when"}
 SPLIT = r"[^\p{L}\p{N}]+"
 
 # The wording of public license notices.
@@ -116,7 +120,7 @@ def needed_words(templates: list[tuple[int, str, str]]) -> list[str]:
     chosen: list[str] = []
     while open_:
         count = Counter(w for s in open_ for w in s)
-        best = max(count, key=lambda w: (count[w] * max(1, len(w) - 3) ** 2, w))
+        best = max(count, key=lambda w: (w not in COMMON and len(w) > 3, count[w] * len(w) ** 2, w))
         chosen.append(best)
         open_ = [s for s in open_ if best not in s]
     return sorted(chosen)
@@ -162,7 +166,7 @@ def scan(
     scratch = Scratch(spark, "licenses")
     table = scratch.keep(template_table(spark, templates).coalesce(1), "templates")
     widths = [r["w"] for r in table.select("w").distinct().collect()]
-    pattern = "(?iu)" + "|".join(needed_words(templates))
+    pattern = rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(needed_words(templates))})(?![\p{{L}}\p{{N}}])"
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter(F.col("text").rlike(pattern))
     cut = scratch.keep(
         texts.select(F.monotonically_increasing_id().alias("row"), "id", words_of(F.col("text")).alias("words"))
@@ -170,7 +174,9 @@ def scan(
         .select("row", "id", shingles_of(F.col("words")).alias("shingles")),
         "shingles",
     )
-    each = cut.select("row", F.posexplode("shingles").alias("i", "s"))
+    # a text's windows are made where its shingles are: the sums below need no second exchange
+    n_shingles = cut.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0)).alias("n")).first()["n"]
+    each = cut.repartition(max(1, math.ceil(n_shingles / SHINGLES_PER_TASK)), "row").select("row", F.posexplode("shingles").alias("i", "s"))
     window = F.explode(F.array(*[F.struct(F.lit(w).alias("w"), (F.floor(F.col("i") / (w // 4)) - back).alias("window")) for w in widths for back in range(4)]))
     sketched = each.select("row", "s", window.alias("at")).groupBy("row", "at").agg(*_minima())
     known = table.select("license_id", "w", F.explode("shingles").alias("s")).groupBy("license_id", "w").agg(*_minima())
