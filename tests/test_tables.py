@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from oracle_check import compare, open_duck
 from tidemark.operators import duplicates, views
 from tidemark.plans import datasets, registry
-from tidemark.schema import REQUIRED_FIELDS, TABLE_SCHEMA
+from tidemark.schema import TABLE_SCHEMA
 from tidemark.sources import table, topics
 
 SF = "/root/testdata/sf0.001"
