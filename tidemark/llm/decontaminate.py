@@ -2,7 +2,7 @@
 
 Every window of a document, at every word, gets a 64-bit SimHash of its word shingles: bit i is set if
 more than half of the window's shingle hashes have it set.  Window lengths are those of the items, on a
-grid of ratio 1.5: an item is represented by windows at its head and tail as long as the grid allows,
+grid of powers of two times 5: an item is represented by windows at its head and tail as long as the grid allows,
 and by windows of half that length laid end to end, so an item with a changed word still has a window
 that is unchanged.
 
@@ -35,7 +35,7 @@ THRESHOLD = 0.8
 GROUP = 4096
 GRID = [5]
 while GRID[-1] < 1_000_000:
-    GRID.append(math.ceil(GRID[-1] * 1.5))
+    GRID.append(2 * GRID[-1])
 
 
 def simhashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -120,6 +120,11 @@ class Index:
         every, count = np.unique(np.concatenate(self.shingles), return_counts=True) if self.shingles else (np.zeros(0, np.uint64), np.zeros(0))
         self.weights = [1.0 / count[np.searchsorted(every, s)] for s in self.shingles]
 
+    def share(self, item: int, hashes: np.ndarray) -> float:
+        """How much of the item's shingle weight a stretch of words has."""
+        own = np.isin(self.shingles[item], words.shingles(hashes, min(K, self.n_words[item])))
+        return float(self.weights[item][own].sum() / self.weights[item].sum())
+
     def search(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
         """(row, item, similarity, first word) of the best place of each item found in each row."""
         best: dict[tuple[int, int], tuple[float, int]] = {}
@@ -135,14 +140,12 @@ class Index:
                 if (row, item, start) in tried:
                     continue
                 tried.add((row, item, start))
-                n = self.n_words[item]
-                slack = n // 4
-                lo, hi = max(int(first[row]), start - slack), min(int(first[row + 1]), start + n + slack)
-                own = np.isin(self.shingles[item], words.shingles(hashes[lo:hi], min(K, n)))
-                value = float(self.weights[item][own].sum() / self.weights[item].sum())
-                place = (value, -max(0, start - int(first[row])))
-                best[row, item] = max(best.get((row, item), (0.0, 0)), place)
-        for (row, item), (value, place) in sorted(best.items()):
+                slack = (n := self.n_words[item]) // 4
+                begin, end = int(first[row]), int(first[row + 1])
+                value = self.share(item, hashes[max(begin, start - slack) : min(end, start + n + slack)])
+                exact = self.share(item, hashes[max(begin, start) : min(end, start + n)])
+                best[row, item] = max(best.get((row, item), (0.0, 0.0, 0)), (value, exact, -max(0, start - begin)))
+        for (row, item), (value, _, place) in sorted(best.items()):
             yield row, item, value, -place
 
 
