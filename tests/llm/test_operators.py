@@ -188,6 +188,42 @@ def test_items_are_found_whole_and_slightly_changed(spark, docs, nothing):
     assert {(r[0], r[1]) for r in decontaminate.contaminated(texts, items, group=1).select("doc_id", "item_id").collect()} == {(1, 7), (2, 7), (5, 10), (None, 7)}
 
 
+def _scattered(rng, w, n):
+    """A text with n words substituted, inserted or deleted at places of their own."""
+    w = list(w)
+    for at in sorted(rng.sample(range(len(w)), n), reverse=True):
+        kind = rng.randrange(3)
+        w[at : at + 1] = [[f"s{rng.random()}"], [f"i{rng.random()}", w[at]], []][kind]
+    return w
+
+
+def test_items_with_scattered_changes_are_found():
+    """Against every stretch of every document, with shingles that many items share."""
+    rng = random.Random(10)
+    common = [f"c{i}" for i in range(12)]
+    texts = [[f"v{rng.randrange(4000)}" for _ in range(rng.randrange(20, 200))] for _ in range(60)]
+    texts = [t[:10] + common + t[10:] if i % 3 == 0 else t for i, t in enumerate(texts)]
+    held = []
+    for t in texts:
+        for n in range(2, 7):
+            held.append([f"b{rng.random()}" for _ in range(rng.randrange(60))] + _scattered(rng, t, n) + [f"a{rng.random()}" for _ in range(30)])
+    index = decontaminate.Index([(i, " ".join(t)) for i, t in enumerate(texts)])
+    got = {(row, item): value for row, item, value, _ in decontaminate._found_in(pa.array([" ".join(t) for t in held]), index)}
+    sets = [brute.shingles(" ".join(t), 5) for t in texts]
+    weight = collections.Counter(x for s in sets for x in s)
+    want = {}
+    for d, t in enumerate(held):
+        own = [tuple(t[i : i + 5]) for i in range(len(t) - 4)]
+        for i, s in enumerate(sets):
+            if not s & set(own):
+                continue
+            stretch = len(texts[i]) + 2 * (len(texts[i]) // 4) - 4
+            most = max(sum(1 / weight[x] for x in s & set(own[a : a + stretch])) for a in range(max(1, len(own) - stretch + 1)))
+            if round(most / sum(1 / weight[x] for x in s), 12) >= 0.8:
+                want[d, i] = most / sum(1 / weight[x] for x in s)
+    assert len(want) > 100 and set(got) == set(want)
+    assert all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+
 def test_blocks_find_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(2)
     prints = rng.integers(0, 2**64, 300, dtype=np.uint64)

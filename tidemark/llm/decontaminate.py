@@ -1,16 +1,19 @@
-"""Find benchmark items inside documents: SimHash windows, multi-index Hamming search, exact check.
+"""Find benchmark items inside documents: needed shingles and SimHash windows, then an exact check.
 
-Every window of a document, at every word, gets a 64-bit SimHash of its word shingles: bit i is set if
-more than half of the window's shingle hashes have it set.  Window lengths are those of the items, on a
-grid of powers of two times 5: an item is represented by windows at its head and tail as long as the grid allows,
-and by windows of half that length laid end to end, so an item with a changed word still has a window
-that is unchanged.
+An item is in a document if a stretch of the document half as long again as the item has at least the
+threshold's share of the item's shingle weight, where a shingle weighs 1 / (number of items that have it).
+
+Candidates come from windows of two kinds.  The shortest are single shingles: an item's rarest ones that
+together weigh more than it may lack are its needed shingles.  Any stretch that has the threshold's share
+has one of them, wherever and however often the item was changed, so no item is missed.  Longer windows
+get a 64-bit SimHash of their word shingles at every word: bit i is set if more than half of the window's
+shingle hashes have it set.  Their lengths are those of the items, on a grid of powers of two times 5: an
+item has windows at its head and tail as long as the grid allows, and windows of half that length laid
+end to end.
 
 Fingerprints within ``RADIUS`` bits differ in at most RADIUS of RADIUS + 1 blocks of bits, so one block
 at least is equal: windows are looked up by each block in turn, which finds all fingerprints within the
-radius.  Each find is aligned with its item and checked on the words themselves: the similarity is the
-share of the item's shingle weight that lies in the aligned stretch of the document, where a shingle
-weighs 1 / (number of items that have it).
+radius.  Each candidate is checked on the shingles themselves, over all stretches of the document.
 
 Documents stay where they are read; only the items' index moves.  Items are taken in groups of about
 ``GROUP`` so that an index is never larger than that, however many items there are.
@@ -95,10 +98,12 @@ class Length:
 class Index:
     """Fingerprints, shingles and weights of a group of items (id, text)."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
         self.ids: list[int] = []
         self.n_words: list[int] = []
         self.shingles: list[np.ndarray] = []
+        self.offsets: list[np.ndarray] = []
+        self.threshold = threshold
         made: dict[int, list[tuple[int, int, int]]] = {}
         for row, hashes in words.texts(pa.array([text or "" for _, text in items], pa.string())):
             n = len(hashes)
@@ -107,10 +112,14 @@ class Index:
             item = len(self.ids)
             self.ids.append(items[row][0])
             self.n_words.append(n)
-            self.shingles.append(words.shingles(hashes, K))
+            own, offset = np.unique(words.combine(hashes, min(K, n)), return_index=True)
+            self.shingles.append(own)
+            self.offsets.append(offset)
             whole = max([g for g in GRID if g <= n], default=n)
             half = max([g for g in GRID if g <= n // 2], default=whole)
             for length, starts in {whole: {0, n - whole}, half: {*range(0, n - half + 1, half), n - half}}.items():
+                if length <= K:
+                    continue  # one shingle: looked up as such
                 prints = simhashes(hashes, length)
                 made.setdefault(length, []).extend((int(prints[s]), item, s) for s in sorted(starts))
         self.lengths = {
@@ -118,43 +127,97 @@ class Index:
             for length, rows in made.items()
         }
         every, count = np.unique(np.concatenate(self.shingles), return_counts=True) if self.shingles else (np.zeros(0, np.uint64), np.zeros(0))
+        self.every = every
         self.weights = [1.0 / count[np.searchsorted(every, s)] for s in self.shingles]
-
-    def share(self, item: int, hashes: np.ndarray) -> float:
-        """How much of the item's shingle weight a stretch of words has."""
-        own = np.isin(self.shingles[item], words.shingles(hashes, min(K, self.n_words[item])))
-        return float(self.weights[item][own].sum() / self.weights[item].sum())
+        self.numbers = [np.searchsorted(every, s) for s in self.shingles]
+        self.widths = sorted({min(K, n) for n in self.n_words})
+        self.filter = np.zeros(1 << 20, dtype=bool)
+        self.filter[every & np.uint64(len(self.filter) - 1)] = True
+        needed = [number[self._needed(weight)] for number, weight in zip(self.numbers, self.weights)]
+        pairs = np.repeat(np.arange(len(needed)), [len(x) for x in needed])
+        values = np.concatenate(needed) if needed else np.zeros(0, np.int64)
+        order = np.argsort(values, kind="stable")
+        self.needed_by = pairs[order]
+        self.needed_at = np.searchsorted(values[order], np.arange(len(every) + 1))
+
+    def _needed(self, weight: np.ndarray) -> np.ndarray:
+        """The rarest shingles of an item that together weigh more than a find may lack."""
+        order = np.argsort(-weight, kind="stable")
+        return order[: int(np.searchsorted(np.cumsum(weight[order]), (1 - self.threshold + 1e-9) * weight.sum(), side="right")) + 1]
+
+    def _hits(self, hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number of the shingle) of all items' shingles, in order of place."""
+        places, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in self.widths:
+            own = words.combine(hashes, k)
+            at = np.flatnonzero(self.filter[own & np.uint64(len(self.filter) - 1)])
+            number = np.minimum(np.searchsorted(self.every, own[at]), len(self.every) - 1)
+            good = (self.every[number] == own[at]) & (at + k <= ends[at])
+            places.append(at[good])
+            numbers.append(number[good])
+        place, number = np.concatenate(places), np.concatenate(numbers)
+        order = np.argsort(place, kind="stable")
+        return place[order], number[order]
+
+    def _best(self, item: int, place: np.ndarray, number: np.ndarray) -> tuple[float, int] | None:
+        """(similarity, where the item would begin) of the best stretch, from the hits of one row; None below the threshold."""
+        own, weight, n = self.numbers[item], self.weights[item], self.n_words[item]
+        at = np.minimum(np.searchsorted(own, number), len(own) - 1)
+        mine = own[at] == number
+        place, at = place[mine], at[mine]
+        whole = weight.sum()
+
+        def share(lo: int, hi: int) -> float:
+            # rounded, so that a share of exactly the threshold does not hang on the order of a sum
+            return round(float(weight[np.unique(at[lo:hi])].sum() / whole), 12)
+
+        if share(0, len(at)) < self.threshold:
+            return None
+        reach = n + 2 * (n // 4) - min(K, n)
+        best, lo, total, held = (0.0, 0, 0), 0, 0.0, np.zeros(len(own), np.int64)
+        heaviest = 0.0
+        for hi in range(len(at)):
+            total += weight[at[hi]] if not held[at[hi]] else 0.0
+            held[at[hi]] += 1
+            while place[hi] - place[lo] > reach:
+                held[at[lo]] -= 1
+                total -= weight[at[lo]] if not held[at[lo]] else 0.0
+                lo += 1
+            if total > heaviest + 1e-9 * whole:
+                heaviest, best = total, (0.0, lo, hi + 1)
+        value = share(*best[1:])
+        if value < self.threshold:
+            return None
+        starts, often = np.unique((place - self.offsets[item][at])[best[1] : best[2]], return_counts=True)
+        return value, int(starts[often.argmax()])
 
     def search(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
-        """(row, item, similarity, first word) of the best place of each item found in each row."""
-        best: dict[tuple[int, int], tuple[float, int]] = {}
-        tried: set[tuple[int, int, int]] = set()
+        """(row, item, similarity, first word) of the best place of each item that reaches the threshold in each row."""
+        if not self.ids:
+            return
         ends = np.repeat(first[1:], np.diff(first))
+        place, number = self._hits(hashes, ends)
+        n = self.needed_at[number + 1] - self.needed_at[number]
+        by = self.needed_by[np.repeat(self.needed_at[number], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        rows, items = [np.searchsorted(first, np.repeat(place, n), side="right") - 1], [by]
         for length, index in self.lengths.items():
-            prints = simhashes(hashes, length)
-            window, found = index.near(prints)
+            window, found = index.near(simhashes(hashes, length))
             inside = window + length <= ends[window] if len(window) else np.zeros(0, bool)
-            for w, f in zip(window[inside].tolist(), found[inside].tolist()):
-                item, row = int(index.item[f]), int(np.searchsorted(first, w, side="right")) - 1
-                start = w - int(index.offset[f])
-                if (row, item, start) in tried:
-                    continue
-                tried.add((row, item, start))
-                slack = (n := self.n_words[item]) // 4
-                begin, end = int(first[row]), int(first[row + 1])
-                value = self.share(item, hashes[max(begin, start - slack) : min(end, start + n + slack)])
-                exact = self.share(item, hashes[max(begin, start) : min(end, start + n)])
-                best[row, item] = max(best.get((row, item), (0.0, 0.0, 0)), (value, exact, -max(0, start - begin)))
-        for (row, item), (value, _, place) in sorted(best.items()):
-            yield row, item, value, -place
-
-
-def _groups(items: DataFrame, id_col: str, text_col: str, group: int) -> Iterator[Index]:
+            rows.append(np.searchsorted(first, window[inside], side="right") - 1)
+            items.append(index.item[found[inside]])
+        pairs = np.unique(np.concatenate(rows) * len(self.ids) + np.concatenate(items))
+        for row, item in zip((pairs // len(self.ids)).tolist(), (pairs % len(self.ids)).tolist()):
+            lo, hi = np.searchsorted(place, first[row : row + 2])
+            if best := self._best(item, place[lo:hi], number[lo:hi]):
+                yield row, item, best[0], max(0, best[1] - int(first[row]))
+
+
+def _groups(items: DataFrame, id_col: str, text_col: str, group: int, threshold: float) -> Iterator[Index]:
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
     n = max(1, math.ceil(rows.count() / group))
     for i in range(n):
         part = rows.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == i).orderBy("id", "text")
-        yield Index([(r["id"], r["text"]) for r in part.toLocalIterator()])
+        yield Index([(r["id"], r["text"]) for r in part.toLocalIterator()], threshold)
 
 
 def _found_in(column: pa.Array, index: Index) -> Iterator[tuple[int, int, float, int]]:
@@ -209,7 +272,7 @@ def contaminated(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = "id long, item_id long, similarity double, first_word long, item_words long"
     found = None
-    for index in _groups(items, item_id_col, item_text_col, group):
+    for index in _groups(items, item_id_col, item_text_col, group, threshold):
         part = rows.mapInArrow(_find(index, threshold), schema)
         found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed("id", id_col)
@@ -236,6 +299,6 @@ def drop_contaminated(
     group: int = GROUP,
 ) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all columns; null and empty texts stay."""
-    for index in _groups(items, item_id_col, item_text_col, group):
+    for index in _groups(items, item_id_col, item_text_col, group, threshold):
         docs = docs.mapInArrow(_keep_clean(index, docs.columns.index(text_col), threshold), docs.schema)
     return docs
