@@ -432,6 +432,34 @@ def test_repeated_passages(spark, docs, nothing):
     assert suffixes.repeated_passages(nothing).count() == 0
 
 
+def _passages(spark, rows):
+    """Rows of each id, and their words, from the operator."""
+    got = suffixes.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    have = collections.defaultdict(set)
+    for r in got:
+        have[r["doc_id"]].update(range(r["first_word"], r["first_word"] + r["n_words"]))
+    return got, dict(have)
+
+
+def test_large_groups_keep_one_copy_and_common_tails_lose_none(spark):
+    rng = random.Random(8)
+
+    def fresh(n):
+        return [f"f{rng.randrange(10**9)}" for _ in range(n)]
+
+    shared, tail = fresh(60), fresh(40)
+    rows = [(i, " ".join(fresh(45) + shared + fresh(45))) for i in rng.sample(range(10**6), 1000)]
+    for i in range(300):  # each pair shares 20 words of its own before a tail that all pairs have
+        front = fresh(20)
+        rows += [(2 * 10**6 + 2 * i + j, " ".join(fresh(30) + front + tail + fresh(30))) for j in range(2)]
+    got, have = _passages(spark, rows)
+    assert have == dict(brute.repeated_words(rows))
+    first, second = sorted(i for i, _ in rows)[:2]
+    assert {(r["doc_id"], r["other_id"]) for r in got if r["kept"] and r["doc_id"] < 10**6} == {(first, second)}
+    assert {r["other_id"] for r in got if not r["kept"] and r["doc_id"] < 10**6} == {first}
+    assert all((r["kept"], r["other_id"]) == (r["doc_id"] % 2 == 0, r["doc_id"] ^ 1) for r in got if r["doc_id"] >= 10**6)
+
+
 def test_anchors_depend_on_the_words_of_their_window():
     rng = np.random.default_rng(8)
     shared = rng.integers(0, 2**64, suffixes.LEAST, dtype=np.uint64)

@@ -2,24 +2,26 @@
 
 Of every window of ``WINDOW`` consecutive runs of ``RUN`` words the run with the smallest hash is an
 anchor.  Which one it is depends on the words of the window alone, so two copies of a passage of
-RUN + WINDOW - 1 = 50 words have an anchor at the same place.  Only suffixes that begin at anchors are
-kept - about one word in twenty - and of those only the ones whose first run occurs more than once.
-
-These suffixes are sorted over all tasks by their next ``REACH`` words, then by the words before them,
-nearest first.  A common passage is many rows of that order, not one group.  Each suffix is compared
-with the ``NEIGHBOURS`` before it: the match is extended to the right and to the left, and counts if it
-has ``LEAST`` words.  The ends of the sorted ranges are compared in a table of two rows a range.
-Matches of neighbouring anchors overlap and are merged into passages of any length.
+RUN + WINDOW - 1 = 50 words have an anchor at the same place.  Each 50-word window of a text belongs to
+one anchor, about twenty windows to each.  Only anchors whose run occurs more than once go on.
+
+Anchors with the same words over all their windows are one context, and a context is all that is kept of
+them: its smallest place, its largest place in the same document, and its largest id.  A run with one
+context needs no more.  Where a run has several, the windows of one anchor of each context are grouped by
+the hash of their 50 words, whichever side of the anchor they have in common.  All of these are
+aggregates with a map-side part, so a common passage is not one group in a task, and no pairs are made.
+
+What is known of a window then goes back to all anchors of its context, and windows that overlap or touch
+are merged into passages of any length.
 """
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -29,156 +31,132 @@ from tidemark.llm.scratch import Scratch
 RUN = 12
 WINDOW = 39
 LEAST = RUN + WINDOW - 1
-REACH = 50
-NEIGHBOURS = 8
 _ROWS = 4096
-_SUFFIX = "run long, id long, body long, place int, right binary, left binary"
+_ANCHOR = "run long, context long, id long, body long, place int, lo int, hi int"
+_SAME = "head struct<id: long, body: long, place: int>, tail struct<id: long, body: long, place: int>, top long"
+
+
+def chosen(runs: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The anchor's place of each window of a text, from its run hashes."""
+    if len(runs) < window:
+        return np.zeros(0, np.int64)
+    view = np.lib.stride_tricks.sliding_window_view(runs, window)
+    return np.concatenate([at + i + view[at : at + _ROWS].argmin(axis=1) for at in range(0, len(view), _ROWS) for i in [np.arange(min(_ROWS, len(view) - at))]])
 
 
 def anchors(hashes: np.ndarray, run: int = RUN, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Places and run hashes of a text's anchors; a text of fewer than run + window - 1 words has none."""
     runs = words.combine(hashes, run)
-    if len(runs) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    view = np.lib.stride_tricks.sliding_window_view(runs, window)
-    chosen = [at + i + view[at : at + _ROWS].argmin(axis=1) for at in range(0, len(view), _ROWS) for i in [np.arange(min(_ROWS, len(view) - at))]]
-    places = np.unique(np.concatenate(chosen))
-    # one word over and over: the ends of such a stretch stand for all of it
-    value = runs[places]
-    inner = np.zeros(len(places), dtype=bool)
-    inner[1:-1] = (value[1:-1] == value[:-2]) & (value[1:-1] == value[2:]) & (places[2:] - places[:-2] == 2)
-    return places[~inner], value[~inner]
+    places = np.unique(chosen(runs, window))
+    return places, runs[places]
+
+
+def _contexts(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Run, context, place, and first and last window (counted from the place) of each anchor of a text."""
+    runs = words.combine(hashes, RUN)
+    places, lo = np.unique(chosen(runs), return_index=True)
+    windows = words.combine(hashes, LEAST)
+    hi = np.append(lo[1:], len(windows))[: len(lo)] - 1
+    shape = ((hi - lo) * 64 + places - lo).astype(np.uint64)
+    return runs[places], words.mix(windows[lo] + words.mix(windows[hi] + words.mix(shape))), places, lo - places, hi - places
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, places, runs = [], [], []
+        rows, found = [np.zeros(0, np.int64)], [[np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 3]
         for row, hashes in words.texts(batch.column(2)):
-            at, value = anchors(hashes)
-            rows.append(np.full(len(at), row))
-            places.append(at)
-            runs.append(value)
-        take = pa.array(np.concatenate(rows)) if rows else pa.array([], pa.int64())
-        columns = [
-            pa.array(np.concatenate(runs).view(np.int64) if runs else [], pa.int64()),
-            batch.column(0).take(take),
-            batch.column(1).take(take),
-            pa.array(np.concatenate(places).astype(np.int32) if places else [], pa.int32()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["run", "id", "body", "place"])
-
-
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes at the given (place, run) lists of each text."""
+            if len(hashes) >= LEAST:
+                found.append(_contexts(hashes))
+                rows.append(np.full(len(found[-1][0]), row))
+        take = pa.array(np.concatenate(rows))
+        run, context, place, lo, hi = (np.concatenate(x) for x in zip(*found))
+        columns = [pa.array(run.view(np.int64)), pa.array(context.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take)]
+        columns += [pa.array(x.astype(np.int32)) for x in (place, lo, hi)]
+        yield pa.RecordBatch.from_arrays(columns, ["run", "context", "id", "body", "place", "lo", "hi"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each window of the listed anchors: hash, place in its context, and what is known of the context."""
     for batch in batches:
-        for row, hashes in words.texts(batch.column(2)):
-            short = (hashes >> np.uint64(32)).astype(">u4")
-            places, runs = (batch.column(i)[row].values.to_numpy() for i in (3, 4))
-            n = len(places)
-            columns = [
-                pa.array(runs, pa.int64()),
-                pa.array([batch.column(0)[row].as_py()] * n, pa.int64()),
-                pa.array([batch.column(1)[row].as_py()] * n, pa.int64()),
-                pa.array(places, pa.int32()),
-                pa.array([short[p : p + REACH].tobytes() for p in places], pa.binary()),
-                pa.array([short[max(0, p - REACH) : p][::-1].tobytes() for p in places], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["run", "id", "body", "place", "right", "left"])
-
-
-def common(one: bytes, two: bytes) -> int:
-    """Number of 4-byte words that two strings have in common at their beginning."""
-    if one == two:
-        return len(one) // 4
-    n = min(len(one), len(two))
-    differ = np.flatnonzero(np.frombuffer(one[:n], np.uint32) != np.frombuffer(two[:n], np.uint32))
-    return int(differ[0]) if len(differ) else n // 4
-
-
-def _match(one: tuple, two: tuple) -> tuple[int, int] | None:
-    """(left, right) extension of two suffixes of one run, if together long enough."""
-    right = common(one[4], two[4])
-    if right < LEAST - REACH or (left := common(one[5], two[5])) + right < LEAST:
-        return None
-    if one[1:3] == two[1:3] and abs(one[3] - two[3]) < left + right:
-        return None  # a stretch that overlaps itself
-    return left, right
-
-
-_FOUND = "kind int, id long, body long, first int, last int, other long, edge_right binary, edge_left binary, run long, place int"
-
-
-def _compare(edges_only: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before: deque = deque(maxlen=NEIGHBOURS)
-        found: list[tuple] = []
-        first = last = None
-
-        def table() -> pa.RecordBatch:
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32()]
-            columns = list(zip(*found)) or [()] * len(kinds)
-            names = [c.split()[0] for c in _FOUND.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-        for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for row in zip(*columns):
-                for other in reversed(before):
-                    if other[0] != row[0]:
-                        break
-                    if extent := _match(row, other):
-                        left, right = extent
-                        found.append((0, row[1], row[2], row[3] - left, row[3] + right, other[1], None, None, None, None))
-                        found.append((0, other[1], other[2], other[3] - left, other[3] + right, row[1], None, None, None, None))
-                before.append(row)
-                first, last = first or row, row
-            if len(found) > 20_000:
-                yield table()
-                found.clear()
-        if first and not edges_only:
-            for row in (first, last):
-                found.append((1, row[1], row[2], 0, 0, 0, row[4], row[5], row[0], row[3]))
-        yield table()
-
-    return run
+        lists = batch.column(1)
+        ends = lists.offsets.to_numpy()
+        parts, lo, hi, place = lists.values, *(lists.values.field(c).to_numpy() for c in ("lo", "hi", "place"))
+        for row, hashes in words.texts(batch.column(0)):
+            mine = np.arange(ends[row], ends[row + 1])
+            n = hi[mine] - lo[mine] + 1
+            each = np.repeat(mine, n)
+            at = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+            hashed = words.combine(hashes, LEAST)[place[each] + at].view(np.int64)
+            taken = pa.array(each)
+            columns = [pa.array(hashed), pa.array(at.astype(np.int32)), *(parts.field(c).take(taken) for c in ("context", "head", "tail", "top"))]
+            yield pa.RecordBatch.from_arrays(columns, ["window", "at", "context", "head", "tail", "top"])
+
+
+def _repeats(body: Column | None = None, place: Column | None = None) -> Column:
+    """Whether the smallest id has the words at two places, or at another than the given one, that do not overlap."""
+    body, place = (F.col("head.body") if body is None else body), (F.col("head.place") if place is None else place)
+    elsewhere = (F.col("head.body") != body) | (F.bitwise_not("tail.body") != body)
+    return elsewhere | (place - F.col("head.place") >= LEAST) | (-F.col("tail.place") - place >= LEAST)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each passage that also occurs elsewhere: id, first_word, n_words, other_id, kept.
 
-    Passages have 50 words or more and are as long as their matches reach; words count from 0.  other_id
-    is the smallest id among the documents met with it; kept is true where no smaller id was met, so
-    cutting out what is not kept leaves one copy.  A passage may repeat within a document if the two
-    places do not overlap.  Shorter, empty and null texts have none; rows without an id take no part;
-    rows that repeat id and text count as one; an empty table gives an empty result; columns other than
-    the two are not read.
+    Passages have 50 words or more and are as long as the repeated 50-word windows that overlap or touch;
+    words count from 0.  kept is true where no smaller id has the window; windows that are kept and windows
+    that are not make passages of their own, which may overlap.  Cutting the words of those that are not
+    kept, save the words that a kept one of the document has too, leaves one document with each window.
+    other_id is the smallest id of the other documents with one of the passage's windows, or the document's
+    own id where that is smaller and a window is in it twice without overlap.  Shorter, empty and null
+    texts have none; rows without an id take no part; rows that repeat id and text count as one; an empty
+    table gives an empty result; columns other than the two are not read.
     """
     scratch = Scratch(docs.sparkSession, "suffixes")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text")).filter(
         "id IS NOT NULL AND text IS NOT NULL"
     )
-    found = scratch.keep(rows.mapInArrow(_anchors, "run long, id long, body long, place int"), "anchors")
-    often = found.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("run")
-    lists = found.join(often, "run", "left_semi").groupBy("id", "body").agg(F.sort_array(F.collect_set(F.struct("place", "run"))).alias("at"))
-    suffixes = rows.join(lists, ["id", "body"]).select("id", "body", "text", "at.place", "at.run").mapInArrow(_suffixes, _SUFFIX)
-    order = ["run", "right", "left", "id", "place"]
-    kept = scratch.keep(suffixes, "suffix-rows")
-    scratch.drop(found)
-    spread = kept.repartitionByRange(*order).sortWithinPartitions(*order)
-    compared = scratch.keep(spread.mapInArrow(_compare(False), _FOUND), "compared")
-    edges = compared.filter("kind = 1").selectExpr("run", "id", "body", "place", "edge_right AS right", "edge_left AS left")
-    over_edges = edges.distinct().repartition(1).sortWithinPartitions(*order).mapInArrow(_compare(True), _FOUND)
-    matches = compared.filter("kind = 0").unionByName(over_edges).select("id", "body", "first", "last", "other")
-    scratch.drop(kept)
-    by_place = Window.partitionBy("id", "body").orderBy("first", "last")
+    every = scratch.keep(rows.mapInArrow(_anchors, _ANCHOR), "anchors")
+    often = every.groupBy("run").agg(F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("mixed")).filter("n > 1")
+    found = scratch.keep(every.join(often.select("run", "mixed"), "run").drop("run"), "found")
+    scratch.drop(every)
+    # the tail has the largest body and place of the smallest id
+    head = F.min(F.struct("id", "body", "place")).alias("head")
+    tail = F.min(F.struct("id", F.bitwise_not("body").alias("body"), (-F.col("place")).alias("place"))).alias("tail")
+    shape = [F.min(c).alias(c) for c in ("lo", "hi", "mixed")]
+    contexts = scratch.keep(found.groupBy("context").agg(head, tail, F.max("id").alias("top"), *shape), "contexts")
+    known = F.struct("context", "head", "tail", "top", "head.place", "lo", "hi")
+    lists = contexts.filter("mixed").groupBy("head.id", "head.body").agg(F.collect_list(known).alias("known"))
+    windows = scratch.keep(
+        rows.join(lists, ["id", "body"]).select("text", "known").mapInArrow(_windows, f"window long, at int, context long, {_SAME}"), "windows"
+    )
+    same = windows.groupBy("window").agg(F.min("head").alias("head"), F.min("tail").alias("tail"), F.max("top").alias("top"))
+    repeated = (F.col("top") != F.col("head.id")) | _repeats()
+    what = ["context", "head", "tail", "top"]
+    parts = windows.select("window", "at", "context").join(same.filter(repeated), "window")
+    island = F.col("at") - F.row_number().over(Window.partitionBy(*what).orderBy("at"))
+    parts = parts.dropDuplicates(["context", "at"]).withColumn("island", island).groupBy(*what, "island").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    whole = contexts.filter("NOT mixed").filter(repeated)
+    spans = scratch.keep(parts.select(*what, "lo", "hi").unionByName(whole.select(*what, "lo", "hi")), "spans")
+    scratch.drop(windows, contexts)
+
+    def match(id_: str, body: str, place: str, other: Column, kept: bool) -> Column:
+        ends = (F.col(place) + F.col("lo")).alias("first"), (F.col(place) + F.col("hi") + LEAST).alias("last")
+        return F.struct(F.col(id_).alias("id"), F.col(body).alias("body"), *ends, other.alias("other"), F.lit(kept).alias("kept"))
+
+    joined = found.select("context", "id", "body", "place").join(spans, "context")
+    own = F.when(_repeats(F.col("body"), F.col("place")), F.col("id")).when(F.col("top") != F.col("id"), F.col("top"))
+    later = F.array(match("id", "body", "place", F.col("head.id"), False), match("head.id", "head.body", "head.place", F.col("id"), True))
+    both = F.when(F.col("id") != F.col("head.id"), later).otherwise(F.array(match("id", "body", "place", own, True)))
+    matches = joined.select(F.explode(both).alias("m")).select("m.*").filter("other IS NOT NULL")
+    by_place = Window.partitionBy("id", "body", "kept").orderBy("first", "last")
     reached = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
-    spans = matches.groupBy("id", "body", "first", "last").agg(F.min("other").alias("other"))
-    numbered = spans.withColumn("new", (F.coalesce(reached, F.lit(-1)) < F.col("first")).cast("int")).withColumn("passage", F.sum("new").over(by_place))
-    merged = numbered.groupBy("id", "body", "passage").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("other").alias("other"))
-    return merged.select(
+    merged = matches.groupBy("id", "body", "kept", "first", "last").agg(F.min("other").alias("other"))
+    numbered = merged.withColumn("new", (F.coalesce(reached, F.lit(-1)) < F.col("first")).cast("int")).withColumn("passage", F.sum("new").over(by_place))
+    passages = numbered.groupBy("id", "body", "kept", "passage").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("other").alias("other"))
+    return passages.select(
         F.col("id").alias(id_col),
         F.col("first").cast("long").alias("first_word"),
         (F.col("last") - F.col("first")).cast("long").alias("n_words"),
         F.col("other").alias("other_id"),
-        (F.col("id") <= F.col("other")).alias("kept"),
+        "kept",
     )
