@@ -460,6 +460,21 @@ def test_large_groups_keep_one_copy_and_common_tails_lose_none(spark):
     assert all((r["kept"], r["other_id"]) == (r["doc_id"] % 2 == 0, r["doc_id"] ^ 1) for r in got if r["doc_id"] >= 10**6)
 
 
+def test_lines_that_repeat_within_a_text(spark):
+    """All words of a repeated line count, in one document and in two, whatever the line's length."""
+    rows, want = [], {}
+    for k, n in enumerate((1, 2, 6, 10, 12, 15, 60)):
+        line = " ".join(f"l{k}x{j}" for j in range(n)) + "\n"
+        for i in (10 * k, 10 * k + 1):
+            rows.append((i, line * 200))
+        rows.append((10 * k + 5, " ".join(f"alone{k}" if j == 0 else f"m{k}x{j}" for j in range(n)) + " end"))
+        rows.append((10 * k + 6, line.replace("l", "q") * 200))
+        want |= dict.fromkeys((10 * k, 10 * k + 1, 10 * k + 6), set(range(200 * n)))
+    got, have = _passages(spark, rows)
+    assert have == want
+    assert all(r["kept"] == (r["doc_id"] % 10 != 1) for r in got)
+
+
 def test_anchors_depend_on_the_words_of_their_window():
     rng = np.random.default_rng(8)
     shared = rng.integers(0, 2**64, suffixes.LEAST, dtype=np.uint64)
