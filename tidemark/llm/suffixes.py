@@ -117,8 +117,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     every = scratch.keep(rows.mapInArrow(_anchors, _ANCHOR), "anchors")
     often = every.groupBy("run").agg(F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("mixed")).filter("n > 1")
-    found = scratch.keep(every.join(often.select("run", "mixed"), "run").drop("run"), "found")
-    scratch.drop(every)
+    # aggregates are kept before they are joined: Spark splits a common key only if the join reads two shuffles of its own
+    runs = scratch.keep(often.select("run", "mixed"), "runs")
+    found = scratch.keep(every.join(runs, "run").drop("run"), "found")
+    scratch.drop(every, runs)
     # the tail has the largest body and place of the smallest id
     head = F.min(F.struct("id", "body", "place")).alias("head")
     tail = F.min(F.struct("id", F.bitwise_not("body").alias("body"), (-F.col("place")).alias("place"))).alias("tail")
@@ -129,15 +131,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     windows = scratch.keep(
         rows.join(lists, ["id", "body"]).select("text", "known").mapInArrow(_windows, f"window long, at int, context long, {_SAME}"), "windows"
     )
-    same = windows.groupBy("window").agg(F.min("head").alias("head"), F.min("tail").alias("tail"), F.max("top").alias("top"))
     repeated = (F.col("top") != F.col("head.id")) | _repeats()
+    same = windows.groupBy("window").agg(F.min("head").alias("head"), F.min("tail").alias("tail"), F.max("top").alias("top"))
+    same = scratch.keep(same.filter(repeated), "same")
     what = ["context", "head", "tail", "top"]
-    parts = windows.select("window", "at", "context").join(same.filter(repeated), "window")
+    parts = windows.select("window", "at", "context").join(same, "window")
     island = F.col("at") - F.row_number().over(Window.partitionBy(*what).orderBy("at"))
     parts = parts.dropDuplicates(["context", "at"]).withColumn("island", island).groupBy(*what, "island").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
     whole = contexts.filter("NOT mixed").filter(repeated)
     spans = scratch.keep(parts.select(*what, "lo", "hi").unionByName(whole.select(*what, "lo", "hi")), "spans")
-    scratch.drop(windows, contexts)
+    scratch.drop(windows, contexts, same)
 
     def match(id_: str, body: str, place: str, other: Column, kept: bool) -> Column:
         ends = (F.col(place) + F.col("lo")).alias("first"), (F.col(place) + F.col("hi") + LEAST).alias("last")
