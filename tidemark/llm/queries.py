@@ -9,7 +9,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, kneser_ney, licenses, quality, sampling, setsketch, suffixes, toxicity, warc
+from tidemark.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    kneser_ney,
+    licenses,
+    quality,
+    resampling,
+    sampling,
+    setsketch,
+    simhash,
+    spelling,
+    sql,
+    suffixes,
+    toxicity,
+    warc,
+)
 from tidemark.session import checkpoint_root
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +137,73 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+_LETTERS = r"'[A-Za-z\x{C0}-\x{FF}]+'"
+_ASCII_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+@query(
+    "op11_importance_resampling",
+    f"""
+    WITH {sql.CRC_TABLE},
+    d AS (SELECT doc_id, regexp_extract_all({sql.lower("text")}, {_ASCII_WORDS}) AS w FROM documents),
+    b AS (SELECT unnest(regexp_extract_all({sql.lower("text")}, {_ASCII_WORDS})) AS w FROM benchmark),
+    bucket AS (SELECT w, {sql.crc32("w")} % 10000 AS k
+               FROM (SELECT w FROM b UNION SELECT unnest(w) FROM d) x, crc_table),
+    one AS (SELECT doc_id, k, count(*) AS c FROM (SELECT doc_id, unnest(w) AS w FROM d) x JOIN bucket USING (w) GROUP BY ALL),
+    src AS (SELECT k, sum(c) AS s FROM one GROUP BY k),
+    tgt AS (SELECT k, count(*) AS t FROM b JOIN bucket USING (w) GROUP BY k),
+    tot AS (SELECT (SELECT coalesce(sum(s), 0) FROM src) + 10000 AS ss, (SELECT coalesce(sum(t), 0) FROM tgt) + 10000 AS tt),
+    gain AS (SELECT k, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ss::DOUBLE / ((s + 1)::DOUBLE * tt::DOUBLE))) AS BIGINT) AS g
+             FROM src LEFT JOIN tgt USING (k), tot),
+    weighed AS (SELECT doc_id, CAST(sum(c * g) AS BIGINT) AS weight FROM one JOIN gain USING (k) GROUP BY doc_id),
+    noise AS (SELECT doc_id, len(w) AS n_features, CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM d),
+    scored AS (SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                 coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+               FROM noise LEFT JOIN weighed USING (doc_id)),
+    able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN r <= (SELECT count(*) FROM able) * 10 // 100 THEN r END AS rank
+    FROM scored LEFT JOIN able USING (doc_id)
+    """,
+)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=1)
+
+
+@query("op12_simhash_near_dedup")
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_spelling_variants",
+    f"""
+    WITH RECURSIVE {sql.CRC_TABLE},
+    one AS (SELECT doc_id, w, count(*) AS c
+            FROM (SELECT doc_id, unnest(regexp_extract_all({sql.lower("text")}, {_LETTERS})) AS w FROM documents) x
+            WHERE length(w) >= 5 GROUP BY ALL),
+    crc AS (SELECT w, c, {sql.crc32("s")} AS h FROM (SELECT w, c, doc_id || ':' || w AS s FROM one) x, crc_table),
+    voc AS (SELECT word, CAST(sum(c) AS BIGINT) AS n
+            FROM (SELECT c, CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM crc) x
+            WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+    cut AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS short
+            FROM (SELECT word, unnest(range(0, length(word))) AS i FROM voc) x),
+    near AS (SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.short = b.short AND a.i = b.i AND a.word <> b.word
+             UNION SELECT a.word, v.word FROM cut a JOIN voc v ON v.word = a.short
+             UNION SELECT v.word, a.word FROM cut a JOIN voc v ON v.word = a.short),
+    best AS (SELECT word, a.n, count(*) AS n_near, first(near ORDER BY b.n DESC, near) AS top, max(b.n) AS top_n
+             FROM near JOIN voc a USING (word) JOIN voc b ON b.word = near GROUP BY word, a.n),
+    form AS (SELECT word, top AS form, top_n AS form_n FROM best WHERE top_n >= 2 * n),
+    way AS (SELECT word, word AS here FROM voc UNION ALL SELECT way.word, form FROM way JOIN form ON form.word = way.here),
+    root AS (SELECT word, here AS root FROM way WHERE here NOT IN (SELECT word FROM form))
+    SELECT voc.word, form, root, voc.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, form_n
+    FROM voc LEFT JOIN best USING (word) LEFT JOIN form USING (word) JOIN root USING (word)
+    """,
+)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Build]:
     return {name: q.build for name, q in QUERIES.items()}
 
