@@ -25,7 +25,8 @@ def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
     while not edges.isEmpty():
         seed += 1
         both = edges.union(edges.select("b", "a"))
-        degree = both.groupBy("b").agg(F.count(F.lit(1)).alias("d"))
+        # Stored first: rows that meet it are then read as they lie, and a node of very many links can be split.
+        degree = scratch.keep(both.groupBy("b").agg(F.count(F.lit(1)).alias("d")), "degrees")
         rank = lambda c, d: F.struct((-d).alias("d"), F.xxhash64(c, F.lit(seed)).alias("h"), F.col(c).alias("p"))
         best = both.join(degree, "b").groupBy("a").agg(F.min(rank("b", F.col("d"))).alias("best"), F.count(F.lit(1)).alias("d"))
         parent = scratch.keep(best.select("a", F.least("best", rank("a", F.col("d")))["p"].alias("p")), "parents")
@@ -42,7 +43,7 @@ def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
             label.join(parent.withColumnRenamed("a", "at"), "at", "left").select("id", F.coalesce("p", "at").alias("at")),
             "labels",
         )
-        scratch.drop(edges, label, parent)
+        scratch.drop(edges, label, parent, degree)
         edges, label = redrawn, moved
     least = label.groupBy("at").agg(F.min("id").alias("component_id"))
     found = scratch.keep(label.join(least, "at").select("id", "component_id"), "components")

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
+from tidemark.session import materialize
 
 K = 5
 RADIUS = 3
@@ -98,7 +99,8 @@ class Length:
 class Index:
     """Fingerprints, shingles and weights of a group of items (id, text)."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD, shared: dict[int, int] | None = None):
+        """``shared`` is in how many items of the whole table a shingle is, where that is more than one."""
         self.ids: list[int] = []
         self.n_words: list[int] = []
         self.shingles: list[np.ndarray] = []
@@ -127,6 +129,8 @@ class Index:
             for length, rows in made.items()
         }
         every, count = np.unique(np.concatenate(self.shingles), return_counts=True) if self.shingles else (np.zeros(0, np.uint64), np.zeros(0))
+        if shared is not None:
+            count = np.array([shared.get(x, 1) for x in every.tolist()], dtype=np.int64)
         self.every = every
         self.weights = [1.0 / count[np.searchsorted(every, s)] for s in self.shingles]
         self.numbers = [np.searchsorted(every, s) for s in self.shingles]
@@ -212,12 +216,29 @@ class Index:
                 yield row, item, best[0], max(0, best[1] - int(first[row]))
 
 
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for row, hashes in words.texts(batch.column(1)):
+            if len(hashes):
+                found.append(np.unique(words.combine(hashes, min(K, len(hashes)))))
+                rows.append(np.full(len(found[-1]), row))
+        ids = batch.column(0).take(pa.array(np.concatenate(rows)))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(found).view(np.int64))], ["id", "shingle"])
+
+
 def _groups(items: DataFrame, id_col: str, text_col: str, group: int, threshold: float) -> Iterator[Index]:
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
     n = max(1, math.ceil(rows.count() / group))
+    of = lambda i: F.pmod(F.xxhash64("id"), F.lit(n)) == i
+    # Weights count items of the whole table, whatever group they are looked for in.
+    own = materialize(rows.mapInArrow(_item_shingles, "id long, shingle long"), "item-shingles")
+    often = materialize(own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "item-weights")
     for i in range(n):
-        part = rows.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == i).orderBy("id", "text")
-        yield Index([(r["id"], r["text"]) for r in part.toLocalIterator()], threshold)
+        part = rows.filter(of(i)).orderBy("id", "text")
+        some = own.filter(of(i)).select("shingle").distinct().join(often, "shingle").collect()
+        shared = {r["shingle"] % 2**64: r["n"] for r in some}
+        yield Index([(r["id"], r["text"]) for r in part.toLocalIterator()], threshold, shared)
 
 
 def _found_in(column: pa.Array, index: Index) -> Iterator[tuple[int, int, float, int]]:

@@ -88,17 +88,17 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     groups = exact_groups(docs, id_col, text_col).filter("kept")
     kept = groups.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest")).distinct()
-    tagged = docs.withColumns(
-        {
-            "_id": F.col(id_col).cast("long"),
-            "_digest": F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256),
-        }
+    # The row itself is one column, so no name of its own can clash with those added here.
+    tagged = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        docs[id_col].cast("long").alias("_id"),
+        F.sha2(F.coalesce(docs[text_col], F.lit("")).cast("binary"), 256).alias("_digest"),
     )
-    order = [F.col(c).asc_nulls_first() for c in docs.columns if isinstance(docs.schema[c].dataType, T.AtomicType)]
+    order = [F.col("_row")[c].asc_nulls_first() for c in docs.columns if isinstance(docs.schema[c].dataType, T.AtomicType)]
 
     def one_of(rows: DataFrame, *key: str) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-        return rows.withColumn("_n", place).filter("_n = 1").select(*docs.columns)
+        return rows.withColumn("_n", place).filter("_n = 1").select("_row.*")
 
     named = one_of(tagged.filter("_id IS NOT NULL").join(kept, ["_id", "_digest"], "left_semi"), "_id", "_digest")
     nameless = tagged.filter("_id IS NULL").join(kept.filter("_id IS NULL"), "_digest", "left_semi")

@@ -174,6 +174,8 @@ class Model:
         return [values[back] for values in out]
 
     def log10_probability(self, ids: np.ndarray, previous: np.ndarray) -> np.ndarray:
+        if not self.n_types:  # nothing was learned
+            return np.zeros(len(ids))
         pair_d, word_d = self.discounts
         (histories,) = self.sums(ids, "histories")
         total, once, twice, more = self.sums(previous, "total", "once", "twice", "more")
@@ -195,13 +197,13 @@ def _runs(sorted_parts: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
-    """D(0), D(1), D(2), D(3+) from how many entries have the counts 1 to 4."""
+    """D(0), D(1), D(2), D(3+) from how many entries have the counts 1 to 4, none below 0 or above its count."""
     n1, n2, n3, n4 = (float(max(x, 0)) for x in n)
     if not n1:  # nothing occurs once: the usual halves keep some mass for what is unseen
         return np.array([0.0, 0.5, 1.0, 1.5])
     y = n1 / (n1 + 2 * n2)
     d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return np.array([0.0, *(float(np.clip(v, 0.05, i - 0.05)) for i, v in enumerate(d, 1))])
+    return np.array([0.0, *(float(np.clip(v, 0, i)) for i, v in enumerate(d, 1))])
 
 
 def _count_words(parts: int):

@@ -21,7 +21,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_c
 
     The rows are those with the smallest hashed ids, so the sample is random with respect to the data
     and equal in every run.  Its ids are at most ``most`` pairs of numbers and are broadcast; texts
-    do not move.  Rows without id or label are left out; of an id with both labels, 1 counts.
+    do not move.  Rows without id or label are left out; of an id or a text with both labels, 1 counts.
     """
     chosen = (
         labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label).cast("int").alias("y"))
@@ -33,4 +33,4 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_c
         .limit(most)
     )
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return materialize(rows.join(F.broadcast(chosen), "_id").select("text", "y").dropDuplicates(["text"]), "labelled")
+    return materialize(rows.join(F.broadcast(chosen), "_id").groupBy("text").agg(F.max("y").alias("y")), "labelled")

@@ -15,8 +15,10 @@ sets' Jaccard similarity.
    others, and every text outside is tried against the hubs it shares most buckets with; what links is one component from then on.  Pairs inside a component are not needed.
    What is left are buckets whose texts are in several components.  Their texts' shingles are ordered by
    frequency, rarest first.  Two sets of sizes n and m with the similarity in reach have a shingle in
-   common at places i and j of that order with 1 + min(n - i, m - j) >= the overlap they need; texts of
-   different components are paired where that holds, which misses no link.
+   common at places i and j of that order with 1 + min(n - i, m - j) >= the overlap they need; and where the
+   members of a set are counted in ``CELLS`` cells, at least as many shingles are in one set alone as there are
+   cells in which one count is odd and the other even.  Texts of different components are paired where neither
+   forbids it, which misses no link; texts of one origin that are too far apart do not come out as pairs.
 4. A trial estimates the similarity from the registers and the known set sizes by maximum likelihood.
    Only pairs that are e**20 times less likely at the threshold than at their estimate are given up;
    all others are verified on the full sets in integers.
@@ -45,6 +47,8 @@ TOP = 65_535
 ROUNDS = 3
 HUBS_TRIED = 3
 SURE = 20.0
+CELLS = 512
+PARITY = [f"p{i}" for i in range(CELLS // 64)]
 _RNG = np.random.Generator(np.random.PCG64(7))
 _MASKS = _RNG.integers(0, 2**32, size=(REGISTERS, 1), dtype=np.uint32)
 _FACTORS = _RNG.integers(0, 2**32, size=(REGISTERS, 1), dtype=np.uint32) | np.uint32(1)
@@ -205,6 +209,16 @@ def _each_member(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["id", "c", "n", "member"])
 
 
+def _parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        odd = np.zeros((batch.num_rows, CELLS), dtype=bool)
+        for row, v in enumerate(batch.column(1)):
+            cells = np.frombuffer(v.as_buffer(), dtype=np.uint64) & np.uint64(CELLS - 1)
+            odd[row] = np.bincount(cells.astype(np.int64), minlength=CELLS) & 1
+        packed = np.packbits(odd, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in packed.T)], ["id", *PARITY])
+
+
 def _open_pairs(members: DataFrame, sets: DataFrame, label: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Pairs of texts in different components of one bucket that may be linked."""
     placed = scratch.keep(members.join(label, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c")), "placed")
@@ -214,18 +228,21 @@ def _open_pairs(members: DataFrame, sets: DataFrame, label: DataFrame, num: int,
     texts = scratch.keep(ready.groupBy("id", "c").agg(F.max(F.col("c") != F.col("main")).alias("outside")), "open-texts")
     each = texts.join(sets, "id").select("id", "c", "members").mapInArrow(_each_member, "id long, c long, n long, member long")
     each = scratch.keep(each, "open-members")
-    often = each.groupBy("member").agg(F.count(F.lit(1)).alias("often"))
+    often = scratch.keep(each.groupBy("member").agg(F.count(F.lit(1)).alias("often")), "often")
+    parity = texts.join(sets, "id").select("id", "members").mapInArrow(_parity, ", ".join(f"{c} long" for c in ["id", *PARITY]))
+    parity = scratch.keep(parity, "parity")
     rank = Window.partitionBy("id", "n").orderBy("often", "member")  # the members of one set
     first = F.col("n") - F.ceil(F.col("n") * num / F.lit(den)) + 1
-    prefix = scratch.keep(
-        each.join(often, "member").withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= first).drop("often"), "prefixes"
-    )
+    prefix = each.join(often, "member").withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= first).drop("often")
+    prefix = scratch.keep(prefix.join(parity, "id"), "prefixes")
     outside = prefix.join(texts.filter("outside").select("id"), "id", "left_semi")
-    one = outside.select("member", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("place").alias("i"))
-    two = prefix.select("member", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("place").alias("j"))
+    one = outside.select("member", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("place").alias("i"), *[F.col(p).alias(f"{p}_a") for p in PARITY])
+    two = prefix.select("member", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("place").alias("j"), *[F.col(p).alias(f"{p}_b") for p in PARITY])
     reach = F.lit(1) + F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j"))
     enough = reach * (num + den) >= (F.col("n_a") + F.col("n_b")) * num
-    pairs = one.join(two, "member").filter((F.col("c_a") != F.col("c_b")) & enough & _sizes_allow(num, den))
+    alone = sum((F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in PARITY), F.lit(0))
+    near = alone * (num + den) <= (F.col("n_a") + F.col("n_b")) * (den - num)
+    pairs = one.join(two, "member").filter((F.col("c_a") != F.col("c_b")) & enough & near & _sizes_allow(num, den))
     ordered = pairs.select(
         F.least("a", "b").alias("a"),
         F.greatest("a", "b").alias("b"),
@@ -233,7 +250,7 @@ def _open_pairs(members: DataFrame, sets: DataFrame, label: DataFrame, num: int,
         F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"),
     )
     made = scratch.keep(ordered.distinct(), "open-pairs")
-    scratch.drop(placed, texts, each, prefix)
+    scratch.drop(placed, texts, each, prefix, often, parity)
     return made
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -243,6 +243,46 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield table()
 
 
+def _by_text(of: Callable[[list[str], list[int]], Iterator[tuple]], names: list[str]):
+    """A task that gives the rows ``of`` makes of some (text, y)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                made = list(of(part.column(0).to_pylist(), part.column(1).to_pylist()))
+                kinds = [pa.list_(pa.int32()) if names[0] == "own" else pa.list_(pa.float64()) if names[0] == "x" else pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], kinds[i]) for i in (0, 1)], names)
+
+    return run
+
+
+def _terms_of(exact: dict[str, int]):
+    def of(texts: list[str], ys: list[int]) -> Iterator[tuple]:
+        for text, y in zip(texts, ys):
+            found = set(_WORD.findall(text.lower()))
+            own = {exact[w] for w in found if w in exact} | {exact[s] for w in found for k in STEM_LETTERS if k < len(w) and (s := w[:k] + "*") in exact}
+            yield sorted(own), y
+
+    return _by_text(of, ["own", "y"])
+
+
+def _fuzzy_only(model: Model):
+    """The terms that a text without any exact match has with one error."""
+
+    def of(texts: list[str], ys: list[int]) -> Iterator[tuple]:
+        for i, _, _, entry, distance, _ in model.hits(texts):
+            if len(entry) and not (distance == 0).any():
+                for e in set(entry[distance == 1].tolist()):
+                    yield e, ys[i]
+
+    return _by_text(of, ["entry", "y"])
+
+
+def _features_of(model: Model):
+    return _by_text(lambda texts, ys: zip(model.features(texts).tolist(), ys), ["x", "y"])
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Ridge logistic regression by Newton's method; the intercept comes first."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -284,16 +324,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     if not ranked:
         return Model()
     exact = {term.rstrip("*") + ("*" if term.endswith("*") else ""): i for i, (term, _, _) in enumerate(ranked)}
-    rows, columns, ys, kept = [], [], [], []
-    for i, r in enumerate(sample.toLocalIterator()):  # at most ``most`` texts, one at a time
-        found = set(_WORD.findall(r["text"].lower()))
-        own = {exact[w] for w in found if w in exact} | {exact[s] for w in found for k in STEM_LETTERS if k < len(w) and (s := w[:k] + "*") in exact}
-        rows += [i] * len(own)
-        columns += own
-        ys.append(r["y"])
-        if r["y"] == 1 or i % 4 == 0:  # enough of the others for the logistic model
-            kept.append((r["text"], r["y"]))
-    rows_, columns_, y = np.array(rows, int), np.array(columns, int), np.array(ys)
+    held = sample.mapInArrow(_terms_of(exact), "own array<int>, y int").collect()  # at most ``most`` rows
+    y = np.array([r["y"] for r in held])
+    rows_ = np.repeat(np.arange(len(held)), [len(r["own"]) for r in held])
+    columns_ = np.array([c for r in held for c in r["own"]], int)
     weight, chosen = np.ones(len(y)), []
     open_ = np.ones(len(ranked), dtype=bool)
     while len(chosen) < LEXICON:
@@ -320,13 +354,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     model = Model(terms, np.column_stack([odds, odds / 2]), machine=automaton(terms))
     # a fuzzy match weighs as much as texts that have it, and no exact one, are toxic
     seen = np.ones((len(terms), 2))
-    for i, _, _, entry, distance, _ in model.hits([t for t, _ in kept]):
-        if len(entry) and not (distance == 0).any():
-            for e in set(entry[distance == 1].tolist()):
-                seen[e, kept[i][1]] += 1
+    for r in sample.mapInArrow(_fuzzy_only(model), "entry int, y int").groupBy("entry", "y").count().collect():
+        seen[r["entry"], r["y"]] += r["count"]
     model.weights[:, 1] = odds / 2 * np.clip(2 * seen[:, 1] / seen.sum(axis=1), 0, 1) ** 2
-    labels_ = np.array([label_ for _, label_ in kept])
-    model.coefficients = _logistic(model.features([t for t, _ in kept]), labels_)
+    told = sample.mapInArrow(_features_of(model), "x array<double>, y int").collect()  # four numbers a row
+    table = np.array(sorted((*r["x"], r["y"]) for r in told))
+    model.coefficients = _logistic(table[:, :-1], table[:, -1])
     return model
 
 

@@ -35,6 +35,7 @@ from tidemark.llm.scratch import Scratch
 LEAST_REVISIT = 100
 SHARD_BYTES = 16 << 20
 ROLL_BYTES = 4 << 20
+TASK_BYTES = 8 << 20
 DATE = "2024-01-01T00:00:00Z"
 PER_SHARD = 20
 LEVEL = 5
@@ -211,7 +212,7 @@ def write(
     listed = sorted_.mapInArrow(_write(root, roll_bytes), "name string, temporary string, bytes long, records long, sha256 string")
     listed.write.parquet(f"{root}/_manifest")
     manifest = spark.read.schema(listed.schema).parquet(f"{root}/_manifest")
-    manifest.repartition("name").mapInArrow(_promote(root), "name string").count()
+    _spread(manifest).mapInArrow(_promote(root), "name string").count()
     scratch.drop(light)
     store, base = fs.FileSystem.from_uri(root)
     if store.get_file_info(f"{base}/_attempts").type != fs.FileType.NotFound:
@@ -219,6 +220,14 @@ def write(
     return manifest
 
 
+def _spread(manifest: DataFrame) -> DataFrame:
+    """The names in the manifest, dealt so that a task gets ``TASK_BYTES`` of archives on average; their
+    rows are too small for Spark to tell that they stand for work."""
+    whole = manifest.agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files")).first()
+    tasks = max(1, min(whole["files"], -(-(whole["bytes"] or 0) // TASK_BYTES)))
+    return manifest.select("name").repartition(tasks, "name")
+
+
 def members(stream) -> Iterator[bytes]:
     """The gzip members of an archive, one at a time."""
     rest = b""
@@ -286,6 +295,6 @@ def _read(root: str, with_payload: bool):
 
 def read(spark: SparkSession, root: str, with_payload: bool = True) -> DataFrame:
     """The records of the archives that the manifest under ``root`` lists; every digest is checked."""
-    manifest = spark.read.parquet(f"{root}/_manifest").select("name").repartition("name")
+    manifest = _spread(spark.read.parquet(f"{root}/_manifest"))
     schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
     return manifest.mapInArrow(_read(root, with_payload), schema + (", payload binary" if with_payload else ""))
