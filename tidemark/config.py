@@ -56,13 +56,17 @@ class PipelineConfig:
     tenant_state: bool = False
     idempotent: bool = False
     jdbc_batch_size: int = 1_000
-    jdbc_retries: int = 5
+    sink_rows: int = 1_000_000
+    sink_interval_ms: int = 60_000
+    sink_retries: int = 5
 
     def __post_init__(self) -> None:
         if self.parallelism < 1 or self.out_of_order_ms < 0 or self.idle_ms < 1:
             raise ValueError("parallelism and idle_ms must be positive, out_of_order_ms zero or more")
-        if self.jdbc_batch_size < 1 or self.jdbc_retries < 0:
-            raise ValueError("jdbc_batch_size must be positive and jdbc_retries zero or more")
+        if self.jdbc_batch_size < 1 or self.sink_rows < 1 or self.sink_interval_ms < 1 or self.sink_retries < 0:
+            raise ValueError("batch sizes and intervals must be positive and sink_retries zero or more")
+        if self.max_offsets_per_trigger is not None and self.max_offsets_per_trigger < 1:
+            raise ValueError("max_offsets_per_trigger must be positive")
         probability(self.preview_rate)
 
     @classmethod
@@ -76,4 +80,8 @@ class PipelineConfig:
             idle_ms=1_000 * int(settings.get("idle_seconds", "30")),
             preview_rate=float(settings.get("preview_rate", "0.05")),
             tenant_state=strict_flag(settings.get("tenant_state", "false"), "tenant_state"),
+            max_offsets_per_trigger=int(settings["max_offsets_per_trigger"]) if "max_offsets_per_trigger" in settings else None,
+            sink_rows=int(settings.get("sink_rows", "1000000")),
+            sink_interval_ms=int(settings.get("sink_interval_ms", "60000")),
+            sink_retries=int(settings.get("sink_retries", "5")),
         )

@@ -35,6 +35,12 @@ def encoded(dlq: DataFrame, *extra: str) -> DataFrame:
     return dlq.select(*extra, F.to_json(F.struct(*DLQ_FIELDS)).alias("value"))
 
 
+def decoded(values: DataFrame) -> DataFrame:
+    """The envelopes in a column ``value`` of JSON text, as columns."""
+    fields = ", ".join(f"{name} string" for name in DLQ_FIELDS)
+    return values.select(F.from_json("value", fields).alias("d")).select("d.*")
+
+
 def by_category(dlq: DataFrame) -> DataFrame:
     return dlq.groupBy("error_category").agg(F.count(F.lit(1)).alias("records"))
 

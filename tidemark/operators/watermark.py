@@ -20,6 +20,7 @@ from tidemark.session import materialize
 OUT_OF_ORDER_MS = 10_000
 IDLE_MS = 30_000
 BATCH_BLOCK = 4_096
+ROW_BLOCK = 65_536
 
 
 def contributed_time(event_time_ms: Column, error: Column, ignore_invalid: bool = False) -> Column:
@@ -93,6 +94,39 @@ def arrival_watermark(
     ).select("batch_id", "batch_ms", "watermark_ms")
 
 
+def row_watermark(
+    arrivals: DataFrame,
+    order: str = "arrival",
+    at_ms: str = "at_ms",
+    event_ms: str = "event_ms",
+    out_of_order_ms: int = OUT_OF_ORDER_MS,
+    idle_ms: int = IDLE_MS,
+    block_rows: int = ROW_BLOCK,
+) -> DataFrame:
+    """``arrivals`` with ``watermark_ms``: the watermark each row met, set by the rows before it alone.
+
+    Each source partition offers the largest event time it has delivered before the row, if it delivered anything
+    within ``idle_ms`` of the row's ``at_ms``.  The watermark is the least offer minus the allowed disorder and never
+    moves back.  ``order`` is a dense, unique arrival number.
+
+    Every block of ``block_rows`` arrivals is one window, whatever partition its rows are from, so neither a hot
+    partition nor the whole stream is in one task.  A source partition costs two columns; how many there are is a
+    property of the topic, not of its contents.
+    """
+    partitions = sorted(r[0] for r in arrivals.select("src_partition").distinct().collect())
+    if not partitions:
+        return arrivals.withColumn("watermark_ms", F.lit(None).cast("long"))
+    mine = {p: F.col("src_partition") == p for p in partitions}
+    seen = {f"_reached_{p}": Running("max", F.when(here, F.col(event_ms)), False) for p, here in mine.items()}
+    seen |= {f"_last_{p}": Running("max", F.when(here, F.col(at_ms)), False) for p, here in mine.items()}
+    block = F.floor(F.col(order) / F.lit(block_rows))
+    carried = blocked_running(arrivals, [], [order], block, seen)
+    offers = [F.when(F.col(at_ms) - F.col(f"_last_{p}") <= idle_ms, F.col(f"_reached_{p}")) for p in partitions]
+    low = F.array_min(F.array_compact(F.array(*offers)))
+    lows = carried.select(*[F.col(c) for c in arrivals.columns], (low - F.lit(out_of_order_ms)).alias("_low"))
+    return blocked_running(lows, [], [order], block, {"watermark_ms": Running("max", F.col("_low"))}).drop("_low")
+
+
 def observe(
     rows: DataFrame,
     watermark_ms: Column,

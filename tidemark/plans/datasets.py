@@ -31,9 +31,19 @@ def iso(ms: str) -> str:
     return f"""date_format(timestamp_millis({ms}), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")"""
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def placed(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``rows`` dealt by event to as many partitions as the session shuffles into.
+
+    The table is smaller than the text derived from it, and Spark cuts scans by bytes: without this, all
+    making and parsing of text would be done by the few tasks that read the table.
+    """
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+
+
+def base(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """One row per event with the identifiers and flags all other datasets use."""
-    return table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    return (placed(spark, events) if spread else events).selectExpr(
         "event_id AS eid",
         "user_id",
         "unix_millis(cast(ts AS timestamp)) AS ems",
@@ -51,9 +61,9 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sends(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sends(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Originals and intentional duplicates: one row per send."""
-    copies = base(spark, sf_dir).selectExpr(
+    copies = base(spark, sf_dir, spread).selectExpr(
         "*", "explode(if(has_dup, array(0L, 1L), array(0L))) AS copy"
     )
     return copies.selectExpr(
@@ -78,7 +88,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         '","producer_run_id":"', producer_run_id, '","producer_sequence":', producer_sequence,
         {region}, ',"schema_version":1,"tenant_id":"', tenant_id, '"}}')"""
     return (
-        sends(spark, sf_dir)
+        sends(spark, sf_dir, spread=True)
         .selectExpr("*", f"{text} AS whole")
         .selectExpr(
             "eid",
@@ -238,7 +248,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN eid % 10 = 8 AND eid % 3 = 0 THEN concat({job}, 'said ', char(92), '"stop', char(92), '""}}')
         WHEN eid % 10 = 8 AND eid % 3 = 1 THEN concat({job}, 'caf', char(92), 'u00e9 open"}}')
         ELSE concat({job}, 'job_starting"}}') END"""
-    stamped = base(spark, sf_dir).selectExpr(
+    stamped = base(spark, sf_dir, spread=True).selectExpr(
         "eid", f"""concat('{{"timestamp":"', {iso('ems')}, '","level":"', {level}, '"') AS head"""
     )
     return stamped.selectExpr("eid", f"{choose('eid % 3', SERVICES)} AS service", f"{text} AS raw")

@@ -145,6 +145,35 @@ marks AS (
   SELECT batch_id, batch_ms, max(w0) OVER (ORDER BY batch_id ROWS UNBOUNDED PRECEDING) AS watermark_ms FROM lows
 )"""
 
+# The watermark each row meets: six source partitions, each with what it has delivered before the row.
+_OFFERS = ", ".join(
+    f"CASE WHEN batch_ms - max(batch_ms) FILTER (src_partition = {p}) OVER w <= 30000"
+    f" THEN max(event_ms) FILTER (src_partition = {p}) OVER w END"
+    for p in range(6)
+)
+ROW_MARKS = f"""
+row_lows AS (
+  SELECT arrival, src_partition, event_ms, list_min([{_OFFERS}]) - 10000 AS low
+  FROM (SELECT j.arrival, j.batch_ms, j.src_partition,
+          CASE WHEN j.error_category IS NULL
+            THEN epoch_us(CAST(rtrim(json_extract_string(j.value, '$.event_time'), 'Z') AS TIMESTAMP)) // 1000
+            ELSE 0 END AS event_ms FROM judged j) o
+  WINDOW w AS (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+row_marks AS (
+  SELECT arrival, src_partition, event_ms, max(low) OVER (ORDER BY arrival ROWS UNBOUNDED PRECEDING) AS watermark_ms FROM row_lows
+)"""
+
+# What a first batch takes of each source partition when a third of all offsets is admitted.
+ADMITTED = """
+parts AS (SELECT src_partition, min(arrival) AS first, max(arrival) + 1 AS past FROM raw GROUP BY 1),
+quota AS (SELECT sum(past) // 3 + 1 AS lim, sum(past - first) AS waiting FROM parts),
+taken AS (
+  SELECT src_partition, past, first + CASE WHEN waiting <= lim THEN past - first
+      ELSE least(past - first, greatest(1, lim * (past - first) // waiting)) END AS done
+  FROM parts, quota
+)"""
+
 OBSERVED = f"""
 observed AS (
   SELECT t.*, {at("s.pms + 50 + s.eid % 400")} AS processed_at, {at("m.watermark_ms")} AS watermark_at_arrival,
@@ -282,6 +311,14 @@ def over_marks(select: str) -> str:
     return query(select, BASE, SENDS, RAW, JUDGED, WATERMARKS)
 
 
+def over_row_marks(select: str) -> str:
+    return query(select, BASE, SENDS, RAW, JUDGED, ROW_MARKS)
+
+
+def over_admitted(select: str) -> str:
+    return query(select, BASE, SENDS, RAW, JUDGED, ADMITTED)
+
+
 def over_observed(select: str) -> str:
     return query(select, BASE, SENDS, RAW, JUDGED, WATERMARKS, OBSERVED)
 

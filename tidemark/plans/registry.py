@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import clock, numbers, text
+from tidemark.config import PipelineConfig
+from tidemark.functions import clock, lateness, numbers, text
 from tidemark.operators import (
     delivery,
     dlq,
@@ -27,11 +28,12 @@ from tidemark.operators import (
 )
 from tidemark.plans import datasets as data
 from tidemark.plans import duck
-from tidemark.schema import ARRIVAL_SCHEMA, HOT_TENANT, REQUIRED_FIELDS, SINK_FIELDS, SOURCE_TOPIC
+from tidemark.schema import ARRIVAL_SCHEMA, HOT_TENANT, REQUIRED_FIELDS, SINK_FIELDS, SOURCE_TOPIC, TABLE_SCHEMA
 from tidemark.session import checkpoint_root
-from tidemark.sources import table, topics
-from tidemark.streaming import sinks, tenant_state
-from tidemark.streaming.pipeline import Paths, start_pipeline
+from tidemark.sources import capture, table, topics
+from tidemark.streaming import committed, progress, sinks, tenant_state
+from tidemark.streaming.pipeline import Paths, drain, open_capture, start_pipeline
+from tidemark.streaming.running_count import start_running_count
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -415,6 +417,20 @@ def arrival_watermark(spark, sf_dir):
     return watermark.arrival_watermark(offered(judged(spark, sf_dir)))
 
 
+@query(
+    "row_watermark",
+    duck.over_row_marks("""
+SELECT arrival, src_partition, watermark_ms, coalesce(event_ms <= watermark_ms, false) AS is_late FROM row_marks"""),
+)
+def row_watermark(spark, sf_dir):
+    offer = watermark.contributed_time(F.col("event_time_ms"), F.col("error")).alias("event_ms")
+    rows = judged(spark, sf_dir).select("arrival", "src_partition", F.col("batch_ms").alias("at_ms"), offer)
+    marked = watermark.row_watermark(rows)
+    return marked.select(
+        "arrival", "src_partition", "watermark_ms", lateness.is_late(F.col("event_ms"), F.col("watermark_ms")).alias("is_late")
+    )
+
+
 def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = judged(spark, sf_dir)
     eid = F.col("eid")
@@ -452,24 +468,41 @@ def observed_lateness_counts(spark, sf_dir):
 
 
 def captured(spark: SparkSession, sf_dir: str) -> tuple[Paths, str]:
-    """The raw sends captured as arrival files in a new folder, for the streaming queries to read."""
+    """The raw sends captured by partition and offset in a new folder, for the streaming queries to read."""
     root = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
     rows = data.raw(spark, sf_dir).selectExpr("key", "value", "src_partition", "arrival AS offset")
-    rows.write.json(f"{root}/arrivals")
+    capture.write_capture(rows, f"{root}/arrivals")
     return Paths(root), f"{root}/arrivals"
 
 
+def in_thirds(spark: SparkSession, folder: str) -> PipelineConfig:
+    """Settings under which a batch takes a third of all offsets, so that every stream here has several batches."""
+    whole = topics.end_offset_sum(spark.read.parquet(folder)).first()[0]
+    return PipelineConfig(trigger="0 seconds", max_offsets_per_trigger=whole // 3 + 1)
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str) -> Paths:
+    """The whole capture through the job, rows and dead letters in committed batches."""
     paths, folder = captured(spark, sf_dir)
-    stream = topics.captured_stream(spark, folder, files_per_trigger=1_000)
-    start_pipeline(spark, stream, paths, available_now=True).awaitTermination()
+    config = in_thirds(spark, folder)
+    stream = open_capture(spark, folder, paths, config)
+    rows_sink = sinks.committed_table_sink(paths.table, config)
+    dlq_sink = sinks.committed_dlq_sink(paths.dead_letters, config)
+    drain(start_pipeline(spark, stream, paths, config, rows_sink, dlq_sink))
     return paths
 
 
+def streamed_table(spark: SparkSession, paths: Paths) -> DataFrame:
+    return committed.read_committed(spark, paths.table, TABLE_SCHEMA)
+
+
+def streamed_letters(spark: SparkSession, paths: Paths) -> DataFrame:
+    return dlq.decoded(committed.read_committed(spark, paths.dead_letters, "value string"))
+
+
 @query("streamed_rows", duck.over_judged(f"SELECT {TYPED_COLUMNS} FROM typed"))
 def streamed_rows(spark, sf_dir):
-    stored = table.read_table(spark, run_pipeline(spark, sf_dir).table)
-    return stored.select(*REQUIRED_FIELDS)
+    return streamed_table(spark, run_pipeline(spark, sf_dir)).select(*REQUIRED_FIELDS)
 
 
 @query(
@@ -482,16 +515,74 @@ def streamed_reconciliation(spark, sf_dir):
     paths = run_pipeline(spark, sf_dir)
     return reconcile.reconcile(
         data.attempts(spark, sf_dir),
-        spark.read.schema(ARRIVAL_SCHEMA).json(f"{paths.root}/arrivals"),
-        table.read_table(spark, paths.table),
-        sinks.read_dlq_files(spark, paths.dead_letters),
+        spark.read.schema(ARRIVAL_SCHEMA).parquet(f"{paths.root}/arrivals"),
+        streamed_table(spark, paths),
+        streamed_letters(spark, paths),
     )
 
 
-@query("streamed_dlq", duck.over_judged("SELECT raw_payload, error_category, error_detail FROM rejects"))
+@query(
+    "streamed_dlq",
+    duck.over_judged(f"""
+SELECT raw_payload, error_category, error_detail, '{SOURCE_TOPIC}' AS source_topic FROM rejects"""),
+)
 def streamed_dlq(spark, sf_dir):
-    letters = sinks.read_dlq_files(spark, run_pipeline(spark, sf_dir).dead_letters)
-    return letters.select("raw_payload", "error_category", "error_detail")
+    letters = streamed_letters(spark, run_pipeline(spark, sf_dir))
+    return letters.select("raw_payload", "error_category", "error_detail", "source_topic")
+
+
+@query(
+    "streamed_lag",
+    duck.over_admitted("""
+SELECT src_partition, past AS end_offset, CAST(done AS BIGINT) AS committed_offset, CAST(past - done AS BIGINT) AS lag FROM taken"""),
+)
+def streamed_lag(spark, sf_dir):
+    """What is left of each source partition when the job is stopped after its first batch."""
+    paths, folder = captured(spark, sf_dir)
+    config = in_thirds(spark, folder)
+    # Without a trigger interval a run takes what is admitted at its start, and ends.
+    run = start_pipeline(spark, open_capture(spark, folder, paths, config), paths, config, available_now=True)
+    run.awaitTermination()
+    progress.store_samples(paths.metrics, "last-progress", progress.progress_samples(run.lastProgress))
+    done = progress.committed_offsets(progress.read_samples(spark, paths.metrics))
+    return topics.consumer_lag(capture.captured_ends(spark, folder), done)
+
+
+@query(
+    "streamed_tenant_numbers",
+    duck.over_judged("""
+SELECT tenant_id, producer_sequence, row_number() OVER (PARTITION BY tenant_id ORDER BY arrival) AS tenant_record_count FROM typed"""),
+)
+def streamed_tenant_numbers(spark, sf_dir):
+    paths, folder = captured(spark, sf_dir)
+    config = in_thirds(spark, folder)
+    out = f"{paths.root}/numbered"
+
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        kept = rows.select("tenant_id", "producer_sequence", "tenant_record_count")
+        committed.write_batch(kept, out, batch_id, config.sink_rows, config.sink_interval_ms, config.sink_retries)
+
+    stream = open_capture(spark, folder, paths, config)
+    drain(start_running_count(spark, stream, f"{paths.root}/checkpoints/numbers", keep, config.trigger))
+    return committed.read_committed(spark, out, "tenant_id string, producer_sequence long, tenant_record_count long")
+
+
+@query(
+    "streamed_batches",
+    duck.over_admitted("""
+SELECT j.error_category IS NULL AS valid, j.arrival < t.done AS first_batch, count(*) AS records
+FROM judged j JOIN taken t USING (src_partition) GROUP BY ALL"""),
+)
+def streamed_batches(spark, sf_dir):
+    """How many rows and dead letters the first batch committed, and how many all later ones."""
+    paths = run_pipeline(spark, sf_dir)
+
+    def counted(path: str, valid: bool) -> DataFrame:
+        by_batch = committed.commits(spark, path).groupBy((F.col("batch_id") == 0).alias("first_batch"))
+        return by_batch.agg(F.sum("n_rows").alias("records")).withColumn("valid", F.lit(valid)).filter("records > 0")
+
+    both = counted(paths.table, True).unionByName(counted(paths.dead_letters, False))
+    return both.select("valid", "first_batch", "records")
 
 
 @query(
@@ -502,11 +593,13 @@ SELECT tenant_id, count(*) AS tenant_record_count FROM typed WHERE tenant_id = '
 def hot_state_value(spark, sf_dir):
     paths, folder = captured(spark, sf_dir)
     checkpoint = paths.tenant_state(0)
-    stream = topics.captured_stream(spark, folder)
-    tenant_state.start_tenant_state(
-        spark, stream, checkpoint, f"{checkpoint}-output", available_now=True,
-        partitions=spark.sparkContext.defaultParallelism,
-    ).awaitTermination()
+    config = in_thirds(spark, folder)
+    drain(
+        tenant_state.start_tenant_state(
+            spark, open_capture(spark, folder, paths, config), checkpoint, f"{checkpoint}-output",
+            trigger=config.trigger, partitions=spark.sparkContext.defaultParallelism,
+        )
+    )
     return tenant_state.state_value(spark, checkpoint)
 
 

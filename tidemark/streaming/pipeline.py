@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import PipelineConfig
 from tidemark.operators import dlq, validate, watermark
 from tidemark.session import configure
-from tidemark.streaming import sinks
+from tidemark.sources import capture
+from tidemark.streaming import committed, sinks
 from tidemark.streaming.progress import store_samples
 from tidemark.streaming.state import WatermarkState
 
@@ -42,6 +43,14 @@ class Paths:
     def watermark(self) -> str:
         return f"{self.root}/checkpoints/watermark"
 
+    @property
+    def previews(self) -> str:
+        return f"{self.root}/reject-previews"
+
+    @property
+    def position(self) -> str:
+        return f"{self.root}/checkpoints/position/pipeline.json"
+
     @property
     def metrics(self) -> str:
         return f"{self.root}/metrics"
@@ -64,6 +73,7 @@ class BatchWriter:
     config: PipelineConfig
     clock_ms: Callable[[], int] = system_clock
     metrics_path: str | None = None
+    preview_path: str | None = None
 
     def __call__(self, checked: DataFrame, batch_id: int) -> None:
         now_ms = self.clock_ms()
@@ -79,6 +89,12 @@ class BatchWriter:
             self.dlq_sink(
                 dlq.envelopes(validate.invalid_rows(checked), source_topic=self.config.source_topic), batch_id
             )
+            if self.preview_path and self.config.preview_rate > 0:
+                key = (F.col("offset") * 65_536 + F.col("src_partition")).alias("position")
+                sample = dlq.sampled_preview(
+                    validate.invalid_rows(checked, "value", key), "position", self.config.preview_rate
+                )
+                sample.write.mode("overwrite").json(f"{self.preview_path}/batch_id={batch_id}")
             offered = checked.select(
                 "src_partition",
                 watermark.contributed_time(F.col("event_time_ms"), F.col("error")).alias("event_ms"),
@@ -109,6 +125,7 @@ def start_pipeline(
     unless ``config.idempotent`` gives each batch its own folder.
     """
     configure(spark)
+    committed.enable(spark)
     config = config or PipelineConfig()
     if rows_sink is None:
         make = sinks.idempotent_table_sink if config.idempotent else sinks.table_sink
@@ -120,6 +137,7 @@ def start_pipeline(
         config,
         clock_ms,
         paths.metrics,
+        paths.previews,
     )
     checked = validate.validate(arrivals).observe("validation", *validate.outcome_counters())
     stream = checked.writeStream.foreachBatch(writer).option("checkpointLocation", paths.checkpoint)
@@ -127,6 +145,20 @@ def start_pipeline(
     return timed.queryName("pipeline").start()
 
 
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Let a query work off all that waits, in as many batches as its limits make of it, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
+def open_capture(spark: SparkSession, path: str, paths: Paths, config: PipelineConfig) -> DataFrame:
+    """Captured arrivals as the job's source, under the configured limit for a batch."""
+    return capture.captured_topic(spark, path, paths.position, config.max_offsets_per_trigger)
+
+
 def distinct_sends(observed: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """A stream with repeated sends removed, for a side table.
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ast
 import json
 from datetime import datetime, timezone
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark.schema import METRIC_SCHEMA
@@ -30,6 +32,25 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRIC_SCHEMA).json(path)
 
 
+def end_offsets(source) -> dict[str, int]:
+    """Where a source stood after the batch, by partition; empty for sources without such offsets."""
+    try:
+        held = ast.literal_eval(source.endOffset)  # reported as the text of a dict
+    except (TypeError, ValueError, SyntaxError):
+        return {}
+    # A broker's topics are one level above their partitions.
+    if isinstance(held, dict) and held and all(isinstance(v, dict) for v in held.values()):
+        held = {f"{topic}-{p}": n for topic, parts in held.items() for p, n in parts.items()}
+    return {p: n for p, n in held.items() if isinstance(n, int)} if isinstance(held, dict) else {}
+
+
+def committed_offsets(samples: DataFrame) -> DataFrame:
+    """(src_partition, committed_offset) of the last report of each partition of a source."""
+    part = F.col("labels")["src_partition"]
+    last = samples.filter(F.col("name") == "source_end_offset").groupBy(part.cast("int").alias("src_partition"))
+    return last.agg(F.max_by("value", "ts").cast("long").alias("committed_offset"))
+
+
 def progress_samples(progress) -> list[Sample]:
     """All measurements of one progress report."""
     at = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
@@ -45,7 +66,11 @@ def progress_samples(progress) -> list[Sample]:
         for key, value in row.asDict().items():
             values[f"{name}_{key}"] = value
     samples += [(at, name, labels, float(value)) for name, value in values.items() if value is not None]
-    for source in progress.sources:
+    for number, source in enumerate(progress.sources):
+        samples += [
+            (at, "source_end_offset", {**labels, "source": str(number), "src_partition": partition}, float(offset))
+            for partition, offset in end_offsets(source).items()
+        ]
         samples += [(at, f"source_{key}", labels, float(value)) for key, value in source.metrics.items()]
     return samples
 

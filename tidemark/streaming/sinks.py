@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.config import PipelineConfig
 from tidemark.operators import dlq
-from tidemark.schema import DLQ_FIELDS, SINK_FIELDS
+from tidemark.schema import SINK_FIELDS
 from tidemark.sources import table
+from tidemark.streaming import committed
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -35,6 +35,28 @@ def idempotent_table_sink(path: str, layout: str = "rebalance") -> Sink:
     return write
 
 
+def committed_table_sink(path: str, config: PipelineConfig) -> Sink:
+    """Files of bounded size and age, retried, that count once the whole batch is there; a replay replaces it."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        committed.write_batch(
+            table.stored_form(rows), path, batch_id, config.sink_rows, config.sink_interval_ms, config.sink_retries
+        )
+
+    return write
+
+
+def committed_dlq_sink(path: str, config: PipelineConfig) -> Sink:
+    """The envelopes as JSON text, under the same promise."""
+
+    def write(envelopes: DataFrame, batch_id: int) -> None:
+        committed.write_batch(
+            dlq.encoded(envelopes), path, batch_id, config.sink_rows, config.sink_interval_ms, config.sink_retries
+        )
+
+    return write
+
+
 def jdbc_sink(url: str, target: str, config: PipelineConfig, properties: dict[str, str]) -> Sink:
     """Insert the named columns into a database table; the database adds its own ingest clock."""
 
@@ -74,5 +96,4 @@ def dlq_topic_sink(servers: str, topic: str) -> Sink:
 
 
 def read_dlq_files(spark, path: str) -> DataFrame:
-    fields = ", ".join(f"{name} string" for name in DLQ_FIELDS)
-    return spark.read.text(path).select("value").select(F.from_json("value", fields).alias("d")).select("d.*")
+    return dlq.decoded(spark.read.text(path).select("value"))
