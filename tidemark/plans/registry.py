@@ -22,6 +22,7 @@ from tidemark.operators import (
     metrics,
     reconcile,
     skew,
+    summaries,
     validate,
     views,
     watermark,
@@ -29,8 +30,8 @@ from tidemark.operators import (
 from tidemark.plans import datasets as data
 from tidemark.plans import duck
 from tidemark.schema import ARRIVAL_SCHEMA, HOT_TENANT, REQUIRED_FIELDS, SINK_FIELDS, SOURCE_TOPIC, TABLE_SCHEMA
-from tidemark.session import checkpoint_root
-from tidemark.sources import capture, table, topics
+from tidemark.session import checkpoint_root, materialize
+from tidemark.sources import capture, file_index, table, topics
 from tidemark.streaming import committed, progress, sinks, tenant_state
 from tidemark.streaming.pipeline import Paths, drain, open_capture, start_pipeline
 from tidemark.streaming.running_count import start_running_count
@@ -130,6 +131,25 @@ def latency_quantiles_sketch(spark, sf_dir):
     return views.latency_quantiles(data.telemetry(spark, sf_dir), mode="sketch")
 
 
+@query(
+    "latency_summaries",
+    duck.over_telemetry("""
+SELECT date_trunc('hour', ingested_at) AS hour, count(*) AS n_rows, true AS p50_within, true AS p95_within, true AS p99_within
+FROM telemetry GROUP BY 1"""),
+)
+def latency_summaries(spark, sf_dir):
+    """Hourly quantiles from stored minute summaries: is each one's rank within the promised error?"""
+    hour = F.date_trunc("hour", "minute")
+    start, end = views.STAGE_DELAYS["end_to_end"]
+    delay = {"end_to_end": clock.elapsed_ms(F.col(start), F.col(end))}
+    rows = data.telemetry(spark, sf_dir).withColumn("minute", F.date_trunc("minute", "ingested_at"))
+    stored = materialize(summaries.summarize(rows, ["minute"], delay), "minute-summaries")
+    found = summaries.quantiles(summaries.merge(stored, {"hour": hour}, ["end_to_end"]), ["hour"], ["end_to_end"])
+    off = summaries.rank_errors(rows.withColumn("hour", hour), ["hour"], "end_to_end", delay["end_to_end"], found)
+    within = [(F.col(f"end_to_end_p{p}_error") <= summaries.RANK_ERROR).alias(f"p{p}_within") for p in (50, 95, 99)]
+    return found.join(off, "hour").select("hour", "n_rows", *within)
+
+
 @query(
     "latency_series",
     duck.over_telemetry(f"""
@@ -304,11 +324,47 @@ def pruned_month_scan(spark, sf_dir):
     )
 
 
-def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The telemetry written in the table's layout to a new folder, and read back."""
+def written_table(spark: SparkSession, sf_dir: str) -> str:
+    """A new folder with the telemetry in the table's layout."""
     path = f"{checkpoint_root(spark)}/telemetry-table-{uuid.uuid4().hex}"
     table.write_rows(table.stored_form(data.telemetry(spark, sf_dir)), path, layout="cluster")
-    return table.read_table(spark, path)
+    return path
+
+
+def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry written in the table's layout to a new folder, and read back."""
+    return table.read_table(spark, written_table(spark, sf_dir))
+
+
+@query(
+    "table_zone_map",
+    duck.over_telemetry("""
+SELECT ym, count(*) AS n_rows, min(event_time) AS min_event_time, max(event_time) AS max_event_time, min(tenant_id) AS min_tenant,
+  max(tenant_id) AS max_tenant FROM telemetry GROUP BY 1"""),
+)
+def table_zone_map(spark, sf_dir):
+    """What file footers say of each month of the stored table."""
+    index = file_index.build(spark, written_table(spark, sf_dir))
+    return index.groupBy("ym").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.min("min_event_time").alias("min_event_time"),
+        F.max("max_event_time").alias("max_event_time"),
+        F.min("min_tenant").alias("min_tenant"),
+        F.max("max_tenant").alias("max_tenant"),
+    )
+
+
+@query(
+    "indexed_range",
+    duck.over_telemetry("""
+SELECT event_id, count(*) AS n_rows FROM telemetry
+WHERE tenant_id = 'tenant-003' AND event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-12' GROUP BY 1"""),
+)
+def indexed_range(spark, sf_dir):
+    """Two days of one tenant, from the files whose footers allow it."""
+    path = written_table(spark, sf_dir)
+    found = file_index.read(spark, path, file_index.build(spark, path), datetime(2024, 1, 10), datetime(2024, 1, 12), "tenant-003")
+    return found.groupBy("event_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("table_files")

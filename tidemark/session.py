@@ -22,6 +22,8 @@ SEMANTIC_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # One value of a wrong type leaves the record's other values readable.
     "spark.sql.json.enablePartialResults": "true",
+    # The older form of timestamps has no bounds in footers, so neither files nor row groups can be passed over.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 # Settings for large inputs; only applied to sessions that we build.
