@@ -42,7 +42,8 @@ class FirstOfSend(StatefulProcessor):
 def distinct_sends(records: DataFrame, keep_ms: int = KEEP_MS) -> DataFrame:
     """A stream of records with one row for each send, all columns kept; needs RocksDB as state store.
 
-    Of repeats in one micro-batch any one stays.  ``keep_ms`` bounds the state and must exceed the time after
+    State that expires by processing time keeps the query busy, so ``processAllAvailable`` does not end on it; use an
+    available-now trigger to work off what waits.  Of repeats in one micro-batch any one stays.  ``keep_ms`` bounds the state and must exceed the time after
     which a sender or a recovery still repeats sends.
     """
     return records.groupBy(*SEND_KEY).transformWithStateInPandas(
