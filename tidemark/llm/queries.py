@@ -78,7 +78,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_lm_scoring")
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
+    scored = kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
+    first = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select(*first, *[c for c in scored.columns if c not in first])
 
 
 @query("op4_byte_bpe")
