@@ -82,6 +82,6 @@ def test_equal_texts_with_both_labels_count_as_labelled(spark):
 
 
 def test_archives_are_dealt_by_their_bytes(spark):
-    manifest = spark.createDataFrame([(f"f{i}", warc.TASK_BYTES // 2) for i in range(9)], "name string, bytes long")
+    manifest = spark.createDataFrame([(f"f{i}", "t", warc.TASK_BYTES // 2) for i in range(9)], "name string, temporary string, bytes long")
     assert warc._spread(manifest).rdd.getNumPartitions() == 5
     assert warc._spread(manifest.limit(0)).count() == 0

@@ -225,7 +225,7 @@ def _spread(manifest: DataFrame) -> DataFrame:
     rows are too small for Spark to tell that they stand for work."""
     whole = manifest.agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files")).first()
     tasks = max(1, min(whole["files"], -(-(whole["bytes"] or 0) // TASK_BYTES)))
-    return manifest.select("name").repartition(tasks, "name")
+    return manifest.select("name", "temporary").repartition(tasks, "name")
 
 
 def members(stream) -> Iterator[bytes]:
