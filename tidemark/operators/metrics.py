@@ -1,7 +1,7 @@
 """Time-series operators over metric samples (ts, name, labels, value).
 
-Range operators work on tumbling windows: the samples of one series in one window are the range.
-A group therefore holds what one series reports in one window, whatever the length of its history.
+Range operators work on tumbling windows, where the samples of one series in one window are the range, or on
+ranges that look back from evenly spaced moments and overlap; those are made from cells, without copies of samples.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import is_finite
 from tidemark.operators.prefix import Running, blocked_running
+from tidemark.operators.sliding import Measure, over_ranges, seconds_into_block
 
 SERIES = ["name", "labels_key"]
 
@@ -65,24 +66,31 @@ def with_previous(samples: DataFrame, block_seconds: int = 86_400) -> DataFrame:
     )
 
 
-def in_ranges(rows: DataFrame, seconds: int, every: int | None = None) -> DataFrame:
-    """Each row once for every range that holds it.
+def windowed(rows: DataFrame, seconds: int) -> DataFrame:
+    """Each row with the start of the consecutive window that holds it."""
+    start = F.floor(F.unix_seconds("ts") / F.lit(seconds)) * F.lit(seconds)
+    return rows.withColumn("window_start", F.timestamp_seconds(start))
+
+
+def ranged(
+    rows: DataFrame, keys: list[str], measures: dict[str, Measure], seconds: int, every: int | None
+) -> DataFrame:
+    """The measures per key and range.
 
     Without ``every`` ranges are consecutive windows and named by their start.  With it there is an
     evaluation every so many seconds, named by its moment, that looks back over (at - seconds, at].
     """
-    if every is None:
-        start = F.floor(F.unix_seconds("ts") / F.lit(seconds)) * F.lit(seconds)
-        return rows.withColumn("window_start", F.timestamp_seconds(start))
-    micros, step = F.unix_micros("ts"), every * 1_000_000
-    first = F.ceil(micros / F.lit(step)) * F.lit(step)
-    past = F.ceil((micros + seconds * 1_000_000) / F.lit(step)) * F.lit(step) - F.lit(step)
-    moments = F.when(past >= first, F.sequence(first, past, F.lit(step))).otherwise(F.array().cast("array<bigint>"))
-    return rows.withColumn("at", F.explode(F.transform(moments, F.timestamp_micros)))
+    if every is not None:
+        return over_ranges(rows, keys, measures, seconds, every)
+    totals = [getattr(F, m.kind)(m.value).alias(name) for name, m in measures.items()]
+    return windowed(rows, seconds).groupBy(*keys, "window_start").agg(*totals)
 
 
-def _range(every: int | None) -> str:
-    return "window_start" if every is None else "at"
+def _steps(samples: DataFrame) -> DataFrame:
+    """Finite samples that have a predecessor, with the step from it; a drop counts as a restart from zero."""
+    stepped = with_previous(samples.filter(is_finite(F.col("value")))).filter("previous IS NOT NULL")
+    step = F.when(F.col("value") < F.col("previous"), F.col("value")).otherwise(F.col("value") - F.col("previous"))
+    return stepped.withColumn("step", step)
 
 
 def counter_change(samples: DataFrame, seconds: int = 60, every: int | None = None) -> DataFrame:
@@ -91,21 +99,17 @@ def counter_change(samples: DataFrame, seconds: int = 60, every: int | None = No
     The step between two samples belongs to the range of the later one, so the increases of
     consecutive windows add up to the whole change of a series.  Nothing is extrapolated.
     """
-    stepped = with_previous(samples.filter(is_finite(F.col("value")))).filter("previous IS NOT NULL")
-    step = F.when(F.col("value") < F.col("previous"), F.col("value")).otherwise(F.col("value") - F.col("previous"))
-    grouped = in_ranges(stepped.withColumn("step", step), seconds, every).groupBy(*SERIES, _range(every))
-    return grouped.agg(F.round(F.sum("step"), 6).alias("increase")).select(
+    grouped = ranged(_steps(samples), SERIES, {"step": Measure("sum", F.col("step"))}, seconds, every)
+    return grouped.withColumn("increase", F.round("step", 6)).drop("step").select(
         "*", F.round(F.col("increase") / F.lit(seconds), 6).alias("rate")
     )
 
 
 def rate_by(samples: DataFrame, labels: list[str], seconds: int = 60, every: int | None = None) -> DataFrame:
     """Sum over the rates of all series of a metric, by label and range."""
-    stepped = with_previous(samples.filter(is_finite(F.col("value")))).filter("previous IS NOT NULL")
-    step = F.when(F.col("value") < F.col("previous"), F.col("value")).otherwise(F.col("value") - F.col("previous"))
-    named = stepped.select("name", "ts", step.alias("step"), *[label(n).alias(n) for n in labels])
-    summed = in_ranges(named, seconds, every).groupBy("name", *labels, _range(every)).agg(F.sum("step").alias("step"))
-    return summed.select("name", *labels, _range(every), F.round(F.col("step") / F.lit(seconds), 6).alias("sum_rate"))
+    named = _steps(samples).select("name", "ts", "step", *[label(n).alias(n) for n in labels])
+    summed = ranged(named, ["name", *labels], {"step": Measure("sum", F.col("step"))}, seconds, every)
+    return summed.withColumn("sum_rate", F.round(F.col("step") / F.lit(seconds), 6)).drop("step")
 
 
 def counters_increased(samples: DataFrame, seconds: int = 300, every: int | None = None) -> DataFrame:
@@ -114,21 +118,36 @@ def counters_increased(samples: DataFrame, seconds: int = 300, every: int | None
 
 
 def slope(samples: DataFrame, seconds: int = 120, every: int | None = None) -> DataFrame:
-    """Least-squares slope of each gauge per range, in units per second."""
-    named = _range(every)
-    at = F.unix_millis("ts") / 1_000 - F.unix_seconds(named)
-    return (
-        in_ranges(with_series(samples.filter(is_finite(F.col("value")))), seconds, every)
-        .groupBy(*SERIES, named)
-        .agg(F.count(F.lit(1)).alias("samples"), F.regr_slope("value", at).alias("slope"))
-        .filter("samples > 1")
-        .select(*SERIES, named, F.round("slope", 6).alias("slope"))
-    )
+    """Least-squares slope of each gauge per range of two samples or more, in units per second.
+
+    It is NULL where all samples of a range have one time.
+    """
+    finite = with_series(samples.filter(is_finite(F.col("value"))))
+    if every is None:
+        at = F.unix_micros("ts") / F.lit(1e6) - F.unix_seconds("window_start")
+        sloped = windowed(finite, seconds).groupBy(*SERIES, "window_start").agg(
+            F.count(F.lit(1)).alias("n"), F.regr_slope("value", at).alias("slope")
+        )
+        return sloped.filter("n > 1").select(*SERIES, "window_start", F.round("slope", 6).alias("slope"))
+    timed = finite.withColumn("x", seconds_into_block(seconds, every)).withColumn("y", F.col("value"))
+    # in the block after its own, a cell lies one block length further back
+    back = F.lit(float(seconds))
+    measures = {
+        "n": Measure("sum", F.lit(1).cast("long")),
+        "sx": Measure("sum", F.col("x"), F.col("sx") - F.col("n") * back),
+        "sy": Measure("sum", F.col("y")),
+        "sxx": Measure("sum", F.col("x") * F.col("x"), F.col("sxx") - 2 * back * F.col("sx") + F.col("n") * back * back),
+        "sxy": Measure("sum", F.col("x") * F.col("y"), F.col("sxy") - back * F.col("sy")),
+    }
+    sums = over_ranges(timed, SERIES, measures, seconds, every).filter("n > 1")
+    spread = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    together = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    return sums.select(*SERIES, "at", F.round(F.when(spread > 0, together / spread), 6).alias("slope"))
 
 
 def max_over_time(samples: DataFrame, seconds: int = 900, every: int | None = None) -> DataFrame:
-    finite = in_ranges(with_series(samples.filter(is_finite(F.col("value")))), seconds, every)
-    return finite.groupBy(*SERIES, _range(every)).agg(F.max("value").alias("max_value"))
+    finite = with_series(samples.filter(is_finite(F.col("value"))))
+    return ranged(finite, SERIES, {"max_value": Measure("max", F.col("value"))}, seconds, every)
 
 
 def aggregate_by(samples: DataFrame, labels: list[str]) -> DataFrame:
