@@ -37,6 +37,23 @@ def test_delivery_summary(log):
     assert (gates["fully_acked"], gates["succeeded"]) == (False, False)
 
 
+def test_sends_without_callback_are_pending_until_their_run_is_flushed(spark):
+    sent = [(run, n, "e", 10, 1_000 + n) for run in "abc" for n in (1, 2, 3)]
+    attempts = spark.createDataFrame(
+        sent, "run_id string, producer_sequence long, event_id string, payload_bytes long, enqueued_ms long"
+    )
+    callbacks = spark.createDataFrame(
+        [(run, 1, 0, 5, 1_009, False, 0) for run in "abc"],
+        "run_id string, producer_sequence long, partition int, offset long, acked_ms long, failed boolean, tx_retries long",
+    )
+    flushes = spark.createDataFrame([("a", 1_003), ("b", 1_002)], "run_id string, flushed_ms long")
+    summary = delivery.delivery_summary(delivery.delivery_log(attempts, callbacks, flushes))
+    got = {r["run_id"]: (r["acked"], r["undelivered"], r["pending"], r["reconciled"]) for r in summary.collect()}
+    assert got == {"a": (1, 2, 0, True), "b": (1, 1, 1, False), "c": (1, 0, 2, False)}
+    gates = {r["run_id"]: (r["fully_acked"], r["succeeded"]) for r in delivery.run_gates(summary).collect()}
+    assert gates == {"a": (False, False), "b": (False, False), "c": (False, True)}
+
+
 def test_partition_maps(log):
     row = delivery.partition_maps(delivery.partition_distribution(log)).first()
     assert row["partition_counts"] == {"1": 2}

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 PRIME = 2_147_483_647
 
 
+def text_hash(value: Column) -> Column:
+    """A number of 28 bits from a text, by MD5, which every engine has; NULL is taken for the empty text."""
+    return F.conv(F.left(F.md5(F.coalesce(value, F.lit(""))), F.lit(7)), 16, 10).cast("long")
+
+
 def is_finite(value: Column) -> Column:
     return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
 

@@ -10,11 +10,22 @@ from tidemark.functions.numbers import uniform
 SEND_KEY = ["run_id", "producer_sequence"]
 
 
-def delivery_log(attempts: DataFrame, callbacks: DataFrame) -> DataFrame:
-    """Each attempt with its callback; an attempt without one is undelivered."""
-    status = F.when(F.col("failed").isNull(), "undelivered").when(F.col("failed"), "failed").otherwise("acked")
+def delivery_log(attempts: DataFrame, callbacks: DataFrame, flushes: DataFrame | None = None) -> DataFrame:
+    """Each attempt with its callback.
+
+    An attempt without one is undelivered once its run was flushed, and pending until then: ``flushes`` holds
+    run_id and flushed_ms, the moment up to which the sends of a run were flushed, one row for each run flushed
+    at all.  Without ``flushes`` every run counts as ended and flushed.
+    """
+    answered = attempts.join(callbacks, SEND_KEY, "left")
+    flushed = F.lit(True)
+    if flushes is not None:
+        answered = answered.join(flushes.select("run_id", "flushed_ms"), "run_id", "left")
+        flushed = F.coalesce(F.col("enqueued_ms") <= F.col("flushed_ms"), F.lit(False))
+    silent = F.when(flushed, "undelivered").otherwise("pending")
+    status = F.when(F.col("failed").isNull(), silent).when(F.col("failed"), "failed").otherwise("acked")
     latency = F.greatest(F.lit(0), F.col("acked_ms") - F.col("enqueued_ms"))
-    return attempts.join(callbacks, SEND_KEY, "left").select(
+    return answered.select(
         *attempts.columns,
         "partition",
         "offset",
@@ -30,7 +41,10 @@ def count_status(status: str) -> Column:
 
 
 def delivery_summary(log: DataFrame) -> DataFrame:
-    """Counters of one run; retries are cumulative, so the largest report counts."""
+    """Counters of each run; retries are cumulative, so the largest report counts.
+
+    pending sends are those that no counter has settled; a run with any is not reconciled.
+    """
     totals = log.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("attempted"),
         F.coalesce(F.sum("payload_bytes"), F.lit(0)).alias("attempted_bytes"),

@@ -34,23 +34,30 @@ def key_partition_invariant(arrivals: DataFrame) -> DataFrame:
     )
 
 
-def partition_load(rows: DataFrame, key: str = "tenant_id", partitions: int = 4) -> DataFrame:
-    """Records per physical partition as read, and after hashing them by key."""
+def partition_load(
+    rows: DataFrame, key: str = "tenant_id", partitions: int = 4, read_by: Column | None = None, hashed: Column | None = None
+) -> DataFrame:
+    """Records per partition as read, and per partition once they were hashed by key.
 
-    def load(df: DataFrame, stage: str) -> DataFrame:
-        return df.groupBy(F.spark_partition_id().alias("partition_index")).agg(
-            F.count(F.lit(1)).alias("records")
-        ).select(F.lit(stage).alias("stage"), "partition_index", "records")
+    ``read_by`` names the partition a record was read from, the task's own number by default; ``hashed`` is the
+    hash of the key, the one of Spark's shuffles by default.  Both loads come from counts: no row is moved.
+    """
+    source = F.spark_partition_id() if read_by is None else read_by
+    read = rows.groupBy(source.cast("int").alias("partition_index")).agg(F.count(F.lit(1)).alias("records"))
+    by_key = keyed_load(rows, partitions, key, hashed).withColumn("partition_index", F.col("subtask").cast("int"))
+
+    def stage(load: DataFrame, name: str) -> DataFrame:
+        return load.select(F.lit(name).alias("stage"), "partition_index", "records")
 
-    return load(rows, "as_read").unionByName(load(rows.select(key).repartition(partitions, key), "by_key"))
+    return stage(read, "as_read").unionByName(stage(by_key, "by_key"))
 
 
-def keyed_load(rows: DataFrame, partitions: int = 4, key: str = "tenant_id") -> DataFrame:
+def keyed_load(rows: DataFrame, partitions: int = 4, key: str = "tenant_id", hashed: Column | None = None) -> DataFrame:
     """Records and hot-tenant records each keyed partition would own.
 
     Only the number of keys per partition matters, so rows are counted per key before anything else.
     """
-    owner = F.pmod(F.hash(key), F.lit(partitions))
+    owner = F.pmod(F.hash(key) if hashed is None else hashed, F.lit(partitions)).cast("int")
     per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return per_key.groupBy(owner.alias("subtask")).agg(
         F.sum("n").alias("records"),

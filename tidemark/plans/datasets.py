@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.prefix import running_number
+from tidemark.operators.prefix import Running, blocked_running, running_number
 from tidemark.schema import HOT_TENANT
 from tidemark.session import configure
 
@@ -170,16 +170,23 @@ def callbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to when each run was flushed: two to their ends, one not to its end, and one not at all."""
+    ended = attempts(spark, sf_dir).filter("run_id <> 'run-2'").groupBy("run_id").agg(F.max("enqueued_ms").alias("last_ms"))
+    return ended.selectExpr("run_id", "last_ms - if(run_id = 'run-3', 86400000L, 0L) AS flushed_ms")
+
+
 def client_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sender statistics as JSON text, in the shapes retry extraction has to cope with."""
-    text = """CASE eid % 6
-        WHEN 0 THEN concat('{"txretries":', eid % 9, '}')
-        WHEN 1 THEN concat('{"brokers":{"a":{"txretries":', eid % 5, '},"b":{"txretries":', eid % 7, '}}}')
-        WHEN 2 THEN concat('{"txretries":true,"brokers":{"a":{"txretries":', eid % 4, '},"b":7}}')
-        WHEN 3 THEN concat('{"txretries":-', 1 + eid % 3, '}')
-        WHEN 4 THEN concat('{"brokers":{"a":{"txretries":-2},"b":{"txretries":', eid % 8, '},"c":{}}}')
+    text = """CASE user_id % 6
+        WHEN 0 THEN concat('{"txretries":', v, '}')
+        WHEN 1 THEN concat('{"brokers":{"a":{"txretries":', v, '},"b":{"txretries":', v % 7, '}}}')
+        WHEN 2 THEN concat('{"txretries":true,"brokers":{"a":{"txretries":', v, '},"b":7}}')
+        WHEN 3 THEN concat('{"txretries":-', 1 + v, '}')
+        WHEN 4 THEN concat('{"brokers":{"a":{"txretries":-2},"b":{"txretries":', v, '},"c":{}}}')
         ELSE '{"brokers":[1,2]}' END"""
-    return base(spark, sf_dir).selectExpr("concat('run-', eid % 4) AS run_id", "eid", f"{text} AS statistics")
+    counted = base(spark, sf_dir).selectExpr("eid", "user_id", "cast(floor(metric_value) AS bigint) AS v")
+    return counted.selectExpr("concat('run-', eid % 4) AS run_id", "eid", f"{text} AS statistics")
 
 
 # Names of the metric series this package reports.
@@ -195,29 +202,39 @@ JOBS = ("broker", "stream-driver", "stream-executor", "warehouse")
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sixteen series scraped every five seconds, each event being one sample."""
-    slotted = table(spark, sf_dir, "events").selectExpr(
-        "event_id", "event_id % 16 AS slot", "event_id div 16 AS scrape", "1704067200000 + event_id div 16 * 5000 AS ts_ms"
+    """Every event as one sample at its own time: the type of event says which metric, the user which series.
+
+    Counters are running sums of the values of their events, one of them starting again at 5,000; gauges show the
+    value itself.  The sums are made in blocks of a day.
+    """
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "cast(ts AS timestamp) AS ts", "user_id", "event_type", "value", "cast(floor(value) AS bigint) AS whole"
+    )
+    named = events.selectExpr(
+        "*",
+        f"""CASE event_type WHEN 'click' THEN '{VALID_TOTAL}' WHEN 'view' THEN '{KEYED_TOTAL}' WHEN 'signup' THEN '{PENDING}'
+            WHEN 'error' THEN {choose('user_id % 3', (UP, INPUT_WATERMARK, HOT_STATE))}
+            ELSE {choose('user_id % 2', (LOCAL_BYTES, REMOTE_BYTES))} END AS name""",
+        "if(event_type = 'view' AND user_id % 10 < 7, 2, user_id % 4) AS shard",
+    )
+    counted = blocked_running(
+        named, ["name", "shard"], ["ts", "event_id"], F.expr("unix_seconds(ts) div 86400"),
+        {"total": Running("sum", F.col("whole"))},
     )
-    samples = slotted.selectExpr(
+    samples = counted.selectExpr(
         "event_id",
-        "timestamp_millis(ts_ms) AS ts",
-        f"""CASE WHEN slot < 4 THEN '{VALID_TOTAL}' WHEN slot < 8 THEN '{KEYED_TOTAL}' WHEN slot < 12 THEN '{PENDING}'
-            WHEN slot = 12 THEN '{UP}' WHEN slot = 13 THEN '{INPUT_WATERMARK}' WHEN slot = 14 THEN '{HOT_STATE}'
-            WHEN scrape % 2 = 0 THEN '{LOCAL_BYTES}' ELSE '{REMOTE_BYTES}' END AS name""",
-        """CASE WHEN slot < 12 THEN slot % 4 WHEN slot = 12 THEN NULL WHEN slot = 15 THEN event_id div 32 % 4
-            ELSE scrape % 4 END AS subtask""",
-        f"if(slot = 12, {choose('scrape % 4', JOBS)}, 'stream-executor') AS job",
-        "if(event_id % 320 = 1, concat('j', event_id % 7), NULL) AS runtime_id",
-        """cast(CASE WHEN slot < 4 THEN scrape % 500 * (10 + slot)
-            WHEN slot < 8 THEN scrape % 700 * if(slot = 6, 95, 5)
-            WHEN slot < 12 AND scrape % 50 = 7 THEN double('NaN')
-            WHEN slot < 12 THEN scrape * (slot + 3) % 977
-            WHEN slot = 12 THEN if(event_id div 512 % 5 = 3, 0, 1)
-            WHEN slot = 13 THEN ts_ms - event_id * 13 % 9000
-            WHEN slot = 14 THEN if(scrape % 4 = 2, scrape, 0)
-            WHEN scrape % 2 = 0 THEN scrape * 11 % 400
-            ELSE 0 END AS double) AS value""",
+        "ts",
+        "name",
+        f"if(name = '{UP}', NULL, shard) AS subtask",
+        f"if(name = '{UP}', {choose('user_id div 3 % 4', JOBS)}, 'stream-executor') AS job",
+        "if(event_type = 'click' AND whole = 13, concat('j', user_id % 7), NULL) AS runtime_id",
+        f"""cast(CASE name WHEN '{VALID_TOTAL}' THEN total % 5000 WHEN '{KEYED_TOTAL}' THEN total
+            WHEN '{PENDING}' THEN if(user_id % 50 = 7, double('NaN'), value)
+            WHEN '{UP}' THEN if(value > 60, 0, 1)
+            WHEN '{INPUT_WATERMARK}' THEN unix_millis(ts) - 100 * whole
+            WHEN '{HOT_STATE}' THEN if(shard = 2, whole, 0)
+            WHEN '{LOCAL_BYTES}' THEN whole
+            ELSE if(value > 300, whole, 0) END AS double) AS value""",
     )
     labels = """map_filter(map('subtask_index', cast(subtask AS string), 'job', job, 'job_id', runtime_id),
         (k, v) -> v IS NOT NULL) AS labels"""

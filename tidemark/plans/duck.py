@@ -213,40 +213,43 @@ callbacks AS (
     eid % 13 AS tx_retries
   FROM sends WHERE producer_sequence % 97 <> 0
 ),
+flushes AS (
+  SELECT run_id, max(enqueued_ms) - CASE run_id WHEN 'run-3' THEN 86400000 ELSE 0 END AS flushed_ms
+  FROM attempts WHERE run_id <> 'run-2' GROUP BY 1
+),
 delivery AS (
   SELECT a.*, c."partition", c."offset", c.acked_ms,
-    CASE WHEN c.failed IS NULL THEN 'undelivered' WHEN c.failed THEN 'failed' ELSE 'acked' END AS status,
+    CASE WHEN c.failed THEN 'failed' WHEN NOT c.failed THEN 'acked'
+      WHEN a.enqueued_ms <= f.flushed_ms THEN 'undelivered' ELSE 'pending' END AS status,
     CASE WHEN c.acked_ms IS NOT NULL THEN greatest(0, c.acked_ms - a.enqueued_ms) END AS latency_ms,
     CAST(coalesce(c.tx_retries, 0) AS BIGINT) AS tx_retries
-  FROM attempts a LEFT JOIN callbacks c USING (run_id, producer_sequence)
+  FROM attempts a LEFT JOIN callbacks c USING (run_id, producer_sequence) LEFT JOIN flushes f USING (run_id)
 )"""
 
 METRICS = f"""
-samples AS (
-  SELECT event_id, {at("1704067200000 + (event_id // 16) * 5000")} AS ts,
-    CASE WHEN event_id % 16 < 4 THEN 'pipeline_records_valid_total'
-         WHEN event_id % 16 < 8 THEN 'pipeline_keyed_records_total'
-         WHEN event_id % 16 < 12 THEN 'pipeline_source_pending_records'
-         WHEN event_id % 16 = 12 THEN 'up'
-         WHEN event_id % 16 = 13 THEN 'pipeline_input_watermark_ms'
-         WHEN event_id % 16 = 14 THEN 'pipeline_hot_tenant_state_count'
-         WHEN (event_id // 16) % 2 = 0 THEN 'pipeline_shuffle_local_bytes_per_second'
-         ELSE 'pipeline_shuffle_remote_bytes_per_second' END AS name,
-    CASE WHEN event_id % 16 < 12 THEN event_id % 4 WHEN event_id % 16 = 12 THEN NULL
-         WHEN event_id % 16 = 15 THEN (event_id // 32) % 4 ELSE (event_id // 16) % 4 END AS subtask,
-    CASE WHEN event_id % 16 = 12 THEN {sql_list(JOBS)}[(event_id // 16) % 4 + 1] ELSE 'stream-executor' END AS job,
-    CASE WHEN event_id % 320 = 1 THEN 'j' || event_id % 7 END AS runtime_id,
-    CASE WHEN event_id % 16 < 4 THEN CAST(((event_id // 16) % 500) * (10 + event_id % 16) AS DOUBLE)
-         WHEN event_id % 16 < 8 THEN CAST(((event_id // 16) % 700) * CASE WHEN event_id % 16 = 6 THEN 95 ELSE 5 END AS DOUBLE)
-         WHEN event_id % 16 < 12 AND (event_id // 16) % 50 = 7 THEN CAST('NaN' AS DOUBLE)
-         WHEN event_id % 16 < 12 THEN CAST(((event_id // 16) * (event_id % 16 + 3)) % 977 AS DOUBLE)
-         WHEN event_id % 16 = 12 THEN CASE WHEN (event_id // 512) % 5 = 3 THEN 0.0 ELSE 1.0 END
-         WHEN event_id % 16 = 13 THEN CAST(1704067200000 + (event_id // 16) * 5000 - (event_id * 13) % 9000 AS DOUBLE)
-         WHEN event_id % 16 = 14 THEN CASE WHEN (event_id // 16) % 4 = 2 THEN CAST(event_id // 16 AS DOUBLE) ELSE 0.0 END
-         WHEN (event_id // 16) % 2 = 0 THEN CAST(((event_id // 16) * 11) % 400 AS DOUBLE)
-         ELSE 0.0 END AS value
+named AS (
+  SELECT *, CAST(floor(value) AS BIGINT) AS whole,
+    CASE event_type WHEN 'click' THEN 'pipeline_records_valid_total' WHEN 'view' THEN 'pipeline_keyed_records_total'
+      WHEN 'signup' THEN 'pipeline_source_pending_records'
+      WHEN 'error' THEN ['up', 'pipeline_input_watermark_ms', 'pipeline_hot_tenant_state_count'][user_id % 3 + 1]
+      ELSE ['pipeline_shuffle_local_bytes_per_second', 'pipeline_shuffle_remote_bytes_per_second'][user_id % 2 + 1] END AS name,
+    CASE WHEN event_type = 'view' AND user_id % 10 < 7 THEN 2 ELSE user_id % 4 END AS shard
   FROM events
 ),
+counted AS (SELECT *, CAST(sum(whole) OVER (PARTITION BY name, shard ORDER BY ts, event_id) AS BIGINT) AS total FROM named),
+samples AS (
+  SELECT event_id, ts, name, CASE WHEN name <> 'up' THEN shard END AS subtask,
+    CASE WHEN name = 'up' THEN {sql_list(JOBS)}[(user_id // 3) % 4 + 1] ELSE 'stream-executor' END AS job,
+    CASE WHEN event_type = 'click' AND whole = 13 THEN 'j' || user_id % 7 END AS runtime_id,
+    CAST(CASE name WHEN 'pipeline_records_valid_total' THEN total % 5000 WHEN 'pipeline_keyed_records_total' THEN total
+      WHEN 'pipeline_source_pending_records' THEN CASE WHEN user_id % 50 = 7 THEN CAST('NaN' AS DOUBLE) ELSE value END
+      WHEN 'up' THEN CASE WHEN value > 60 THEN 0 ELSE 1 END
+      WHEN 'pipeline_input_watermark_ms' THEN epoch_us(ts) // 1000 - 100 * whole
+      WHEN 'pipeline_hot_tenant_state_count' THEN CASE WHEN shard = 2 THEN whole ELSE 0 END
+      WHEN 'pipeline_shuffle_local_bytes_per_second' THEN whole
+      ELSE CASE WHEN value > 300 THEN whole ELSE 0 END END AS DOUBLE) AS value
+  FROM counted
+),
 series AS (
   SELECT *, concat_ws(',', 'job=' || job, 'job_id=' || runtime_id, 'subtask_index=' || subtask) AS labels_key FROM samples
 )"""
@@ -276,14 +279,14 @@ log_docs AS (SELECT *, json_extract_string(raw, '$.level') AS level, json_extrac
 
 STATISTICS = """
 statistics AS (
-  SELECT 'run-' || eid % 4 AS run_id, eid, CASE eid % 6
-    WHEN 0 THEN '{"txretries":' || eid % 9 || '}'
-    WHEN 1 THEN '{"brokers":{"a":{"txretries":' || eid % 5 || '},"b":{"txretries":' || eid % 7 || '}}}'
-    WHEN 2 THEN '{"txretries":true,"brokers":{"a":{"txretries":' || eid % 4 || '},"b":7}}'
-    WHEN 3 THEN '{"txretries":-' || 1 + eid % 3 || '}'
-    WHEN 4 THEN '{"brokers":{"a":{"txretries":-2},"b":{"txretries":' || eid % 8 || '},"c":{}}}'
+  SELECT 'run-' || eid % 4 AS run_id, eid, user_id, v, CASE user_id % 6
+    WHEN 0 THEN '{"txretries":' || v || '}'
+    WHEN 1 THEN '{"brokers":{"a":{"txretries":' || v || '},"b":{"txretries":' || v % 7 || '}}}'
+    WHEN 2 THEN '{"txretries":true,"brokers":{"a":{"txretries":' || v || '},"b":7}}'
+    WHEN 3 THEN '{"txretries":-' || 1 + v || '}'
+    WHEN 4 THEN '{"brokers":{"a":{"txretries":-2},"b":{"txretries":' || v || '},"c":{}}}'
     ELSE '{"brokers":[1,2]}' END AS statistics
-  FROM base
+  FROM (SELECT *, CAST(floor(metric_value) AS BIGINT) AS v FROM base) b
 )"""
 
 

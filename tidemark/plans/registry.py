@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.config import PipelineConfig
 from tidemark.functions import clock, lateness, numbers, text
+from tidemark.functions.numbers import text_hash
 from tidemark.operators import (
     delivery,
     dlq,
@@ -20,6 +21,7 @@ from tidemark.operators import (
     keyed,
     logs,
     metrics,
+    placement,
     reconcile,
     skew,
     summaries,
@@ -715,37 +717,89 @@ def key_partition_invariant(spark, sf_dir):
     return skew.key_partition_invariant(data.raw(spark, sf_dir))
 
 
-@query("partition_load_before_after")
+TENANT_HASH = "('0x' || left(md5(tenant_id), 7))::BIGINT"
+
+
+@query(
+    "partition_load_before_after",
+    duck.over_arrivals("""
+SELECT 'as_read' AS stage, CAST(src_partition AS INTEGER) AS partition_index, count(*) AS records FROM arrivals GROUP BY 2
+UNION ALL SELECT 'by_key', CAST(('0x' || left(md5(key), 7))::BIGINT % 4 AS INTEGER), count(*) FROM arrivals GROUP BY 2"""),
+)
 def partition_load_before_after(spark, sf_dir):
-    return skew.partition_load(data.telemetry(spark, sf_dir))
+    arrived = data.arrivals(spark, sf_dir)
+    return skew.partition_load(arrived, "key", 4, F.col("src_partition"), text_hash(F.col("key")))
+
+
+@query(
+    "keyed_load",
+    duck.over_telemetry(f"""
+SELECT CAST({TENANT_HASH} % 4 AS INTEGER) AS subtask, count(*) AS records,
+  count(*) FILTER (tenant_id = 'tenant-hot') AS hot_records FROM telemetry GROUP BY 1"""),
+)
+def keyed_load(spark, sf_dir):
+    return skew.keyed_load(data.telemetry(spark, sf_dir), hashed=text_hash(F.col("tenant_id")))
 
 
 @query(
     "hot_owner_check",
-    duck.over_telemetry("""
+    duck.over_telemetry(f"""
 SELECT CAST(sum(n) AS BIGINT) AS records, count(*) FILTER (hot > 0) AS owners,
   CAST(coalesce(max(CASE WHEN hot > 0 THEN n END), 0) AS BIGINT) AS owner_records,
   count(*) FILTER (hot > 0) = 1 AS single_owner,
   2 * coalesce(max(CASE WHEN hot > 0 THEN n END), 0) > sum(n) AS owner_has_majority
-FROM (SELECT CASE WHEN tenant_id = 'tenant-hot' THEN 0 ELSE CAST(right(tenant_id, 3) AS INTEGER) % 4 END AS subtask,
+FROM (SELECT {TENANT_HASH} % 4 AS subtask,
         count(*) AS n, count(*) FILTER (tenant_id = 'tenant-hot') AS hot FROM telemetry GROUP BY 1)"""),
 )
 def hot_owner_check(spark, sf_dir):
-    tenant = F.col("tenant_id")
-    owner = F.when(tenant == HOT_TENANT, 0).otherwise(F.pmod(F.right(tenant, F.lit(3)).cast("int"), F.lit(4)))
-    per_tenant = data.telemetry(spark, sf_dir).groupBy("tenant_id").agg(F.count(F.lit(1)).alias("n"))
-    load = per_tenant.groupBy(owner.alias("subtask")).agg(
-        F.sum("n").alias("records"),
-        F.coalesce(F.sum(F.when(tenant == HOT_TENANT, F.col("n"))), F.lit(0)).alias("hot_records"),
-    )
-    return skew.hot_owner_check(load)
+    return skew.hot_owner_check(keyed_load(spark, sf_dir))
+
+
+# The tenants of the table, cut and placed as operators/placement.py says, one item after the other.
+PLACED = f"""
+WITH RECURSIVE counts AS (SELECT tenant_id, count(*) AS n FROM telemetry GROUP BY 1),
+whole AS (SELECT sum(n) AS total FROM counts),
+items AS (
+  SELECT 'k' || tenant_id AS item, n, CAST(ceil(n * 4 / total) AS BIGINT) AS pieces FROM counts, whole WHERE n * 64 >= total
+  UNION ALL SELECT 'b' || {TENANT_HASH} % 64, CAST(sum(n) AS BIGINT), 1 FROM counts, whole WHERE n * 64 < total GROUP BY 1
+),
+cut AS (SELECT item, p AS piece, n // pieces + CASE WHEN p < n % pieces THEN 1 ELSE 0 END AS records
+  FROM items, unnest(range(pieces)) u(p)),
+turns AS (SELECT *, row_number() OVER (ORDER BY records DESC, item, piece) AS turn FROM cut),
+steps AS (
+  SELECT CAST(0 AS BIGINT) AS turn, [0::BIGINT, 0, 0, 0] AS loads, CAST(0 AS BIGINT) AS owner
+  UNION ALL
+  SELECT t.turn, list_transform(s.loads, lambda x, i: CASE WHEN i = list_position(s.loads, list_min(s.loads)) THEN x + t.records ELSE x END),
+    list_position(s.loads, list_min(s.loads)) - 1
+  FROM steps s JOIN turns t ON t.turn = s.turn + 1
+)
+SELECT t.item, CAST(t.piece AS INTEGER) AS piece, t.records, CAST(s.owner AS INTEGER) AS owner
+FROM turns t JOIN steps s USING (turn)"""
+
+
+@query("placement_plan", duck.over_telemetry(PLACED.replace("WITH RECURSIVE", ",", 1)).replace("WITH ", "WITH RECURSIVE ", 1))
+def placement_plan(spark, sf_dir):
+    return placement.plan(data.telemetry(spark, sf_dir), "tenant_id", 4, text_hash)
+
+
+@query("placed_load")
+def placed_load(spark, sf_dir):
+    """Records of each owner once every row was given its own; event hashes deal the rows of a split tenant."""
+    rows = data.telemetry(spark, sf_dir).select("tenant_id", "event_id")
+    owned = placement.with_owner(rows, placement_plan(spark, sf_dir), "tenant_id", "event_id", 4, text_hash)
+    return owned.groupBy("owner").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("tenant_id").alias("tenants"))
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.metric_samples(spark, sf_dir)
 
 
-def minute_start(seconds: int):
+# Events lie minutes apart in the given tables, so ranges here are hours: one, four, and a day.
+HOUR = 3_600
+QUARTER = 900
+
+
+def window_start(seconds: int):
     return F.timestamp_seconds(F.floor(F.unix_seconds("ts") / F.lit(seconds)) * F.lit(seconds))
 
 
@@ -756,14 +810,14 @@ def duck_window(seconds: int) -> str:
 @query(
     "subtask_coverage",
     duck.over_metrics(f"""
-SELECT name, {duck_window(20)} AS window_start, count(DISTINCT subtask) AS reported,
+SELECT name, {duck_window(6 * HOUR)} AS window_start, count(DISTINCT subtask) AS reported,
   concat_ws(',', CASE WHEN count(*) FILTER (subtask = 0) = 0 THEN '0' END, CASE WHEN count(*) FILTER (subtask = 1) = 0 THEN '1' END,
     CASE WHEN count(*) FILTER (subtask = 2) = 0 THEN '2' END, CASE WHEN count(*) FILTER (subtask = 3) = 0 THEN '3' END) AS missing
 FROM samples WHERE subtask IS NOT NULL GROUP BY ALL"""),
 )
 def subtask_coverage(spark, sf_dir):
     readings = samples(spark, sf_dir).select(
-        "name", minute_start(20).alias("window_start"), metrics.label("subtask_index").cast("int").alias("subtask")
+        "name", window_start(6 * HOUR).alias("window_start"), metrics.label("subtask_index").cast("int").alias("subtask")
     )
     return skew.subtask_coverage(readings.filter("subtask IS NOT NULL"), ["name", "window_start"])
 
@@ -771,7 +825,7 @@ def subtask_coverage(spark, sf_dir):
 @query(
     "shuffle_check",
     duck.over_metrics(f"""
-SELECT {duck_window(900)} AS window_start,
+SELECT {duck_window(24 * HOUR)} AS window_start,
   coalesce(max(CASE WHEN name = '{data.LOCAL_BYTES}' THEN value END), 0) > 0 AS local_moving,
   count(*) FILTER (name = '{data.REMOTE_BYTES}' AND value <> 0) = 0 AS remote_silent
 FROM samples WHERE name IN ('{data.LOCAL_BYTES}', '{data.REMOTE_BYTES}') GROUP BY 1"""),
@@ -779,7 +833,7 @@ FROM samples WHERE name IN ('{data.LOCAL_BYTES}', '{data.REMOTE_BYTES}') GROUP B
 def shuffle_check(spark, sf_dir):
     name = F.col("name")
     recent = samples(spark, sf_dir).filter(name.isin(data.LOCAL_BYTES, data.REMOTE_BYTES)).select(
-        minute_start(900).alias("window_start"),
+        window_start(24 * HOUR).alias("window_start"),
         F.when(name == data.LOCAL_BYTES, F.col("value")).alias("local_recent"),
         F.when(name == data.REMOTE_BYTES, F.col("value")).alias("remote_recent"),
     )
@@ -794,7 +848,7 @@ EVIDENCE_OF = {
 }
 
 
-def evidence(spark: SparkSession, sf_dir: str, seconds: int = 900) -> DataFrame:
+def evidence(spark: SparkSession, sf_dir: str, seconds: int = 24 * HOUR) -> DataFrame:
     """Per window: the largest value each subtask reported for each kind of evidence."""
     name = F.col("name")
     kind = F.coalesce(*[F.when(name == metric, F.lit(k)) for metric, k in EVIDENCE_OF.items()])
@@ -802,7 +856,7 @@ def evidence(spark: SparkSession, sf_dir: str, seconds: int = 900) -> DataFrame:
         samples(spark, sf_dir)
         .filter(name.isin(*EVIDENCE_OF))
         .groupBy(
-            minute_start(seconds).alias("window_start"),
+            window_start(seconds).alias("window_start"),
             kind.alias("reading"),
             metrics.label("subtask_index").cast("int").alias("subtask"),
         )
@@ -835,7 +889,7 @@ DUCK_COVERAGE = ",\n    ".join(
     "verification_errors",
     duck.over_metrics(f"""
 , readings AS (
-  SELECT {duck_window(900)} AS window_start, CASE name WHEN '{data.KEYED_TOTAL}' THEN 'keyed_records'
+  SELECT {duck_window(24 * HOUR)} AS window_start, CASE name WHEN '{data.KEYED_TOTAL}' THEN 'keyed_records'
       WHEN '{data.HOT_STATE}' THEN 'hot_state' WHEN '{data.LOCAL_BYTES}' THEN 'local_recent'
       ELSE 'remote_recent' END AS kind, CAST(subtask AS INTEGER) AS subtask, max(value) AS value
   FROM samples WHERE name IN ({", ".join("'" + n + "'" for n in EVIDENCE_OF)}) GROUP BY ALL
@@ -867,7 +921,7 @@ def verification_errors(spark, sf_dir):
 
 
 def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delivery.delivery_log(data.attempts(spark, sf_dir), data.callbacks(spark, sf_dir))
+    return delivery.delivery_log(data.attempts(spark, sf_dir), data.callbacks(spark, sf_dir), data.flushes(spark, sf_dir))
 
 
 @query(
@@ -886,8 +940,7 @@ SELECT run_id, count(*) AS attempted, CAST(sum(payload_bytes) AS BIGINT) AS atte
   count(*) FILTER (status = 'undelivered') AS undelivered, max(tx_retries) AS tx_retries,
   round(coalesce(avg(latency_ms), 0), 3) AS ack_latency_avg_ms,
   round(CAST(coalesce(max(latency_ms), 0) AS DOUBLE), 3) AS ack_latency_max_ms,
-  CAST(0 AS BIGINT) AS pending,
-  count(*) = count(*) FILTER (status IN ('acked', 'failed', 'undelivered')) AS reconciled
+  count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'pending') = 0 AS reconciled
 FROM delivery GROUP BY 1"""
 
 
@@ -899,7 +952,7 @@ def delivery_summary(spark, sf_dir):
 @query(
     "run_gates",
     duck.over_delivery("""
-SELECT run_id, count(*) > 0 AND bool_and(status = 'acked') AS fully_acked, bool_and(status = 'acked') AS succeeded
+SELECT run_id, count(*) > 0 AND bool_and(status = 'acked') AS fully_acked, count(*) FILTER (status IN ('failed', 'undelivered')) = 0 AS succeeded
 FROM delivery GROUP BY 1"""),
 )
 def run_gates(spark, sf_dir):
@@ -947,8 +1000,7 @@ def delivery_trace_sample(spark, sf_dir):
 
 
 RETRIES = """
-SELECT run_id, eid, CAST(CASE eid % 6 WHEN 0 THEN eid % 9 WHEN 1 THEN eid % 5 + eid % 7 WHEN 2 THEN eid % 4 WHEN 3 THEN 0
-    WHEN 4 THEN eid % 8 ELSE 0 END AS BIGINT) AS tx_retries FROM statistics"""
+SELECT run_id, eid, CAST(CASE user_id % 6 WHEN 0 THEN v WHEN 1 THEN v + v % 7 WHEN 2 THEN v WHEN 4 THEN v ELSE 0 END AS BIGINT) AS tx_retries FROM statistics"""
 
 
 @query("tx_retries", duck.query(RETRIES, duck.BASE, duck.STATISTICS))
@@ -1046,10 +1098,10 @@ changes AS (
   FROM steps GROUP BY ALL
 )
 """
-# Moments of a 15-second grid whose look-back holds a sample.
+# Moments of a 15-minute grid whose look-back holds a sample.
 MOMENTS = """generate_series(
-    CAST(ceil(epoch_us(ts) / 15000000.0::DOUBLE) AS BIGINT) * 15,
-    CAST(ceil((epoch_us(ts) + {seconds} * 1000000) / 15000000.0::DOUBLE) AS BIGINT) * 15 - 15, 15)"""
+    CAST(ceil(epoch_us(ts) / 900000000.0::DOUBLE) AS BIGINT) * 900,
+    CAST(ceil((epoch_us(ts) + {seconds} * 1000000::BIGINT) / 900000000.0::DOUBLE) AS BIGINT) * 900 - 900, 900)"""
 
 
 def duck_changes(select: str, seconds: int) -> str:
@@ -1060,76 +1112,76 @@ def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.select_series(samples(spark, sf_dir), "pipeline_.*_total")
 
 
-@query("counter_rate", duck_changes("SELECT name, labels_key, window_start, increase, rate FROM changes", 60))
+@query("counter_rate", duck_changes("SELECT name, labels_key, window_start, increase, rate FROM changes", HOUR))
 def counter_rate(spark, sf_dir):
-    return metrics.counter_change(counters(spark, sf_dir), 60)
+    return metrics.counter_change(counters(spark, sf_dir), HOUR)
 
 
 @query(
     "counter_increase",
-    duck_changes("SELECT name, labels_key, window_start, increase FROM changes WHERE increase > 0", 300),
+    duck_changes("SELECT name, labels_key, window_start, increase FROM changes WHERE increase > 0", 4 * HOUR),
 )
 def counter_increase(spark, sf_dir):
-    return metrics.counters_increased(counters(spark, sf_dir), 300)
+    return metrics.counters_increased(counters(spark, sf_dir), 4 * HOUR)
 
 
 @query(
     "counter_rate_sliding",
     duck_changes(
         f"""
-, spread AS (SELECT name, labels_key, step, unnest({MOMENTS.format(seconds=60)}) AS at_s FROM steps)
+, spread AS (SELECT name, labels_key, step, unnest({MOMENTS.format(seconds=HOUR)}) AS at_s FROM steps)
 SELECT name, labels_key, make_timestamp(at_s * 1000000) AS at, round(sum(step), 6) AS increase,
-  round(round(sum(step), 6) / 60.0::DOUBLE, 6) AS rate FROM spread GROUP BY ALL""",
-        60,
+  round(round(sum(step), 6) / {HOUR}.0::DOUBLE, 6) AS rate FROM spread GROUP BY ALL""",
+        HOUR,
     ),
 )
 def counter_rate_sliding(spark, sf_dir):
-    return metrics.counter_change(counters(spark, sf_dir), 60, every=15)
+    return metrics.counter_change(counters(spark, sf_dir), HOUR, every=QUARTER)
 
 
 @query(
     "rate_by_job",
     duck_changes(
         f"""
-SELECT name, job, {duck_window(60)} AS window_start, round(sum(step) / 60.0::DOUBLE, 6) AS sum_rate FROM steps GROUP BY ALL""",
-        60,
+SELECT name, job, {duck_window(HOUR)} AS window_start, round(sum(step) / {HOUR}.0::DOUBLE, 6) AS sum_rate FROM steps GROUP BY ALL""",
+        HOUR,
     ),
 )
 def rate_by_job(spark, sf_dir):
-    return metrics.rate_by(counters(spark, sf_dir), ["job"])
+    return metrics.rate_by(counters(spark, sf_dir), ["job"], HOUR)
 
 
 @query(
     "max_over_time_sliding",
     duck.over_metrics(f"""
-, spread AS (SELECT name, labels_key, value, unnest({MOMENTS.format(seconds=120)}) AS at_s
+, spread AS (SELECT name, labels_key, value, unnest({MOMENTS.format(seconds=4 * HOUR)}) AS at_s
   FROM series WHERE name LIKE 'pipeline_shuffle_%')
 SELECT name, labels_key, make_timestamp(at_s * 1000000) AS at, max(value) AS max_value FROM spread GROUP BY ALL"""),
 )
 def max_over_time_sliding(spark, sf_dir):
     chosen = metrics.select_series(samples(spark, sf_dir), "pipeline_shuffle_.*")
-    return metrics.max_over_time(chosen, 120, every=15)
+    return metrics.max_over_time(chosen, 4 * HOUR, every=QUARTER)
 
 
 @query(
     "gauge_deriv",
     duck.over_metrics(f"""
-SELECT name, labels_key, {duck_window(120)} AS window_start,
-  round(regr_slope(value, epoch_us(ts) / 1000000.0 - epoch_us({duck_window(120)}) / 1000000.0), 6) AS slope
+SELECT name, labels_key, {duck_window(4 * HOUR)} AS window_start,
+  round(regr_slope(value, epoch_us(ts) / 1000000.0::DOUBLE - epoch_us({duck_window(4 * HOUR)}) / 1000000.0::DOUBLE), 6) AS slope
 FROM series WHERE name = '{data.PENDING}' AND NOT isnan(value) GROUP BY 1, 2, 3 HAVING count(*) > 1"""),
 )
 def gauge_deriv(spark, sf_dir):
-    return metrics.slope(metrics.select_series(samples(spark, sf_dir), data.PENDING))
+    return metrics.slope(metrics.select_series(samples(spark, sf_dir), data.PENDING), 4 * HOUR)
 
 
 @query(
     "max_over_time",
     duck.over_metrics(f"""
-SELECT name, labels_key, {duck_window(900)} AS window_start, max(value) AS max_value
+SELECT name, labels_key, {duck_window(4 * HOUR)} AS window_start, max(value) AS max_value
 FROM series WHERE name LIKE 'pipeline_shuffle_%' GROUP BY ALL"""),
 )
 def max_over_time(spark, sf_dir):
-    return metrics.max_over_time(metrics.select_series(samples(spark, sf_dir), "pipeline_shuffle_.*"))
+    return metrics.max_over_time(metrics.select_series(samples(spark, sf_dir), "pipeline_shuffle_.*"), 4 * HOUR)
 
 
 @query(
@@ -1166,10 +1218,15 @@ def instant_vector(spark, sf_dir):
 @query(
     "sum_or_zero",
     duck.over_metrics("""
-SELECT coalesce(sum(value), 0.0)::DOUBLE AS total FROM samples WHERE name = 'pipeline_failed_queries_total'"""),
+SELECT 'down' AS what, coalesce(sum(1 - value), 0.0)::DOUBLE AS total FROM samples WHERE name = 'up'
+UNION ALL SELECT 'failed', coalesce(sum(value), 0.0)::DOUBLE FROM samples WHERE name = 'pipeline_failed_queries_total'"""),
 )
 def sum_or_zero(spark, sf_dir):
-    return metrics.sum_or_zero(metrics.select_series(samples(spark, sf_dir), "pipeline_failed_queries_total"))
+    """How often a target was down, and the failures of a metric that nothing reports."""
+    down = metrics.select_series(samples(spark, sf_dir), data.UP).withColumn("value", 1 - F.col("value"))
+    failed = metrics.select_series(samples(spark, sf_dir), "pipeline_failed_queries_total")
+    named = [metrics.sum_or_zero(rows).select(F.lit(what).alias("what"), "total") for what, rows in (("down", down), ("failed", failed))]
+    return named[0].unionByName(named[1])
 
 
 @query(
@@ -1187,29 +1244,31 @@ def watermark_lag(spark, sf_dir):
     duck.over_metrics("""
 , flagged AS (
   SELECT name, labels_key, ts, value = 0 AS holds,
-    sum(CASE WHEN value = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY name, labels_key ORDER BY ts ROWS UNBOUNDED PRECEDING) AS span
-  FROM series WHERE name = 'up'
+    sum(CASE WHEN value = 0 AND NOT silent THEN 0 ELSE 1 END) OVER (PARTITION BY name, labels_key ORDER BY ts ROWS UNBOUNDED PRECEDING) AS span
+  FROM (SELECT *, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY name, labels_key ORDER BY ts)) > 43200000000, false) AS silent
+    FROM series WHERE name = 'up')
 )
-SELECT name, labels_key, min(ts) AS active_from, min(ts) + INTERVAL 20 SECOND AS fires_at, max(ts) AS active_to, count(*) AS samples
+SELECT name, labels_key, min(ts) AS active_from, min(ts) + INTERVAL 1 HOUR AS fires_at, max(ts) AS active_to, count(*) AS samples
 FROM flagged WHERE holds GROUP BY name, labels_key, span
-HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 20000000"""),
+HAVING epoch_us(max(ts)) // 1000000 - epoch_us(min(ts)) // 1000000 >= 3600"""),
 )
 def alerts_held(spark, sf_dir):
-    return metrics.alerts_held(metrics.select_series(samples(spark, sf_dir), data.UP), F.col("value") == 0, 20)
+    up = metrics.select_series(samples(spark, sf_dir), data.UP)
+    return metrics.alerts_held(up, F.col("value") == 0, HOUR, stale_seconds=12 * HOUR)
 
 
 @query(
     "missing_targets",
     duck.over_metrics(f"""
 , latest AS (
-  SELECT {duck_window(60)} AS window_start, job, arg_max(value, ts) AS value FROM samples WHERE name = 'up' GROUP BY 1, 2
+  SELECT {duck_window(12 * HOUR)} AS window_start, job, arg_max(value, ts) AS value FROM samples WHERE name = 'up' GROUP BY 1, 2
 )
 SELECT window_start, count(*) FILTER (value = 1) AS targets_up,
   concat_ws(',', {", ".join(f"CASE WHEN count(*) FILTER (job = '{j}' AND value = 1) = 0 THEN '{j}' END" for j in data.JOBS)}) AS missing
 FROM latest GROUP BY 1"""),
 )
 def missing_targets(spark, sf_dir):
-    return metrics.target_health(metrics.select_series(samples(spark, sf_dir), data.UP), data.JOBS)
+    return metrics.target_health(metrics.select_series(samples(spark, sf_dir), data.UP), data.JOBS, 12 * HOUR)
 
 
 @query(
