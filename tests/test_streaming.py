@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import PipelineConfig
 from tidemark.operators import logs
 from tidemark.plans import datasets
-from tidemark.sources import table, topics
+from tidemark.sources import capture, table, topics
 from tidemark.schema import DLQ_FIELDS
 from tidemark.streaming import sinks, tenant_state
 from tidemark.streaming.job import TelemetryJob
@@ -227,9 +227,16 @@ def test_switching_the_state_query_leaves_the_main_one_alone(spark, tmp_path):
     job.side.processAllAvailable()
     assert tenant_state.state_value(spark, paths.tenant_state(0)).first()["tenant_record_count"] == 3
     assert job.switch_tenant_state(False) is True
-    assert job.generation == 1 and job.main.runId == main and job.main.isActive
+    assert job.generation == 0 and job.main.runId == main and job.main.isActive
+    with pytest.raises(ValueError):
+        job.switch_tenant_state(True, parallelism=7)
+    put(folder, "1.json", [(0, {"tenant_id": "tenant-hot"})] * 2)
+    job.main.processAllAvailable()
+    assert job.switch_tenant_state(True) is True
+    job.side.processAllAvailable()
+    assert tenant_state.state_value(spark, paths.tenant_state(0)).first()["tenant_record_count"] == 5
     job.stop()
-    assert table.read_table(spark, paths.table).count() == 3
+    assert table.read_table(spark, paths.table).count() == 5
 
 
 def test_side_table_without_repeated_sends(spark, tmp_path):
@@ -249,3 +256,41 @@ def test_log_files_are_read_line_by_line(spark, tmp_path):
     assert lines.columns == ["service", "raw"] and lines.count() == 2
     row = logs.with_labels(logs.parse_lines(lines)).first()
     assert (row["service"], row["level"], row["component"]) == ("svc", "INFO", "c")
+
+
+def test_totals_are_carried_over_to_another_number_of_tasks(spark, tmp_path):
+    topic, paths = str(tmp_path / "topic"), Paths(str(tmp_path / "out"))
+
+    def more(counts: dict[str, int], first: int) -> None:
+        rows = []
+        for partition, (tenant, n) in enumerate(counts.items()):
+            rows += [(tenant, json.dumps(GOOD | {"tenant_id": tenant}), partition, first + i) for i in range(n)]
+        capture.write_capture(spark.createDataFrame(rows, "key string, value string, src_partition int, offset long"), topic)
+
+    def side(generation, start):
+        return capture.captured_topic(spark, topic, str(tmp_path / f"position-{generation}.json"), 20, starting=start)
+
+    def main():
+        return capture.captured_topic(spark, topic, str(tmp_path / "position-main.json"))
+
+    def totals(generation):
+        return {r["tenant_id"]: r["n"] for r in tenant_state.stored_totals(spark, paths.tenant_state(generation)).collect()}
+
+    more({"tenant-hot": 30, "a": 5, "quiet": 2}, 0)
+    config = PipelineConfig(trigger="0 seconds", tenant_state=True, parallelism=2)
+    job = TelemetryJob(spark, main, paths, config, side)
+    job.start()
+    job.switch_tenant_state(False)
+    assert totals(0) == {"tenant-hot": 30, "a": 5, "quiet": 2}
+    more({"tenant-hot": 12, "a": 1}, 30)
+    assert job.switch_tenant_state(True, parallelism=3) and job.generation == 1
+    job.side.processAllAvailable()
+    more({"tenant-hot": 3}, 42)
+    job.switch_tenant_state(False)
+    assert totals(1) == {"tenant-hot": 45, "a": 6, "quiet": 2}
+    assert job.switch_tenant_state(True) and job.generation == 1
+    job.stop()
+    assert totals(1) == {"tenant-hot": 45, "a": 6, "quiet": 2}
+    changes = spark.read.schema(tenant_state.OUTPUT).json(f"{paths.tenant_state(1)}-output")
+    assert changes.filter("tenant_id = 'quiet'").count() == 0
+    assert changes.filter("tenant_id = 'tenant-hot'").agg(F.min("previous"), F.max("total")).first()[:] == (30, 45)

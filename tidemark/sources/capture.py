@@ -7,6 +7,7 @@ progress reports and restarts speak of partitions as they do for a broker's topi
 * Only footers are read to learn which offsets a file holds; each footer is read once.
 * ``maxOffsetsPerTrigger`` is shared out in proportion to what each partition has waiting, one at least.
 * A range of offsets is cut into tasks of ``rowsPerTask`` offsets, so a hot partition is read by many tasks.
+* ``startingOffsets``, as JSON, says where a new query begins in the partitions it names; others begin at their first.
 * A batch that was planned is read again from the same offsets after a restart.  How far batches were planned is
   kept in ``position``, a file on shared storage, because Spark asks for the next end without saying where it is.
 """
@@ -69,6 +70,7 @@ class CapturedReader(DataSourceStreamReader):
         self.per_task = int(options.get("rowsPerTask", ROWS_PER_TASK))
         if self.per_task < 1 or (self.limit is not None and self.limit < 1):
             raise ValueError("maxOffsetsPerTrigger and rowsPerTask must be positive")
+        self.starting = {int(p): int(n) for p, n in json.loads(options.get("startingOffsets", "{}")).items()}
         self.files: dict[str, tuple[int, int, int] | None] = {}
 
     def initialOffset(self) -> dict:  # noqa: N802
@@ -76,6 +78,7 @@ class CapturedReader(DataSourceStreamReader):
         first: dict[int, int] = {}
         for partition, start, _ in filter(None, self.files.values()):
             first[partition] = min(start, first.get(partition, start))
+        first |= self.starting
         return {str(p): n for p, n in sorted(first.items())}
 
     def latestOffset(self) -> dict:  # noqa: N802
@@ -157,13 +160,20 @@ class CapturedTopic(DataSource):
 
 
 def captured_topic(
-    spark: SparkSession, path: str, position: str, max_offsets: int | None = None, rows_per_task: int = ROWS_PER_TASK
+    spark: SparkSession,
+    path: str,
+    position: str,
+    max_offsets: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    starting: dict[str, int] | None = None,
 ) -> DataFrame:
     """The arrivals under ``path`` as a stream with offsets; ``position`` is a file of its own for each query."""
     spark.dataSource.register(CapturedTopic)
     reader = spark.readStream.format(FORMAT).option("position", position).option("rowsPerTask", str(rows_per_task))
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets))
+    if starting:
+        reader = reader.option("startingOffsets", json.dumps(starting))
     return reader.load(path)
 
 

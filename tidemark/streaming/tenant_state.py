@@ -25,9 +25,14 @@ class TenantCounter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.total = handle.getValueState(STATE_NAME, "n bigint")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        self.total.update((int(initialState["n"].sum()),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         previous = int(self.total.get()[0]) if self.total.exists() else 0
         total = previous + sum(int(chunk["n"].sum()) for chunk in rows)
+        if total == previous:  # a tenant with a carried total and no record in the first batch
+            return
         self.total.update((total,))
         yield pd.DataFrame({"tenant_id": [key[0]], "previous": [previous], "total": [total]})
 
@@ -45,15 +50,18 @@ def count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from counted.to_batches()
 
 
-def tenant_totals(valid: DataFrame) -> DataFrame:
+def tenant_totals(valid: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """For each batch and tenant seen in it: the count before and after.
 
+    ``carried`` (tenant_id, n) are totals that a query with another checkpoint left; counting goes on from them.
+
     A hot tenant reaches its state owner as one row per Arrow batch instead of one per record.
     Processing has no event-time mode, so late records count like any other.
     """
     partial = valid.select("tenant_id").mapInArrow(count_chunks, "tenant_id string, n long")
     return partial.groupBy("tenant_id").transformWithStateInPandas(
-        statefulProcessor=TenantCounter(), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+        statefulProcessor=TenantCounter(), outputStructType=OUTPUT, outputMode="Append", timeMode="None",
+        initialState=None if carried is None else carried.groupBy("tenant_id"),
     )
 
 
@@ -68,15 +76,18 @@ def milestones(totals: DataFrame, tenant: str = HOT_TENANT) -> DataFrame:
 
 def start_tenant_state(
     spark: SparkSession, arrivals: DataFrame, checkpoint: str, output: str, available_now: bool = False,
-    trigger: str = "10 seconds", partitions: int | None = None,
+    trigger: str = "10 seconds", partitions: int | None = None, carried: DataFrame | None = None,
 ) -> StreamingQuery:
     """Keep the totals of valid records and append each batch's changes to ``output``.
 
+    ``carried`` is read in the first batch of a new checkpoint alone, whose source then has to begin where the
+    query that left those totals stopped.
+
     ``partitions`` is how many tasks share the state.  It is fixed when a checkpoint is first used,
     and taken from the session's shuffle partitions when not given.
     """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    totals = tenant_totals(validate.valid_rows(validate.validate(arrivals)))
+    totals = tenant_totals(validate.valid_rows(validate.validate(arrivals)), carried)
     stream = totals.writeStream.format("json").option("path", output).option("checkpointLocation", checkpoint)
     timed = stream.trigger(availableNow=True) if available_now else stream.trigger(processingTime=trigger)
     usual = spark.conf.get("spark.sql.shuffle.partitions")
@@ -89,9 +100,13 @@ def start_tenant_state(
         spark.conf.set("spark.sql.shuffle.partitions", usual)
 
 
+def stored_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(tenant_id, n) of all tenants, read from the state store of a stopped query."""
+    rows = spark.read.format("statestore").option("stateVarName", STATE_NAME).load(checkpoint)
+    return rows.select(F.col("key.tenant_id").alias("tenant_id"), F.col("value.n").alias("n"))
+
+
 def state_value(spark: SparkSession, checkpoint: str, tenant: str = HOT_TENANT) -> DataFrame:
     """The stored total of one tenant, read from the state store."""
-    rows = spark.read.format("statestore").option("stateVarName", STATE_NAME).load(checkpoint)
-    return rows.filter(F.col("key.tenant_id") == tenant).select(
-        F.col("key.tenant_id").alias("tenant_id"), F.col("value.n").alias("tenant_record_count")
-    )
+    stored = stored_totals(spark, checkpoint).filter(F.col("tenant_id") == tenant)
+    return stored.withColumnRenamed("n", "tenant_record_count")
