@@ -1,15 +1,18 @@
-"""Find benchmark items inside documents: needed shingles and SimHash windows, then an exact check.
+"""Find benchmark items inside documents: SimHash windows by Hamming blocks, then an exact check.
 
 An item is in a document if a stretch of the document half as long again as the item has at least the
 threshold's share of the item's shingle weight, where a shingle weighs 1 / (number of items that have it).
 
-Candidates come from windows of two kinds.  The shortest are single shingles: an item's rarest ones that
-together weigh more than it may lack are its needed shingles.  Any stretch that has the threshold's share
-has one of them, wherever and however often the item was changed, so no item is missed.  Longer windows
-get a 64-bit SimHash of their word shingles at every word: bit i is set if more than half of the window's
-shingle hashes have it set.  Their lengths are those of the items, on a grid of powers of two times 5: an
-item has windows at its head and tail as long as the grid allows, and windows of half that length laid
-end to end.
+Candidates come from windows alone.  A window's 64-bit SimHash has bit i set if more than half of its
+word shingles have it set in their hashes.  Windows of two kinds stand for an item.  Item-sized ones lie at
+its head and tail; their lengths are on a grid of powers of two times 5, the largest that the item allows, so
+that a document is hashed for a few lengths only.  Short ones of ``SHORT`` words, three shingles, begin at
+every word: those with one of the rarest shingles that together weigh three times what a find may lack.
+
+A find lacks a third of those at most.  If all weigh the same, they are a stretch of the item, and a changed
+word takes four shingles or more from it unless near its ends.  The changes then leave so few gaps for
+what is still there that one gap at least has three shingles, from 11 words on: that short window is
+the same in the document.  With unequal weights there is no such bound, and tests measure that finds are not missed.
 
 Fingerprints within ``RADIUS`` bits differ in at most RADIUS of RADIUS + 1 blocks of bits, so one block
 at least is equal: windows are looked up by each block in turn, which finds all fingerprints within the
@@ -34,6 +37,7 @@ from tidemark.llm import words
 from tidemark.session import materialize
 
 K = 5
+SHORT = K + 2
 RADIUS = 3
 THRESHOLD = 0.8
 GROUP = 4096
@@ -42,17 +46,25 @@ while GRID[-1] < 1_000_000:
     GRID.append(2 * GRID[-1])
 
 
-def simhashes(hashes: np.ndarray, length: int) -> np.ndarray:
-    """SimHash of the window of ``length`` words at each word where one fits."""
-    shingle = words.combine(hashes, min(K, length))
-    m = length - min(K, length) + 1
-    if len(shingle) < m:
-        return np.zeros(0, np.uint64)
-    bits = np.unpackbits(shingle.view(np.uint8).reshape(-1, 8), axis=1)
+def bit_counts(hashes: np.ndarray, k: int, most: int) -> np.ndarray:
+    """For each bit, how many of the k-word shingles before each word have it set; right for windows of up to ``most`` shingles."""
+    bits = np.unpackbits(words.combine(hashes, k).view(np.uint8).reshape(-1, 8), axis=1)
     # sums may wrap around: differences of two are right as long as a window has fewer than 2**15 shingles
-    kind = np.int16 if m < 2**15 else np.int32
-    run = np.zeros((len(shingle) + 1, 64), dtype=kind)
+    kind = np.int16 if most < 2**15 else np.int32
+    run = np.zeros((len(bits) + 1, 64), dtype=kind)
     np.cumsum(bits, axis=0, dtype=kind, out=run[1:])
+    return run
+
+
+def simhashes(hashes: np.ndarray, length: int, run: np.ndarray | None = None) -> np.ndarray:
+    """SimHash of the window of ``length`` words at each word where one fits; ``run`` are the bit counts, if known."""
+    k = min(K, length)
+    m = length - k + 1
+    if len(hashes) < length:
+        return np.zeros(0, np.uint64)
+    if m == 1:
+        return words.combine(hashes, k)
+    run = bit_counts(hashes, k, m) if run is None else run
     return np.packbits((run[m:] - run[:-m]) > m // 2, axis=1).view(np.uint64).ravel()
 
 
@@ -106,7 +118,7 @@ class Index:
         self.shingles: list[np.ndarray] = []
         self.offsets: list[np.ndarray] = []
         self.threshold = threshold
-        made: dict[int, list[tuple[int, int, int]]] = {}
+        self.words: list[np.ndarray] = []
         for row, hashes in words.texts(pa.array([text or "" for _, text in items], pa.string())):
             n = len(hashes)
             if not n:
@@ -117,17 +129,7 @@ class Index:
             own, offset = np.unique(words.combine(hashes, min(K, n)), return_index=True)
             self.shingles.append(own)
             self.offsets.append(offset)
-            whole = max([g for g in GRID if g <= n], default=n)
-            half = max([g for g in GRID if g <= n // 2], default=whole)
-            for length, starts in {whole: {0, n - whole}, half: {*range(0, n - half + 1, half), n - half}}.items():
-                if length <= K:
-                    continue  # one shingle: looked up as such
-                prints = simhashes(hashes, length)
-                made.setdefault(length, []).extend((int(prints[s]), item, s) for s in sorted(starts))
-        self.lengths = {
-            length: Length(np.array([x[0] for x in rows], np.uint64), np.array([x[1] for x in rows]), np.array([x[2] for x in rows]))
-            for length, rows in made.items()
-        }
+            self.words.append(hashes)
         every, count = np.unique(np.concatenate(self.shingles), return_counts=True) if self.shingles else (np.zeros(0, np.uint64), np.zeros(0))
         if shared is not None:
             count = np.array([shared.get(x, 1) for x in every.tolist()], dtype=np.int64)
@@ -137,17 +139,37 @@ class Index:
         self.widths = sorted({min(K, n) for n in self.n_words})
         self.filter = np.zeros(1 << 20, dtype=bool)
         self.filter[every & np.uint64(len(self.filter) - 1)] = True
-        needed = [number[self._needed(weight)] for number, weight in zip(self.numbers, self.weights)]
-        pairs = np.repeat(np.arange(len(needed)), [len(x) for x in needed])
-        values = np.concatenate(needed) if needed else np.zeros(0, np.int64)
-        order = np.argsort(values, kind="stable")
-        self.needed_by = pairs[order]
-        self.needed_at = np.searchsorted(values[order], np.arange(len(every) + 1))
-
-    def _needed(self, weight: np.ndarray) -> np.ndarray:
-        """The rarest shingles of an item that together weigh more than a find may lack."""
-        order = np.argsort(-weight, kind="stable")
-        return order[: int(np.searchsorted(np.cumsum(weight[order]), (1 - self.threshold + 1e-9) * weight.sum(), side="right")) + 1]
+        made: dict[int, list[tuple[int, int, int]]] = {}
+        for item, hashes in enumerate(self.words):
+            for length, starts in self._windows(item).items():
+                prints = simhashes(hashes, length)
+                made.setdefault(length, []).extend((int(prints[s]), item, s) for s in sorted(starts))
+        del self.words
+        self.lengths = {
+            length: Length(np.array([x[0] for x in rows], np.uint64), np.array([x[1] for x in rows]), np.array([x[2] for x in rows]))
+            for length, rows in made.items()
+        }
+
+    def _windows(self, item: int) -> dict[int, set[int]]:
+        """Where the windows that stand for an item begin, by length."""
+        n = self.n_words[item]
+        short = SHORT if n >= SHORT else min(K, n)
+        rare = self._rarest(item)
+        own = np.searchsorted(self.shingles[item], words.combine(self.words[item], min(K, n)))
+        has = np.lib.stride_tricks.sliding_window_view(rare[own], short - min(K, n) + 1).any(axis=1)
+        found = {short: set(np.flatnonzero(has).tolist())}
+        whole = max([g for g in GRID if g <= n], default=0)
+        if whole > SHORT:
+            found[whole] = {0, n - whole}
+        return found
+
+    def _rarest(self, item: int) -> np.ndarray:
+        """Which shingles of an item are the rarest, and of those the first, that weigh three times what a find may lack."""
+        weight = self.weights[item]
+        order = np.lexsort((self.offsets[item], -weight))
+        rare = np.zeros(len(weight), dtype=bool)
+        rare[order[: int(np.searchsorted(np.cumsum(weight[order]), 3 * (1 - self.threshold + 1e-9) * weight.sum(), side="right")) + 1]] = True
+        return rare
 
     def _hits(self, hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, number of the shingle) of all items' shingles, in order of place."""
@@ -201,11 +223,11 @@ class Index:
             return
         ends = np.repeat(first[1:], np.diff(first))
         place, number = self._hits(hashes, ends)
-        n = self.needed_at[number + 1] - self.needed_at[number]
-        by = self.needed_by[np.repeat(self.needed_at[number], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        rows, items = [np.searchsorted(first, np.repeat(place, n), side="right") - 1], [by]
+        rows, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        most = max(self.lengths)
+        run = bit_counts(hashes, K, most) if most > K and len(hashes) >= K else None
         for length, index in self.lengths.items():
-            window, found = index.near(simhashes(hashes, length))
+            window, found = index.near(simhashes(hashes, length, run))
             inside = window + length <= ends[window] if len(window) else np.zeros(0, bool)
             rows.append(np.searchsorted(first, window[inside], side="right") - 1)
             items.append(index.item[found[inside]])
