@@ -12,9 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import bpe, decontaminate, exact_dedup, setsketch, toxicity
 from tidemark.session import materialize
 
+# Bytes of text that a task hands to Python at once; ten thousand rows, Spark's other limit, may be far more.
+BATCH_BYTES = "8m"
+
+
+def bounded(spark: SparkSession) -> None:
+    """Bound what a task holds of its rows for Python, however long their texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more for toxicity go; the model learns from the labelled ones."""
+    bounded(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model)
 
@@ -26,16 +35,19 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles with a similarity of 0.8 or more, the smallest doc_id stays."""
+    bounded(spark)
     return setsketch.drop_near_copies(docs, k=5, num=80, den=100)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    bounded(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: id, token ids, their number and digest, and the digest of the bytes they decode to."""
+    bounded(spark)
     return bpe.round_trip(docs, with_ids=True)
 
 
