@@ -186,3 +186,40 @@ def test_settings_of_the_source():
     assert PipelineConfig.from_settings({"max_offsets_per_trigger": "12"}).max_offsets_per_trigger == 12
     with pytest.raises(ValueError, match="max_offsets_per_trigger"):
         PipelineConfig(max_offsets_per_trigger=0)
+
+
+def test_a_task_streams_only_the_row_groups_it_needs(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 50_000, 1, 1).selectExpr("'k' AS key", "repeat(sha2(string(id), 256), 30) AS value", "0 AS src_partition", "id AS offset")
+    capture.write_capture(rows, f"{tmp_path}/topic")
+    reader = capture.CapturedReader({"path": f"{tmp_path}/topic", "position": f"{tmp_path}/p", "rowsPerTask": "9000"})
+    tasks = reader.partitions({}, {"0": 50_000})
+    opened, whole = [], capture.pq.ParquetFile
+
+    class Watched(whole):
+        def iter_batches(self, size, groups, *args, **kwargs):
+            opened.extend(self.metadata.row_group(g).num_rows for g in groups)
+            return super().iter_batches(size, groups, *args, **kwargs)
+
+    monkeypatch.setattr(capture.pq, "ParquetFile", Watched)
+    batches = list(reader.read(tasks[2]))
+    assert [o for b in batches for o in b.column(3).to_pylist()] == list(range(18_000, 27_000))
+    assert 0 < sum(opened) <= 2 * capture.ROW_GROUP_ROWS
+    assert max(b.nbytes for b in batches) <= 2 * capture.BATCH_BYTES
+    assert sum(b.num_rows for t in tasks for b in reader.read(t)) == 50_000
+
+
+def test_a_file_with_one_row_group_is_streamed_too(spark, tmp_path):
+    """Captures written before, and by others, may hold a whole file in one row group."""
+    folder = f"{tmp_path}/topic/src_partition=3"
+    rows = spark.range(0, 30_000, 1, 1).selectExpr("'k' AS key", "repeat(sha2(string(id), 256), 30) AS value", "id AS offset")
+    rows.write.parquet(folder)
+    reader = capture.CapturedReader({"path": f"{tmp_path}/topic", "position": f"{tmp_path}/p"})
+    (task,) = reader.partitions({}, {"3": 30_000})
+    before = capture.pa.total_allocated_bytes()
+    held, got = 0, []
+    for batch in reader.read(task):
+        held = max(held, capture.pa.total_allocated_bytes() - before)
+        got += batch.column(3).to_pylist()
+        assert set(batch.column(2).to_pylist()) == {3}
+    assert got == list(range(30_000))
+    assert held < 24 << 20

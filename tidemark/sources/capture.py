@@ -5,6 +5,8 @@ The format ``captured_topic`` reads them as a stream.  Its offset is the next of
 progress reports and restarts speak of partitions as they do for a broker's topic.
 
 * Only footers are read to learn which offsets a file holds; each footer is read once.
+* Files are made of small row groups.  A task opens those that can hold its offsets and streams them in batches of
+  bounded rows and bytes, so its memory depends neither on the size of files nor on that of row groups.
 * ``maxOffsetsPerTrigger`` is shared out in proportion to what each partition has waiting, one at least.
 * A range of offsets is cut into tasks of ``rowsPerTask`` offsets, so a hot partition is read by many tasks.
 * ``startingOffsets``, as JSON, says where a new query begins in the partitions it names; others begin at their first.
@@ -18,7 +20,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.dataset as ds
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,10 @@ from tidemark.schema import ARRIVAL_SCHEMA
 FORMAT = "captured_topic"
 ROWS_PER_TASK = 250_000
 FILE_ROWS = 1_000_000
+ROW_GROUP_ROWS = 16_384
+BATCH_ROWS = 8_192
+BATCH_BYTES = 4 << 20
+STREAM_BYTES = 1 << 20
 _FOLDER = "src_partition="
 
 
@@ -36,7 +42,8 @@ def write_capture(arrivals: DataFrame, path: str, file_rows: int = FILE_ROWS) ->
     """Store arrivals (key, value, src_partition, offset) by partition and offset, for ``captured_stream``."""
     placed = arrivals.select(*ARRIVAL_SCHEMA.fieldNames()).repartitionByRange("src_partition", "offset")
     placed = placed.sortWithinPartitions("src_partition", "offset")
-    placed.write.option("maxRecordsPerFile", file_rows).partitionBy("src_partition").mode("append").parquet(path)
+    writer = placed.write.option("maxRecordsPerFile", file_rows).option("parquet.block.row.count.limit", ROW_GROUP_ROWS)
+    writer.partitionBy("src_partition").mode("append").parquet(path)
 
 
 def offsets_in(footer: pq.FileMetaData) -> tuple[int, int] | None:
@@ -47,6 +54,18 @@ def offsets_in(footer: pq.FileMetaData) -> tuple[int, int] | None:
     return (min(s.min for s in spans), max(s.max for s in spans) + 1) if spans else None
 
 
+def groups_with(footer: pq.FileMetaData, start: int, end: int) -> list[int]:
+    """The row groups of a file that can hold offsets from ``start`` up to ``end``; one without bounds can."""
+    at = footer.schema.names.index("offset")
+    spans = [footer.row_group(i).column(at).statistics for i in range(footer.num_row_groups)]
+    return [i for i, s in enumerate(spans) if s is None or not s.has_min_max or (s.min < end and s.max >= start)]
+
+
+def rows_at_once(group: pq.RowGroupMetaData) -> int:
+    """How many rows of a row group make a batch of about ``BATCH_BYTES`` at most."""
+    return max(1, min(BATCH_ROWS, BATCH_BYTES * group.num_rows // max(1, group.total_byte_size)))
+
+
 def admitted(at: dict[int, int], ends: dict[int, int], limit: int | None) -> dict[int, int]:
     """The end of the next batch: all that waits, or ``limit`` offsets in proportion to it, one at least of each."""
     waiting = {p: max(0, end - at.get(p, 0)) for p, end in ends.items()}
@@ -106,14 +125,21 @@ class CapturedReader(DataSourceStreamReader):
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(self.path)
-        rows = ds.dataset(partition.files, filesystem=store, format="parquet")
-        wanted = (ds.field("offset") >= partition.start) & (ds.field("offset") < partition.end)
-        for batch in rows.to_batches(columns=["key", "value", "offset"], filter=wanted):
-            if batch.num_rows:
-                source = pa.array([partition.src_partition] * batch.num_rows, pa.int32())
-                columns = {"key": batch.column(0), "value": batch.column(1), "src_partition": source, "offset": batch.column(2)}
-                names = ARRIVAL_SCHEMA.fieldNames()
-                yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
+        names = ARRIVAL_SCHEMA.fieldNames()
+        for path in partition.files:
+            with store.open_input_file(path) as data:
+                # With a buffer size, pages are read as they are needed instead of whole column chunks.
+                file = pq.ParquetFile(data, buffer_size=STREAM_BYTES, pre_buffer=False)
+                for group in groups_with(file.metadata, partition.start, partition.end):
+                    size = rows_at_once(file.metadata.row_group(group))
+                    for batch in file.iter_batches(size, [group], ["key", "value", "offset"], use_threads=False):
+                        offset = batch.column("offset")
+                        wanted = pc.and_(pc.greater_equal(offset, partition.start), pc.less(offset, partition.end))
+                        kept = batch.filter(wanted)
+                        if kept.num_rows:
+                            source = pa.array([partition.src_partition] * kept.num_rows, pa.int32())
+                            columns = {n: source if n == "src_partition" else kept.column(n) for n in names}
+                            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
 
     def commit(self, end: dict) -> None:
         pass
