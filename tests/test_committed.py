@@ -42,6 +42,14 @@ def test_rows_that_waited_long_enough_are_closed():
     assert list(committed.chunks(iter([]), 10, 10)) == []
 
 
+def test_a_task_holds_a_bounded_number_of_bytes():
+    batches = [pa.record_batch({"a": ["x" * 1_000] * 100}) for _ in range(10)]
+    tables = list(committed.chunks(iter(batches), 1_000_000, 60_000, max_bytes=250_000))
+    assert [t.num_rows for t in tables] == [300, 300, 300, 100]
+    wide = [pa.record_batch({"a": ["x" * (1 << 20)] * 8}) for _ in range(10)]
+    assert max(t.nbytes for t in committed.chunks(iter(wide), 1_000_000, 60_000)) < committed.FILE_BYTES + (9 << 20)
+
+
 def test_a_replay_replaces_the_batch(spark, tmp_path):
     path = f"{tmp_path}/t"
     put(spark.range(10), path, 0)

@@ -1,7 +1,8 @@
 """A table whose rows count only once their batch is committed, for sinks that may be run again.
 
 ``write_batch`` sends the rows of one micro-batch to files of at most ``rows`` rows; a file is also closed when
-``interval_ms`` have passed since its first row.  A file that cannot be written is tried again ``retries`` times.
+``interval_ms`` have passed since its first row, or when its rows fill ``FILE_BYTES`` in memory, which is all that
+a task holds of them for a retry.  A file that cannot be written is tried again ``retries`` times.
 When all tasks have ended, one small file under ``commits`` names the files of the batch.  It is put in
 place whole, and a batch that is run again replaces it, so
 
@@ -29,6 +30,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from pyspark.sql.utils import AnalysisException
 
 FORMAT = "committed_rows"
+FILE_BYTES = 32 << 20
 COMMITS = "batch_id long, file string, n_rows long"
 
 
@@ -48,10 +50,19 @@ def with_retries(work: Callable[[], None], retries: int, pause_s: float = 0.2) -
             time.sleep(pause_s * 2**attempt)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], rows: int, interval_ms: int, clock: Callable[[], float] = time.monotonic) -> Iterator[pa.Table]:
-    """The rows in tables of at most ``rows`` rows; what has waited ``interval_ms`` goes with the next that come."""
+def chunks(
+    batches: Iterator[pa.RecordBatch],
+    rows: int,
+    interval_ms: int,
+    clock: Callable[[], float] = time.monotonic,
+    max_bytes: int = FILE_BYTES,
+) -> Iterator[pa.Table]:
+    """The rows in tables of at most ``rows`` rows; what has waited ``interval_ms`` goes with the next that come.
+
+    A table also ends with the batch that brings it to ``max_bytes``.
+    """
     held: list[pa.RecordBatch] = []
-    n, since = 0, clock()
+    n, size, since = 0, 0, clock()
     for batch in batches:
         while batch.num_rows:
             if not held:
@@ -59,10 +70,11 @@ def chunks(batches: Iterator[pa.RecordBatch], rows: int, interval_ms: int, clock
             part = batch.slice(0, rows - n)
             held.append(part)
             n += part.num_rows
+            size += part.nbytes
             batch = batch.slice(part.num_rows)
-            if n == rows or (clock() - since) * 1_000 >= interval_ms:
+            if n == rows or size >= max_bytes or (clock() - since) * 1_000 >= interval_ms:
                 yield pa.Table.from_batches(held)
-                held, n = [], 0
+                held, n, size = [], 0, 0
     if held:
         yield pa.Table.from_batches(held)
 
